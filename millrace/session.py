@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from millrace.shipping import ship
+
 
 def build_session(app: str = "millrace", master: str | None = None, shuffle_partitions: int | None = None, **conf: str) -> SparkSession:
     """A session with UTC time, adaptive execution and skew-join handling. On a cluster leave ``master`` unset."""
@@ -24,4 +26,5 @@ def build_session(app: str = "millrace", master: str | None = None, shuffle_part
         builder = builder.config(key.replace("__", "."), value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship(spark)
     return spark
