@@ -2,8 +2,10 @@
 
 A mask keeps some of SPAN successive token positions and ignores the rest. Under each mask every
 window of a document and of a benchmark item is hashed over its kept tokens; windows with equal hashes are
-hits. Three masks each ignore one residue of the position modulo 3, so one substituted token never hides a window. A hit fixes
-how document and item line up; the tokens around it are then compared one by one, and pairs with a long enough, equal enough overlap stand.
+hits. All windows of both sides are hashed. The first mask ignores each third position, so of any three successive windows one
+ignores a given token: in an overlap of 13 tokens or more, one substituted token never hides all windows. The second mask has no
+period, for pairs of substitutions that the first one can't ignore together. A hit fixes how document and item line up; the tokens
+around it are then compared one by one, and pairs with a long enough, equal enough overlap stand.
 Items shorter than SPAN are matched whole. Built-in functions only.
 
 Defined cases: null and empty texts have no tokens and never match; items of fewer than ``min_item`` tokens
@@ -21,7 +23,7 @@ from millrace.llm._common import stage
 
 SPAN = 12
 #: Each mask's kept positions.
-MASKS = tuple(tuple(k for k in range(SPAN) if k % 3 != skip) for skip in (2, 1, 0))
+MASKS = ((0, 1, 3, 4, 6, 7, 9, 10), (0, 1, 2, 5, 7, 8, 10, 11))
 #: Up to so many hashed benchmark windows (20 bytes each) are broadcast; beyond, the join shuffles.
 BROADCAST_WINDOWS = 2_000_000
 
@@ -31,16 +33,16 @@ def tokens(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda x: x != "")
 
 
-def _window_hashes(words: Column, kept: tuple[int, ...], width: int, tag: int) -> Column:
-    """The hash of each window of ``width`` tokens over its kept positions; windows that overrun are left out."""
-    starts = F.slice(words, F.lit(1), F.greatest(F.size(words) - (width - 1), F.lit(0)))
+def _window_hashes(words: Column, kept: tuple[int, ...], tag: int) -> Column:
+    """The hash of each window over its kept positions; windows whose kept positions overrun are left out."""
+    starts = F.slice(words, F.lit(1), F.greatest(F.size(words) - max(kept), F.lit(0)))
     return F.transform(starts, lambda _, i: F.xxhash64(F.lit(tag), *[F.get(words, i + k) for k in kept]))
 
 
 def windows(frame: DataFrame, widths: list[int]) -> DataFrame:
     """``frame`` (id, words) to id, mask, pos, h: hashed windows under all masks, and whole contiguous windows of the given short widths."""
-    arrays = [_window_hashes(F.col("words"), kept, SPAN, k) for k, kept in enumerate(MASKS)]
-    arrays += [_window_hashes(F.col("words"), tuple(range(w)), w, 100 + w) for w in widths]
+    arrays = [_window_hashes(F.col("words"), kept, k) for k, kept in enumerate(MASKS)]
+    arrays += [_window_hashes(F.col("words"), tuple(range(w)), 100 + w) for w in widths]
     packed = [F.transform(a, lambda h, i: F.struct(i.alias("pos"), h.alias("h"))) for a in arrays]
     return frame.select("id", F.explode(F.concat(*packed)).alias("_w")).select("id", F.col("_w.pos").alias("pos"), F.col("_w.h").alias("h"))
 
