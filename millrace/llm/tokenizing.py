@@ -1,19 +1,24 @@
 """Fast exact encoding of whole texts with a public tokenizer file.
 
 Both supported vocabularies never form a token across certain white space. So a batch of texts is cut
-there into units, each new unit is encoded once by the tokenizers library, and a text's ids are the concatenation of its units' ids. Corpora repeat
-their words, so most units come from the cache. Texts for which the cut isn't proven safe are encoded whole.
+there into units; each new unit is encoded by the tokenizers library, and a text's ids are the concatenation of its units' ids. Corpora repeat
+their words, so most units come from the cache. New units are encoded many at a time, as one text in which each can be found again by the
+number of bytes its tokens stand for; where these don't add up, units are encoded one by one.
 """
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
 
-#: Units kept before the cache starts anew.
-CACHE_UNITS = 400_000
-_CONTROL = ("\x1c", "\x1d", "\x1e", "\x1f")
+#: Units at which the cache is cut back, and how many of the earliest (so the most frequent) it then keeps.
+CACHE_UNITS = 500_000
+KEPT_UNITS = 250_000
+#: White space to Python, but not to the tokenizers.
+_CONTROL = "\x1c\x1d\x1e\x1f"
+_JOINED = 2000
 _ENCODERS: dict[str, "UnitEncoder"] = {}
 
 
@@ -32,8 +37,27 @@ def encoder(name: str, cut: str) -> "UnitEncoder":
     return _ENCODERS[key]
 
 
+class _NotAUnit(Exception):
+    """A piece that belongs to what comes before it."""
+
+
+class _Index(dict):
+    """Unit to number; an unknown unit gets the next number and waits to be encoded. A 1-tuple is a text's first unit, or a whole text."""
+
+    def __init__(self, *args):
+        super().__init__(*args)
+        self.waiting: list[str | tuple[str]] = []
+
+    def __missing__(self, unit: str | tuple[str]) -> int:
+        if isinstance(unit, str) and (not unit or unit[0].isspace()):
+            raise _NotAUnit
+        n = self[unit] = len(self)
+        self.waiting.append(unit)
+        return n
+
+
 class UnitEncoder:
-    """``cut='space'`` suits byte-level BPE whose pieces start with their space: a piece starts at any single space before a character that is not
+    """``cut='space'`` suits byte-level BPE whose pieces start with their space: a piece starts at any space before a character that is not
     white space. ``cut='white'`` suits vocabularies that drop white space: a piece ends at any."""
 
     def __init__(self, path: str, cut: str):
@@ -42,53 +66,100 @@ class UnitEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.cut = cut
-        self._clear()
-
-    def _clear(self) -> None:
-        self.index: dict[str, int] = {}
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        suffix = spec["model"].get("end_of_word_suffix") or ""
+        sizes = {i: len(token.removesuffix(suffix) if suffix else token) for token, i in spec["model"]["vocab"].items()}
+        sizes |= {t["id"]: len(t["content"].encode()) for t in spec["added_tokens"]}
+        self.token_bytes = np.zeros(max(sizes) + 1, np.int64)
+        self.token_bytes[list(sizes)] = list(sizes.values())
+        self.index = _Index()
         self.pool = np.empty(1 << 20, np.uint32)
         self.used = 0
         self.starts = np.empty(1 << 16, np.int64)
         self.lengths = np.empty(1 << 16, np.int64)
 
-    def _units(self, text: str) -> list[str]:
+    def _cut_back(self) -> None:
+        kept = list(self.index.items())[:KEPT_UNITS]
+        self.index = _Index(kept)
+        # Units learnt together lie together, but not in order of their numbers.
+        self.used = int((self.starts[:KEPT_UNITS] + self.lengths[:KEPT_UNITS]).max())
+
+    def _numbers(self, text: str) -> list[int]:
+        """The numbers of a text's units."""
+        get = self.index.__getitem__
         if self.cut == "white":
-            return [text] if any(c in text for c in _CONTROL) else text.split()
-        out: list[str] = []
-        for k, piece in enumerate(text.split(" ")):
-            if k == 0:
-                out.append(piece)
-            elif not piece or piece[0].isspace():
-                out[-1] += " " + piece
+            if any(c in text for c in _CONTROL):  # white space to Python, but not to the tokenizer
+                return [get((text,))]
+            return list(map(get, text.split()))
+        pieces = text.split(" ")
+        first = get((pieces[0],))
+        try:
+            return [first, *map(get, pieces[1:])]
+        except _NotAUnit:
+            merged = pieces[:1]
+            for p in pieces[1:]:
+                if not p or p[0].isspace():
+                    merged[-1] += " " + p
+                else:
+                    merged.append(p)
+            return [get((merged[0],)), *map(get, merged[1:])]
+
+    def _learn(self) -> None:
+        units, self.index.waiting = self.index.waiting, []
+        if not units:
+            return
+        at = len(self.index) - len(units)
+        plain, odd = [], []
+        for k, u in enumerate(units):
+            (odd if isinstance(u, tuple) else plain).append(k)
+        while at + len(units) > len(self.starts):
+            self.starts, self.lengths = (np.concatenate([x, np.empty_like(x)]) for x in (self.starts, self.lengths))
+        lead = " " if self.cut == "space" else ""
+        groups = [plain[k : k + _JOINED] for k in range(0, len(plain), _JOINED)]
+        texts = [lead + " ".join([units[k] for k in g]) for g in groups]
+        for g, text, e in zip(groups, texts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids = np.array(e.ids, np.uint32)
+            ends = np.cumsum(self.token_bytes[ids])
+            wanted = self._unit_ends(text)
+            stops = np.searchsorted(ends, wanted)
+            if len(stops) == len(g) and len(ids) and stops[-1] == len(ids) - 1 and (ends[stops] == wanted).all():
+                self._store(at + np.array(g), ids, np.diff(stops, prepend=-1))
             else:
-                out.append(" " + piece)
-        return out
-
-    def _learn(self, units: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(units, add_special_tokens=False)]
-        at = len(self.index)
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        total = int(lengths.sum())
-        while self.used + total > len(self.pool):
+                odd += g
+        alone = [units[k][0] if isinstance(units[k], tuple) else lead + units[k] for k in odd]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)]
+        if found:
+            ids = np.fromiter((i for x in found for i in x), np.uint32)
+            self._store(at + np.array(odd), ids, np.fromiter(map(len, found), np.int64, len(found)))
+
+    def _store(self, places: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """Keep the ids of the units at ``places``, one after another in ``ids``."""
+        while self.used + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
-        while at + len(found) > len(self.starts):
-            self.starts, self.lengths = (np.concatenate([x, np.empty_like(x)]) for x in (self.starts, self.lengths))
-        self.pool[self.used : self.used + total] = np.fromiter((i for ids in found for i in ids), np.uint32, total)
-        self.lengths[at : at + len(found)] = lengths
-        self.starts[at : at + len(found)] = self.used + np.cumsum(lengths) - lengths
-        self.used += total
-        self.index.update(zip(units, range(at, at + len(found)), strict=True))
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.lengths[places] = lengths
+        self.starts[places] = self.used + np.cumsum(lengths) - lengths
+        self.used += len(ids)
+
+    def _unit_ends(self, text: str) -> np.ndarray:
+        """How many bytes the tokens of joined units stand for, up to the end of each unit, as the tokenizer sees the text."""
+        if self.tokenizer.normalizer is not None:
+            text = self.tokenizer.normalizer.normalize_str(text)
+        data = np.frombuffer(text.encode(), np.uint8)
+        spaces = np.flatnonzero(data == 32)
+        if self.cut == "space":  # each unit starts with its space
+            return np.append(spaces[1:], len(data))
+        return np.append(spaces - np.arange(len(spaces)), len(data) - len(spaces))
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text's followed by ``end_id``, and the number of ids of each."""
-        per_text = [self._units(t) for t in texts]
         if len(self.index) > CACHE_UNITS:
-            self._clear()
-        if new := list(dict.fromkeys(u for units in per_text for u in units if u not in self.index)):
-            self._learn(new)
-        get = self.index.__getitem__
+            self._cut_back()
+        per_text = [self._numbers(t) for t in texts]
+        self._learn()
         counts = np.fromiter(map(len, per_text), np.int64, len(texts))
-        where = np.fromiter((i for units in per_text for i in map(get, units)), np.int64, int(counts.sum()))
+        where = np.concatenate([np.array(x, np.int64) for x in per_text]) if texts else np.empty(0, np.int64)
         lengths = self.lengths[where]
         ends = np.cumsum(lengths)
         body = self.pool[np.repeat(self.starts[where] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
@@ -97,7 +168,7 @@ class UnitEncoder:
         return np.insert(body, bounds[1:], np.uint32(end_id)).astype(np.uint32), sizes + 1
 
 
-def text_slices(texts: list[str | None], most: int = 4_000_000) -> list[list[str]]:
+def text_slices(texts: list[str | None], most: int = 2_000_000) -> list[list[str]]:
     """The texts in lists of about ``most`` characters (one text at least); nulls are empty."""
     out: list[list[str]] = [[]]
     size = 0
