@@ -35,8 +35,8 @@ from millrace.llm.tokenizing import encoder, text_slices
 
 WINDOW = 8
 _MIX = 0x9E3779B97F4A7C15
-_RAW = "kind string, doc_id long, n long, digests binary, lengths array<int>, digest binary, payload binary"
-_RAW_ARROW = pa.schema([("kind", pa.string()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digests", pa.binary()), ("lengths", pa.list_(pa.int32())), ("digest", pa.binary()), ("payload", pa.binary())])
+_RAW = "kind string, doc_id long, n long, digests binary, lengths array<int>, root binary, digest binary, payload binary"
+_RAW_ARROW = pa.schema([("kind", pa.string()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digests", pa.binary()), ("lengths", pa.list_(pa.int32())), ("root", pa.binary()), ("digest", pa.binary()), ("payload", pa.binary())])
 DIGEST = 32
 
 
@@ -77,7 +77,7 @@ def merkle_root(leaves: list[bytes]) -> bytes:
 def _encode(tokenizer: str, cut: str, end_id: int, mean: int, least: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, cut)
-        squeeze = zstandard.ZstdCompressor(level=3)
+        squeeze = zstandard.ZstdCompressor(level=1)
         seen: set[bytes] = set()  # of this task, to send few copies of a common chunk
         for batch in batches:
             doc_ids, at = batch.column("doc_id").to_pylist(), 0
@@ -96,11 +96,11 @@ def _encode(tokenizer: str, cut: str, end_id: int, mean: int, least: int, most:
                             if len(seen) > 2_000_000:
                                 seen.clear()
                             seen.add(d)
-                            rows.append(("chunk", None, e - s, None, None, d, squeeze.compress(data)))
-                    rows.append(("recipe", doc_ids[at + k], n, b"".join(digests), np.diff(bounds).tolist(), None, None))
+                            rows.append(("chunk", None, e - s, None, None, None, d, squeeze.compress(data)))
+                    rows.append(("recipe", doc_ids[at + k], n, b"".join(digests), np.diff(bounds).tolist(), merkle_root(digests), None, None))
                     begin += n
                 at += len(texts)
-                cols = list(zip(*rows, strict=True)) if rows else [[]] * 7
+                cols = list(zip(*rows, strict=True)) if rows else [[]] * len(_RAW_ARROW)
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(cols, _RAW_ARROW, strict=True)], schema=_RAW_ARROW)
 
     return run
@@ -137,7 +137,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json"
     once = map_arrow(raw.repartition(F.xxhash64(key)), _first_of_each, _RAW)
     once.write.option("compression", "uncompressed").parquet(f"{path}/store")
     recipes = spark.read.schema(_RAW).parquet(f"{path}/store").where("kind = 'recipe'")
-    recipes = recipes.select("doc_id", F.col("n").alias("n_tokens"), "digests", "lengths", _merkle_packed("digests").alias("root"))
+    recipes = recipes.select("doc_id", F.col("n").alias("n_tokens"), "digests", "lengths", "root")
     ordered = recipes.repartitionByRange(F.col("doc_id").asc_nulls_first(), "root").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "root")
     ordered = ordered.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_pos"))
     ordered.write.parquet(f"{path}/recipes")

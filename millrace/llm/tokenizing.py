@@ -14,8 +14,8 @@ import os
 import numpy as np
 
 #: Units at which the cache is cut back, and how many of the earliest (so the most frequent) it then keeps.
-CACHE_UNITS = 500_000
-KEPT_UNITS = 250_000
+CACHE_UNITS = 1_000_000
+KEPT_UNITS = 600_000
 #: White space to Python, but not to the tokenizers.
 _CONTROL = "\x1c\x1d\x1e\x1f"
 _JOINED = 2000
