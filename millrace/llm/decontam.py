@@ -52,7 +52,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, min_overlap: int =
 
     An overlap is a stretch that starts and ends with equal tokens, has at least ``min_overlap`` tokens (or the whole item, if
     that is shorter) and at least ``min_equal`` of them equal. It is the best-scoring stretch of the
-    alignment, an equal token counting 1 and a different one -1.5.
+    alignment, an equal token counting 1 and a different one -0.9.
     """
     items = benchmark.where("item_id is not null").select(F.col("item_id").alias("id"), tokens(F.col("text")).alias("words")).where(F.size("words") >= min_item)
     items = stage(items, "bench-items")
@@ -99,7 +99,7 @@ def _longest(items: DataFrame) -> int:
 def _extend(acc: Column, same: Column) -> Column:
     """One step of the maximum-sum stretch."""
     fresh = acc["run"] <= 0
-    run = F.when(fresh, F.lit(0.0)).otherwise(acc["run"]) + F.when(same, 1.0).otherwise(-1.5)
+    run = F.when(fresh, F.lit(0.0)).otherwise(acc["run"]) + F.when(same, 1.0).otherwise(-0.9)
     start = F.when(fresh, acc["i"]).otherwise(acc["from"])
     better = run > acc["best"]
     return F.struct(
