@@ -190,7 +190,7 @@ class Judge:
         self.table = np.empty((0, len(self.model.languages) + 1))
 
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float, float | None, bool]]:
-        per_text = [words_of(t) if t else [] for t in texts]
+        per_text = [words_of(t) if t and self.model.languages else [] for t in texts]
         if len(self.index) > self.most:
             self._clear()
         if new := list(dict.fromkeys(w for words in per_text for w in words if w not in self.index)):
@@ -200,7 +200,7 @@ class Judge:
         get = self.index.__getitem__
         out = []
         for words in per_text:
-            if not words or not self.model.languages:
+            if not words:
                 out.append((UNKNOWN, 0.0, None, True))
                 continue
             total = self.table[np.fromiter(map(get, words), np.int64, len(words))].sum(axis=0)
