@@ -123,6 +123,7 @@ def labelled_table(rows: int = LABELLED_ROWS, seed: int = 7) -> list[tuple[str,
     d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
     word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzé") for _ in range(rng.randint(2, 9)))
 
+    name = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9)))
     hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
 
     def luhn_card() -> str:
@@ -138,7 +139,7 @@ def labelled_table(rows: int = LABELLED_ROWS, seed: int = 7) -> list[tuple[str,
         return rng.choice([f"+1 ({a}) {b}-{c}", f"({a}) {b}-{c}", f"{a}-{b}-{c}", f"{a}.{b}.{c}", f"+{d(2)} {a} {b} {c}", f"({a}){b}-{c}", f"1-{a}-{b}-{c}", f"00{d(2)} {a} {b} {c}"])
 
     data = {
-        0: lambda: rng.choice([f"{word()}.{d(2)}@{word()}.com", f"{word()}@{word()}.{word()}.org", f"{word()} @ {word()}.com", f"{word()}{d(2)}@{word()}.net"]),
+        0: lambda: rng.choice([f"{name()}.{d(2)}@{name()}.com", f"{name()}@{name()}.{name()}.org", f"{name()} @ {name()}.com", f"{name()}{d(2)}@{name()}.net"]),
         1: lambda: ".".join(str(rng.randint(0, 255)) for _ in range(4)),
         2: card,
         3: phone,
