@@ -61,6 +61,13 @@ def pretty_json(raw: pd.Series) -> pd.Series:
     return raw.map(one)
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def pretty_json_list(raws: pd.Series) -> pd.Series:
+    """:func:`pretty_json` of each element; a null array stays null."""
+    one = pretty_json.func
+    return raws.map(lambda xs: None if xs is None else list(one(pd.Series(list(xs), dtype=object))))
+
+
 def render_markers(name: Column, args_text: Column) -> Column:
     return F.concat(F.lit("\n[TOOL_CALL]"), name, F.lit("\n"), args_text, F.lit("[/TOOL_CALL]\n"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions import codecs
-from millrace.operators import cochange, commits, conversations, metrics, nextedit, sampling
+from millrace.operators import cochange, commits, conversations, conversion, metrics, nextedit, sampling
 from millrace.plans.base import CLUSTERS_SQL, SUBJECT_SQL, TOUCHES_SQL, Tables, big, brand_clusters, query, quote, subject, touches
 from millrace.plans.text_queries import strip_sql
 
@@ -247,6 +247,23 @@ def sft_agentic(t: Tables) -> DataFrame:
     return out.select("user_id", big(F.size("messages")).alias("n_messages"), "token_estimate", F.md5(body).alias("body_md5"))
 
 
+_NATIVE = f"""WITH t AS ({_EVENT_TURNS}), n AS (SELECT user_id, pos, CASE role WHEN 'tool_result' THEN 'tool' ELSE role END AS role,
+  CASE role WHEN 'user' THEN props WHEN 'tool_result' THEN props ELSE '<tool_call>' || chr(10) || '{{"name": "' || event_type || '", "arguments": ' || props || '}}' || chr(10) || '</tool_call>' END AS content
+  FROM t JOIN (SELECT event_id, props FROM events) USING (event_id) WHERE user_id % 10 <> 3)
+SELECT user_id, count(*) + 1 AS n_messages, CAST(count(*) FILTER (WHERE role = 'assistant') AS BIGINT) AS n_calls, md5(string_agg(role || ':' || content, chr(10) ORDER BY pos)) AS body_md5 FROM n GROUP BY user_id"""
+
+
+@query("sft_convert", _NATIVE)
+def sft_convert(t: Tables) -> DataFrame:
+    """All users' examples in the native format; a tenth of the users has an unreadable call and is dropped."""
+    bad = (F.col("user_id") % 10 == 3) & (F.col("role") == "assistant")
+    rows = _event_turns(t).withColumn("content", F.when(bad, "[TOOL_CALL]x\n{oops[/TOOL_CALL]").otherwise(F.col("content")))
+    made = conversations.messages_of(rows, ["user_id"], "pos", F.when(F.col("role") == "tool_result", "tool").otherwise(F.col("role")), F.col("content"), F.lit(" one system "))
+    out = conversion.convert_examples(made, "user_id").where("drop_reason is null")
+    body = F.array_join(F.transform(F.slice("messages", F.lit(2), F.size("messages")), lambda m: F.concat(m["role"], F.lit(":"), m["content"])), "\n")
+    return out.select("user_id", big(F.size("messages")).alias("n_messages"), "n_calls", F.md5(body).alias("body_md5"))
+
+
 @query("next_tool_candidates", f"WITH t AS ({_EVENT_TURNS}) SELECT user_id, pos AS target_pos, pos - 1 AS n_context, event_type AS tool FROM t WHERE role = 'assistant' AND pos - 1 >= 3")
 def next_tool_candidates(t: Tables) -> DataFrame:
     rows = conversations.tool_candidates(_event_turns(t), "user_id", "pos", "content", conversations.TOOL_OPEN)
