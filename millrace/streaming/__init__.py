@@ -1,0 +1 @@
+"""The batch operators on streams."""
