@@ -35,20 +35,31 @@ def first_of_content(docs: DataFrame, order: str, text: str = "text") -> DataFra
     return first.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k", "_md5")
 
 
-def drop_reasons(docs: DataFrame, min_chars: int = MIN_CHARS, order: str = "doc_id") -> DataFrame:
-    """``docs`` with clean_text, n_redactions and drop_reason (null for those that stay)."""
-    marked = docs.withColumn("clean_text", scrub("text")).withColumn("n_redactions", count_redactions("text"))
+def _marked(docs: DataFrame, min_chars: int) -> DataFrame:
+    """With clean_text, n_redactions and ``_r``: the first reason that needs no other document."""
+    out = docs.withColumn("clean_text", scrub("text")).withColumn("n_redactions", count_redactions("text"))
     reason = F.when(F.length("text") < min_chars, "too_short").when(F.col("text").rlike(FATAL_SECRET), "private_key").when(F.col("clean_text").rlike(RESIDUAL_SECRET), "residual_secret")
-    marked = marked.withColumn("_r", reason)
-    # Only documents without another reason compete for being the first of their content.
-    w = Window.partitionBy(F.md5("clean_text"), F.col("_r").isNull()).orderBy(order)
-    again = F.col("_r").isNull() & (F.row_number().over(w) > 1)
-    return marked.withColumn("drop_reason", F.when(again, "duplicate").otherwise(F.col("_r"))).drop("_r")
+    return out.withColumn("_r", reason)
+
+
+def drop_reasons(docs: DataFrame, min_chars: int = MIN_CHARS, order: str = "doc_id", salts: int = 16) -> DataFrame:
+    """``docs`` with clean_text, n_redactions and drop_reason (null for those that stay).
+
+    The first of each content comes from a pre-aggregated minimum. It is joined back on content and a salt, so a
+    content that holds a large share of the rows is dealt to several tasks.
+    """
+    marked = _marked(docs, min_chars).withColumn("_md5", F.md5("clean_text")).withColumn("_salt", F.pmod(F.xxhash64(order), F.lit(salts)).cast("int"))
+    firsts = marked.where("_r is null").groupBy("_md5").agg(F.min(order).alias("_first"))
+    firsts = firsts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    joined = marked.join(firsts, ["_md5", "_salt"], "left")
+    again = F.col("_r").isNull() & (F.col(order) > F.col("_first"))
+    return joined.withColumn("drop_reason", F.when(again, "duplicate").otherwise(F.col("_r"))).select(*docs.columns, "clean_text", "n_redactions", "drop_reason")
 
 
 def corpus_clean(docs: DataFrame, min_chars: int = MIN_CHARS, order: str = "doc_id") -> DataFrame:
-    kept = drop_reasons(docs, min_chars, order).where("drop_reason is null")
-    return kept.withColumn("text", F.col("clean_text")).drop("clean_text", "drop_reason")
+    """The documents that stay, scrubbed. Spark limits each content to its first row before the shuffle."""
+    kept = _marked(docs, min_chars).where("_r is null").withColumn("text", F.col("clean_text")).drop("clean_text", "_r")
+    return first_of_content(kept, order)
 
 
 def assert_no_secrets(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -67,22 +78,33 @@ def chunks(docs: DataFrame, path: Column, max_chars: int = MAX_CHARS, min_chars:
     return rows.withColumn(text, F.concat(header, F.col("_path"), F.lit("\n\n"), F.col("_body"))).withColumnRenamed("_path", "source_path").drop("_body")
 
 
-def budget_sample(docs: DataFrame, budget_chars: int, order: Column, size: Column) -> DataFrame:
+def budget_sample(docs: DataFrame, budget: int, order: Column, size: Column) -> DataFrame:
     """Greedy budget over one global order: a document that would overflow is passed over, later ones still get their chance.
 
-    The choice is sequential by nature. It folds over (size) alone: sizes are at most the budget's
-    worth of candidates wide, since a document larger than the whole budget can be left out before.
+    ``order`` is an MD5 in hex. Each round takes the longest run of documents that fits. Where it ends, the next document is too large for what is left; so are all later ones of
+    its size or more, now and for good, and they are no candidates any more. A round needs the sums of 4096 ranges of the order and one running sum within the range where the
+    budget ends, so nothing is gathered. The result is a plain filter: a document is taken if it lies in a round's range and was a candidate in that round.
     """
-    sized = docs.withColumn("_size", size.cast("long")).withColumn("_order", order)
-    fits = sized.where(F.col("_size") <= budget_chars)
-    listed = fits.agg(F.array_sort(F.collect_list(F.struct("_order", "_size"))).alias("all"))
-    start = F.struct(F.lit(0).cast("long").alias("used"), F.array().cast("array<string>").alias("taken"))
-    step = lambda acc, x: F.when(
-        acc["used"] + x["_size"] <= budget_chars,
-        F.struct((acc["used"] + x["_size"]).alias("used"), F.concat(acc["taken"], F.array(x["_order"])).alias("taken")),
-    ).otherwise(acc)
-    taken = listed.select(F.explode(F.aggregate("all", start, step)["taken"]).alias("_order"))
-    return sized.join(taken, "_order", "left_semi").drop("_order", "_size")
+    sized = docs.withColumn("_order", order).withColumn("_size", size.cast("long"))
+    slim = sized.select("_order", "_size").where(F.col("_size") <= budget).withColumn("_b", F.substring("_order", 1, 3))
+    left, after = budget, ""
+    taken = F.lit(False)
+    while True:
+        here = slim.where((F.col("_order") > after) & (F.col("_size") <= left))
+        total, end = 0, None
+        for r in sorted(here.groupBy("_b").agg(F.sum("_size").alias("s")).collect()):  # at most 4096 rows
+            if total + r["s"] > left:
+                end = r["_b"]
+                break
+            total += r["s"]
+        inside = (F.col("_order") > after) & (F.col("_size") <= left)
+        if end is None:
+            return sized.where(taken | inside).drop("_order", "_size")
+        run = F.sum("_size").over(Window.partitionBy("_b").orderBy("_order"))
+        over = here.where(F.col("_b") == end).withColumn("_run", run).where(F.col("_run") > left - total)
+        first = over.orderBy("_order").select("_order", (F.col("_run") - F.col("_size")).alias("used")).first()
+        taken = taken | (inside & (F.col("_order") < first["_order"]))
+        left, after = left - total - first["used"], first["_order"]
 
 
 def budget_for_tokens(millions: float) -> int:

@@ -191,3 +191,19 @@ def test_corpus_order_of_rules(spark):
     assert got == {0: None, 1: "duplicate", 2: "too_short", 3: "private_key", 4: None, 5: "duplicate"}
     parts = corpus.chunks(spark.createDataFrame([(0, "x" * 450), (1, "")], "doc_id long, text string"), F.lit("p"), 200, 100).orderBy("doc_id", "chunk").collect()
     assert [(r.doc_id, r.chunk, len(r.text)) for r in parts] == [(0, 0, 200 + 15), (0, 1, 200 + 23), (1, 0, 15)]
+
+
+def test_budget_sample_matches_a_loop(spark):
+    rng = random.Random(12)
+    rows = [(k, rng.choice([1, 2, 5, 30, 200, 999])) for k in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, n long")
+    key = sampling.shuffle_key(F.col("doc_id"), 42)
+    order = [r.doc_id for r in df.orderBy(key).collect()]
+    size = dict(rows)
+    for budget in (0, 1, 37, 1500, 20_000, 10**7):
+        want, used = set(), 0
+        for k in order:
+            if used + size[k] <= budget:
+                want.add(k)
+                used += size[k]
+        assert {r.doc_id for r in corpus.budget_sample(df, budget, key, F.col("n")).collect()} == want
