@@ -111,3 +111,11 @@ def test_roundtrip_is_the_identity(spark, args):
         text = one(spark, json.dumps(args, ensure_ascii=False), f.render(F.lit("tool"), F.col("x")))
         got = one(spark, text, f.parse(F.col("x")))
         assert (got["name"], json.loads(got["args"])) == ("tool", args)
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.sampled_from([t for t, _ in SECRETS] + ["plain words", "x = 1", "\n"]), max_size=6))
+def test_scrubbing_twice_changes_nothing(spark, parts):
+    once = one(spark, " ".join(parts), X.scrub("x"))
+    assert one(spark, once, X.scrub("x")) == once
+    assert not one(spark, once, F.col("x").rlike(X.RESIDUAL_SECRET))

@@ -207,3 +207,13 @@ def test_budget_sample_matches_a_loop(spark):
                 want.add(k)
                 used += size[k]
         assert {r.doc_id for r in corpus.budget_sample(df, budget, key, F.col("n")).collect()} == want
+
+
+def test_cluster_document_and_row_zip(spark):
+    members = spark.createDataFrame([("r", "r:0", "a"), ("r", "r:0", "b"), ("r", "r:1", "c"), ("r", "r:1", "d"), ("r", "r:1", "e")], "repo string, cluster_id string, file string")
+    named = spark.createDataFrame([("r", "r:0", "x", 2, 0.5), ("r", "r:1", "y", 3, 0.4)], "repo string, cluster_id string, label string, n_files long, cohesion double")
+    doc = cochange.clusters_document(members, named).first()
+    assert [(c.cluster_id, c.files) for c in doc.clusters] == [("r:1", ["c", "d", "e"]), ("r:0", ["a", "b"])]
+    left = spark.createDataFrame([(1, "p"), (2, "q")], "id long, r string")
+    right = spark.createDataFrame([(2, True)], "id long, v boolean")
+    assert {tuple(r) for r in metrics.zip_rows(left, right, "id").collect()} == {(1, "p", None), (2, "q", True)}

@@ -152,3 +152,19 @@ def test_mix_and_text_files(spark, tmp_path):
     (tmp_path / "docs" / "x.md").write_bytes(b"ok \xff end")
     assert jsonl.read_text_files(spark, str(tmp_path / "docs"), "*.md").first().text == "ok � end"
     assert jsonl.read_text_files(spark, str(tmp_path / "docs"), "*.md", drop_bad_bytes=True).first().text == "ok  end"
+
+
+def test_faulty_files_drop_whole(spark, tmp_path):
+    write(tmp_path / "a.jsonl", [{"v": 1}, {"v": "bad"}])
+    write(tmp_path / "b.jsonl", [{"v": 2}])
+    lines = jsonl.read_json_lines(spark, str(tmp_path))
+    got = jsonl.sound_files(lines, sessions.kind_of(sessions.F.try_variant_get("data", "$.v", "variant")) == "STRING").collect()
+    assert [r.line for r in got] == ['{"v": 2}']
+
+
+def test_sinks(spark, tmp_path):
+    df = spark.createDataFrame([("a", "train", None), ("b", "eval", "x")], "text string, split string, note string")
+    jsonl.write_json_lines(df, str(tmp_path / "all"))
+    assert sorted(json.loads(r.value)["text"] for r in spark.read.text(str(tmp_path / "all")).collect()) == ["a", "b"]
+    jsonl.write_split(df, str(tmp_path / "split"))
+    assert [json.loads(r.value) for r in spark.read.text(str(tmp_path / "split" / "split=eval")).collect()] == [{"text": "b", "note": "x"}]
