@@ -10,7 +10,7 @@ returns its best k for each query, and a ranking over these gives the result. So
 
 Defined cases: vectors that are null or hold null, NaN or infinite components take no part; shorter vectors count as padded with
 zeros; an empty vector scores 0 with all; rows with a null vec_id take no part; a repeated vec_id as a query gives its
-ranking once per distinct vector, and all rows of the query's own id are left out of its candidates; repeated candidates rank one after another; components of 2**20 or more after scaling take an exact, slower path, and a score beyond 64 bits fails.
+ranking once per distinct vector, and all rows of the query's own id are left out of its candidates; repeated candidates rank one after another; blocks whose sums could reach 2**53 take an exact, slower path, and a score beyond 64 bits fails.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ SCALE = 1024.0
 BLOCK = 4096
 CHUNK = 4096
 DIMS = 16
-_SAFE = float(1 << 20)
+_SAFE = float(1 << 53)
 RESULT = "query_key long, query_id long, vec_id long, score long"
 
 
@@ -61,7 +61,7 @@ class TopK:
         self.score = np.full((n, k), -np.inf)
         self.vec = np.full((n, k), np.iinfo(np.int64).max)
         self.count = np.zeros(n, np.int64)
-        self.exact = not (np.abs(queries) >= _SAFE).any()
+        self.largest, self.exact = float(np.abs(queries).max(initial=0.0)), True
         self.rest_q = self._rest(queries)
 
     def _rest(self, x: np.ndarray) -> np.ndarray:
@@ -72,7 +72,7 @@ class TopK:
     def add(self, vec_ids: np.ndarray, rows: np.ndarray) -> None:
         if not self.width:
             self._merge_all(vec_ids, np.zeros((len(self.q), len(rows))))
-        elif not self.exact or (np.abs(rows) >= _SAFE).any():
+        elif not self.exact or self.largest * float(np.abs(rows).max(initial=0.0)) * self.width >= _SAFE:
             self._slow(vec_ids, rows)
         else:
             columns, rest_x = np.ascontiguousarray(rows.T), self._rest(rows)
