@@ -26,6 +26,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from millrace.llm._common import components, map_arrow, skew_join, stage
 
@@ -155,12 +156,15 @@ def simhash_components(docs: DataFrame, width: int = 3, max_bits: int = 2, cap:
 # Wide fingerprints: near-duplicates by shingle similarity.
 #
 # Copies with a shingle similarity of 0.8 differ in about 15 % of a SimHash's bits, far more than an exact 64-bit
-# index reaches. So a text gets WIDE bits, of which the 3-byte groups are the postings; a pair at 0.9 meets in one with a chance above 0.99, and the number of
-# differing bits gives its similarity within about 0.02.
+# index reaches. So a text gets WIDE bits, of which the 3-byte groups are the postings: a pair at 0.9 meets in one with a chance above 0.99, one at 0.85 with a
+# chance of about 0.96, one at 0.8 of about 0.8. The number of differing bits gives a pair's similarity within about 0.02; where both texts have few shingles,
+# their shingle hashes are compared instead, as few shingles leave too few distinct bit patterns. Texts with the same set of shingles are one entry.
 
 DIMENSIONS = 4096
 WIDE = 2048
 GROUPS = WIDE // 24
+#: Texts with at most so many shingles carry their hashes.
+FEW = 64
 
 
 def _signs() -> np.ndarray:
@@ -181,7 +185,7 @@ def wide_bits(sketches: np.ndarray) -> np.ndarray:
 def _wide(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, parts, sizes = batch.column("text"), [], []
+            texts, parts, sizes, keys, few = batch.column("text"), [], [], [], []
             for at in range(0, len(texts), 128):
                 some = texts[at : at + 128]
                 rows = np.zeros((len(some), DIMENSIONS), np.float32)
@@ -190,10 +194,14 @@ def _wide(width: int):
                     sign = (h >> np.uint64(63)).astype(np.float32) * 2 - 1
                     rows[k] = np.bincount((h % np.uint64(DIMENSIONS)).astype(np.int64), weights=sign, minlength=DIMENSIONS)
                     sizes.append(len(h))
+                    data = h.tobytes()
+                    keys.append(xxhash.xxh64_intdigest(data, SEED))
+                    few.append(data if len(h) <= FEW else None)
                 parts.append(wide_bits(rows))
             packed = np.concatenate(parts) if parts else np.empty((0, WIDE // 8), np.uint8)
             fps = pa.array([r.tobytes() for r in packed], pa.binary())
-            yield pa.record_batch([batch.column("doc_id"), fps, pa.array(sizes, pa.int64())], names=["doc_id", "wide", "n_shingles"])
+            key = pa.array(np.array(keys, np.uint64).view(np.int64))
+            yield pa.record_batch([batch.column("doc_id"), key, fps, pa.array(sizes, pa.int64()), pa.array(few, pa.binary())], names=["doc_id", "fp", "wide", "n_shingles", "few"])
 
     return run
 
@@ -201,10 +209,38 @@ def _wide(width: int):
 def _group_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The 3-byte groups of each fingerprint, with their place."""
     for batch in batches:
-        data = np.frombuffer(b"".join(batch.column("wide").to_pylist()), np.uint8).reshape(-1, WIDE // 8)[:, : GROUPS * 3].reshape(-1, GROUPS, 3).astype(np.int64)
-        keys = (np.arange(GROUPS) << 24) | (data[:, :, 0] << 16) | (data[:, :, 1] << 8) | data[:, :, 2]
-        offsets = pa.array(np.arange(len(keys) + 1) * GROUPS, pa.int32())
-        yield pa.record_batch([batch.column("fp"), pa.ListArray.from_arrays(offsets, pa.array(keys.ravel()))], names=["fp", "keys"])
+        for at in range(0, batch.num_rows, 2000):
+            part = batch.slice(at, 2000)
+            data = np.frombuffer(b"".join(part.column("wide").to_pylist()), np.uint8).reshape(-1, WIDE // 8)[:, : GROUPS * 3].reshape(-1, GROUPS, 3).astype(np.int64)
+            keys = (np.arange(GROUPS) << 24) | (data[:, :, 0] << 16) | (data[:, :, 1] << 8) | data[:, :, 2]
+            fps = np.repeat(part.column("fp").to_numpy(), GROUPS)
+            yield pa.record_batch([pa.array(fps), pa.array(keys.ravel())], names=["fp", "key"])
+
+
+def _shared_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of postings sorted by key and fp: those with two entries or more, each with the posting's first entry.
+
+    A posting may run over any number of batches; only the last row of the one before is kept.
+    """
+    last_key, last_fp, head, told = None, 0, 0, True
+    for batch in batches:
+        keys, fps = batch.column("key").to_numpy(), batch.column("fp").to_numpy()
+        if not len(keys):
+            continue
+        new = np.empty(len(keys), bool)
+        new[0] = keys[0] != last_key
+        new[1:] = keys[1:] != keys[:-1]
+        starts = np.flatnonzero(new)
+        heads = fps[starts][np.cumsum(new) - 1] if new[0] else np.concatenate([[head], fps[starts]])[np.cumsum(new)]
+        shared = ~new
+        shared[:-1] |= ~new[1:]
+        out = [(keys[shared], fps[shared], heads[shared])]
+        if not new[0] and not told:  # the row before this batch turned out to be shared
+            out.insert(0, (np.array([last_key]), np.array([last_fp]), np.array([head])))
+        last_key, last_fp, head = keys[-1], fps[-1], heads[-1]
+        told = bool(shared[-1])
+        cols = [np.concatenate(c).astype(np.int64) for c in zip(*out, strict=True)]
+        yield pa.record_batch([pa.array(c) for c in cols], names=["key", "fp", "head"])
 
 
 def _similar(similarity: float):
@@ -215,44 +251,63 @@ def _similar(similarity: float):
             na, nb = (batch.column(c).to_numpy().astype(np.float64) for c in ("na", "nb"))
             both = np.cos(np.pi * differ / WIDE) * np.sqrt(na * nb)
             keep = both >= similarity * (na + nb - both)
+            for k, (p, q) in enumerate(zip(batch.column("fa").to_pylist(), batch.column("fb").to_pylist(), strict=True)):
+                if p is not None and q is not None:
+                    n = len(np.intersect1d(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), assume_unique=True))
+                    keep[k] = n >= similarity * (na[k] + nb[k] - n)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return run
 
 
-def link_wide(distinct: DataFrame, similarity: float, cap: int = CAP, leaders: int = 8) -> DataFrame:
-    """Edges a, b between distinct wide fingerprints (fp, wide, n_shingles) whose estimated shingle similarity is high enough.
+def _verified(pairs: DataFrame, distinct: DataFrame, similarity: float) -> DataFrame:
+    """The pairs a, b that are similar enough."""
+    side = lambda x: distinct.select(F.col("fp").alias(x), F.col("wide").alias(f"w{x}"), F.col("n_shingles").alias(f"n{x}"), F.col("few").alias(f"f{x}"))
+    both = pairs.distinct().join(side("a"), "a").join(side("b"), "b").select("a", "b", "wa", "wb", "na", "nb", "fa", "fb")
+    return stage(map_arrow(both, _similar(similarity), "a long, b long"), "wide-links")
+
 
-    A posting of more than ``cap`` fingerprints isn't expanded into pairs: its members are compared with ``leaders`` of it (the smallest under as many hashes). Members
-    that are similar to none of them still meet their partners in other postings.
+def link_wide(distinct: DataFrame, similarity: float, cap: int = CAP) -> DataFrame:
+    """Edges a, b between entries (fp, wide, n_shingles, few) that connect those whose shingle similarity is high enough.
+
+    First every entry is compared with two heads: of the smallest entries of its postings, the one with which it shares most postings, and the smallest. That gathers a group of near copies with few comparisons, whatever its size. Then entries of one
+    posting that are not connected yet are compared, each with the ``cap`` entries that follow it there. Postings that are longer than that
+    and still not connected are rare (24-bit keys), and entries meet in many postings, so little is lost to the bound; like the search itself this is a matter of chance.
     """
-    postings = stage(map_arrow(distinct.select("fp", "wide"), _group_keys, "fp long, keys array<long>").select("fp", F.explode("keys").alias("key")), "wide-postings")
-    sizes = stage(postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "wide-sizes")
-    lists = postings.join(sizes.where(F.col("n") <= cap).select("key"), "key").groupBy("key").agg(F.array_sort(F.collect_list("fp")).alias("fps"))
-    heads = lists.select("fps", F.posexplode("fps").alias("_at", "a"))
-    pairs = heads.select("a", F.explode(F.slice("fps", F.col("_at") + 2, F.lit(cap))).alias("b"))
-    long = sizes.where(F.col("n") > cap)
-    if not long.isEmpty():
-        total = long.agg(F.sum("n")).first()[0]
-        marked = stage(skew_join(postings, long.withColumn("is_long", F.lit(True)), ["key"], "n", total).where("is_long").select("key", "fp"), "wide-crowd")
-        best = marked.groupBy("key").agg(F.count("*").alias("n"), F.array_distinct(F.array(*[F.min_by("fp", F.xxhash64("fp", F.lit(k))) for k in range(leaders)])).alias("heads"))
-        star = skew_join(marked, stage(best, "wide-leaders"), ["key"], "n", total).select("fp", F.explode("heads").alias("h"))
-        pairs = pairs.unionByName(star.where("fp <> h").select(F.least("fp", "h").alias("a"), F.greatest("fp", "h").alias("b")))
-    pairs = stage(pairs.distinct(), "wide-pairs")
-    side = lambda x: distinct.select(F.col("fp").alias(x), F.col("wide").alias(f"w{x}"), F.col("n_shingles").alias(f"n{x}"))
-    return map_arrow(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "wa", "wb", "na", "nb"), _similar(similarity), "a long, b long")
+    keys = map_arrow(distinct.select("fp", "wide"), _group_keys, "fp long, key long")
+    shared = keys.repartition("key").sortWithinPartitions("key", "fp")
+    shared = stage(map_arrow(shared, _shared_postings, "key long, fp long, head long", batch_rows=20000), "wide-postings")
+    # The tally of shared groups says which head is nearest; the smallest head is the one that a whole group has in common.
+    tally = shared.where("fp <> head").groupBy("fp", "head").agg(F.count("*").alias("n"))
+    heads = tally.groupBy("fp").agg(F.max_by("head", F.struct("n", "head")).alias("near"), F.min("head").alias("low"))
+    heads = heads.select("fp", F.explode(F.array_distinct(F.array("near", "low"))).alias("head"))
+    edges = _verified(heads.select(F.col("head").alias("a"), F.col("fp").alias("b")), distinct, similarity)
+    roots = stage(components(edges), "wide-first-roots").withColumnRenamed("node", "fp")
+    named = shared.select("key", "fp").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    split = named.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi").select("key")
+    left = stage(named.join(split, "key"), "wide-open")
+    # Of a component with more than a quarter of cap entries in a posting one stands for it; else all its entries are compared.
+    few = cap // 4
+    slim = left.groupBy("key", "root").agg(F.count("*").alias("n"), F.min("fp").alias("one"))
+    some = left.join(slim.where(F.col("n") <= few).select("key", "root"), ["key", "root"]).select("key", "root", "fp")
+    some = some.unionByName(slim.where(F.col("n") > few).select("key", "root", F.col("one").alias("fp")))
+    w = Window.partitionBy("key").orderBy("fp").rowsBetween(1, cap)
+    near = some.withColumn("_next", F.collect_list(F.struct("fp", "root")).over(w))
+    others = F.transform(F.filter("_next", lambda o: o["root"] != F.col("root")), lambda o: o["fp"])
+    pairs = near.select(F.col("fp").alias("a"), F.explode(others).alias("b"))
+    return edges.unionByName(_verified(pairs, distinct, similarity))
 
 
 def near_duplicate_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id and group_id (the smallest doc_id of the group) of every row: groups are connected by pairs with a shingle similarity of at least ``similarity``."""
-    rows = map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _wide(width), "doc_id long, wide binary, n_shingles long")
-    rows = stage(rows.withColumn("fp", F.xxhash64("wide")), "wide")
+    rows = map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _wide(width), "doc_id long, fp long, wide binary, n_shingles long, few binary")
+    rows = stage(rows, "wide")
     by_fp = rows.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
     by_fp = stage(by_fp, "wide-distinct")
     total = by_fp.agg(F.sum("n")).first()[0] or 0
     # One row of each fingerprint: that of its smallest doc_id.
     lows = by_fp.select("fp", F.col("low").alias("doc_id"))
-    distinct = stage(rows.join(lows, ["fp", "doc_id"]).dropDuplicates(["fp"]).select("fp", "wide", "n_shingles"), "wide-one")
+    distinct = stage(rows.join(lows, ["fp", "doc_id"]).dropDuplicates(["fp"]).select("fp", "wide", "n_shingles", "few"), "wide-one")
     roots = stage(components(link_wide(distinct, similarity)), "wide-roots")
     named = stage(by_fp.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "wide-named")
     tops = named.groupBy("root").agg(F.min("low").alias("group_id"), F.count("*").alias("_m"))

@@ -226,6 +226,15 @@ def test_near_duplicates(spark):
     assert simhash.drop_near_duplicates(frame).columns == frame.columns and simhash.drop_near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_short_texts_are_not_confused(spark):
+    """Thousands of texts of one to six words: only those with the same words are copies."""
+    rng = random.Random(11)
+    rows = [(k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(rng.randint(1, 6)))) for k in range(4000)]
+    rows += [(5000 + k, rows[k][1]) for k in range(50)]
+    kept = {r.doc_id for r in simhash.drop_near_duplicates(docs(spark, rows)).collect()}
+    assert kept == set(range(4000))
+
+
 def test_a_large_group_of_near_copies(spark):
     """More members than a posting is expanded for."""
     rng = random.Random(2)
