@@ -22,7 +22,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from millrace.llm._common import map_arrow
 
@@ -181,7 +180,7 @@ def fit(rows: list[tuple[str, str]]) -> Model:
 class Judge:
     """Scores texts with one model, keeping the scores of words."""
 
-    def __init__(self, model: Model, most_words: int = 300_000):
+    def __init__(self, model: Model, most_words: int = 100_000):
         self.model, self.most = model, most_words
         self._clear()
 
@@ -196,7 +195,8 @@ class Judge:
         if new := list(dict.fromkeys(w for words in per_text for w in words if w not in self.index)):
             self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
             size = np.fromiter((len(w) + 1 for w in new), np.float64, len(new))
-            self.table = np.concatenate([self.table, np.column_stack([self.model.word_scores(new), size])])
+            score = np.concatenate([self.model.word_scores(new[k : k + 5000]) for k in range(0, len(new), 5000)])
+            self.table = np.concatenate([self.table, np.column_stack([score, size])])
         get = self.index.__getitem__
         out = []
         for words in per_text:
@@ -217,10 +217,10 @@ def _identify(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(model)
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = batch.column("text")
             rows = []
-            for at in range(0, len(texts), 500):
-                rows += judge(texts[at : at + 500])
+            for at in range(0, len(texts), 300):
+                rows += judge(texts[at : at + 300].to_pylist())
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 4
             kinds = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
             yield pa.record_batch([*batch.columns[:-1], *[pa.array(c, k) for c, k in zip(cols, kinds, strict=True)]], names=[*batch.schema.names[:-1], "lang_pred", "score", "entropy", "rejected"])
@@ -233,11 +233,14 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Fit on at most about ``per_language`` rows (doc_id, lang, text) of each language: those of the lowest hash. Texts are whole."""
+    """Fit on at most about ``per_language`` rows (doc_id, lang, text) of each language: those of the lowest hash. Texts are whole.
+
+    A row is taken if its hash lies in the share that ``per_language`` is of its language; twice that is the bound."""
     rows = labelled.where("text is not null and lang is not null").select("lang", "text", F.xxhash64("doc_id").alias("_h"))
-    first = rows.select("lang", "_h").withColumn("_k", F.row_number().over(Window.partitionBy("lang").orderBy("_h"))).where(F.col("_k") <= per_language)
-    limits = first.groupBy("lang").agg(F.max("_h").alias("_most"))  # a row per language
-    sample = rows.join(F.broadcast(limits), "lang").where("_h <= _most").orderBy("lang", "_h", "text").limit(per_language * max(limits.count(), 1))
+    sizes = rows.groupBy("lang").agg(F.count("*").alias("_n"))  # a row per language
+    place = F.shiftrightunsigned("_h", 11) / F.lit(float(1 << 53))  # in [0, 1)
+    chosen = rows.join(F.broadcast(sizes), "lang").where(place * F.col("_n") < per_language)
+    sample = chosen.orderBy("lang", "_h", "text").limit(2 * per_language * max(sizes.count(), 1))
     return fit([(r["lang"], r["text"]) for r in sample.select("lang", "text").collect()])
 
 
@@ -252,8 +255,8 @@ def _keep(model: Model, place: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(model)
         for batch in batches:
-            texts = batch.column(place).to_pylist()
-            keep = [not r[3] for at in range(0, len(texts), 500) for r in judge(texts[at : at + 500])]
+            texts = batch.column(place)
+            keep = [not r[3] for at in range(0, len(texts), 300) for r in judge(texts[at : at + 300].to_pylist())]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return run
