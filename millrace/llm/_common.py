@@ -8,13 +8,17 @@ folder is used.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.llm.tokenizing import release
 from millrace.shipping import ship
 
 _OWN_DIR: dict[str, str] = {}
@@ -44,14 +48,33 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
-    """``mapInArrow`` with a function of this package."""
-    ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+def map_arrow(df: DataFrame, function, schema: str, encodes: bool = False, batch_rows: int = 2000, give_back: bool = True) -> DataFrame:
+    """``mapInArrow`` with a function of this package, in batches of at most ``batch_rows`` rows (texts can be long).
 
-
-def text_or_empty(name: str = "text") -> Column:
-    return F.coalesce(F.col(name), F.lit(""))
+    Python workers stay for later stages: one that doesn't encode frees the token caches, and with ``give_back`` free memory goes back when a task ends.
+    """
+    spark = df.sparkSession
+    ship(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
+
+    def run(batches):
+        if not encodes:
+            release()
+        yield from function(batches)
+        if give_back:
+            trim()
+
+    return df.mapInArrow(run, schema)
+
+
+def trim() -> None:
+    """Give this process's free memory back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not every C library has it
+        pass
 
 
 def skew_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, total: int) -> DataFrame:

@@ -30,7 +30,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def _pieces(tokenizer: str, cut: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, cut)
+        enc = encoder(tokenizer, cut, most_units=200_000)
         for batch in batches:
             doc_ids, at = batch.column("doc_id"), 0
             for texts in text_slices(batch.column("text").to_pylist()):
@@ -55,7 +55,7 @@ def _pieces(tokenizer: str, cut: str, end_id: int, capacity: int):
 
 def cut_pieces(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", end_id: int = 0, capacity: int = 2048, cut: str = "white") -> DataFrame:
     """One row per piece of each document's ids (``end_id`` appended)."""
-    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _pieces(tokenizer, cut, end_id, capacity), PIECES)
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _pieces(tokenizer, cut, end_id, capacity), PIECES, encodes=True)
 
 
 def plan_slots(histogram: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:

@@ -76,7 +76,7 @@ def merkle_root(leaves: list[bytes]) -> bytes:
 
 def _encode(tokenizer: str, cut: str, end_id: int, mean: int, least: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, cut)
+        enc = encoder(tokenizer, cut, most_units=1_000_000)
         squeeze = zstandard.ZstdCompressor(level=1)
         seen: set[bytes] = set()  # of this task, to send few copies of a common chunk
         for batch in batches:
@@ -131,10 +131,10 @@ def _merkle_list(roots: pd.Series) -> pd.Series:
 def write_store(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json", end_id: int = 2, cut: str = "space", mean: int = 2048, least: int = 512, most: int = 16384) -> None:
     """Encode ``docs`` (doc_id, text) and write the folder described above."""
     spark = docs.sparkSession
-    raw = map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _encode(tokenizer, cut, end_id, mean, least, most), _RAW)
+    raw = map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _encode(tokenizer, cut, end_id, mean, least, most), _RAW, encodes=True, batch_rows=10000, give_back=False)
     # One shuffle brings equal chunks together; recipes, which need no meeting, are spread by their content.
     key = F.coalesce("digest", F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "digests")).cast("binary"))
-    once = map_arrow(raw.repartition(F.xxhash64(key)), _first_of_each, _RAW)
+    once = map_arrow(raw.repartition(F.xxhash64(key)), _first_of_each, _RAW, encodes=True, batch_rows=10000)
     once.write.option("compression", "uncompressed").parquet(f"{path}/store")
     recipes = spark.read.schema(_RAW).parquet(f"{path}/store").where("kind = 'recipe'")
     recipes = recipes.select("doc_id", F.col("n").alias("n_tokens"), "digests", "lengths", "root")

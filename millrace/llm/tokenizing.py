@@ -10,12 +10,12 @@ from __future__ import annotations
 
 import json
 import os
+from itertools import islice
 
 import numpy as np
 
-#: Units at which the cache is cut back, and how many of the earliest (so the most frequent) it then keeps.
-CACHE_UNITS = 1_000_000
-KEPT_UNITS = 600_000
+#: Units at which the cache is cut back (about 200 bytes each). It then keeps the earliest three fifths, which are the more frequent.
+CACHE_UNITS = 500_000
 #: White space to Python, but not to the tokenizers.
 _CONTROL = "\x1c\x1d\x1e\x1f"
 _JOINED = 2000
@@ -29,14 +29,19 @@ def public_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def encoder(name: str, cut: str) -> "UnitEncoder":
+def encoder(name: str, cut: str, most_units: int = CACHE_UNITS) -> "UnitEncoder":
     """This process's encoder. ``name``: a file of public_tokenizers, or a path. ``cut``: 'space' or 'white'."""
-    key = f"{cut}:{name}"
+    key = f"{cut}:{name}:{most_units}"
     if key not in _ENCODERS:
-        _ENCODERS[key] = UnitEncoder(name if os.path.sep in name else public_path(name), cut)
+        _ENCODERS[key] = UnitEncoder(name if os.path.sep in name else public_path(name), cut, most_units)
     return _ENCODERS[key]
 
 
+def release() -> None:
+    """Free this process's encoders: a worker calls it when it turns to other work."""
+    _ENCODERS.clear()
+
+
 class _NotAUnit(Exception):
     """A piece that belongs to what comes before it."""
 
@@ -60,12 +65,12 @@ class UnitEncoder:
     """``cut='space'`` suits byte-level BPE whose pieces start with their space: a piece starts at any space before a character that is not
     white space. ``cut='white'`` suits vocabularies that drop white space: a piece ends at any."""
 
-    def __init__(self, path: str, cut: str):
+    def __init__(self, path: str, cut: str, most_units: int = CACHE_UNITS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.cut = cut
+        self.cut, self.most_units = cut, most_units
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         suffix = spec["model"].get("end_of_word_suffix") or ""
@@ -80,10 +85,10 @@ class UnitEncoder:
         self.lengths = np.empty(1 << 16, np.int64)
 
     def _cut_back(self) -> None:
-        kept = list(self.index.items())[:KEPT_UNITS]
+        kept = list(islice(self.index.items(), self.most_units * 3 // 5))
         self.index = _Index(kept)
         # Units learnt together lie together, but not in order of their numbers.
-        self.used = int((self.starts[:KEPT_UNITS] + self.lengths[:KEPT_UNITS]).max())
+        self.used = int((self.starts[: len(kept)] + self.lengths[: len(kept)]).max())
 
     def _numbers(self, text: str) -> list[int]:
         """The numbers of a text's units."""
@@ -154,7 +159,7 @@ class UnitEncoder:
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text's followed by ``end_id``, and the number of ids of each."""
-        if len(self.index) > CACHE_UNITS:
+        if len(self.index) > self.most_units:
             self._cut_back()
         per_text = [self._numbers(t) for t in texts]
         self._learn()

@@ -30,13 +30,12 @@ def test_units_equal_whole_texts(name, cut):
         at += n
 
 
-def test_cache_cut_back(monkeypatch):
-    monkeypatch.setattr(tokenizing, "CACHE_UNITS", 30)
-    monkeypatch.setattr(tokenizing, "KEPT_UNITS", 10)
-    enc = tokenizing.UnitEncoder(tokenizing.public_path("byte_bpe_50k.json"), "space")
+def test_cache_cut_back():
+    enc = tokenizing.UnitEncoder(tokenizing.public_path("byte_bpe_50k.json"), "space", most_units=20)
     for k in range(20):
         text = " ".join(f"w{j}" for j in range(k, k + 9)) + " the the"
         assert enc.encode([text], 1)[0].tolist() == [*enc.tokenizer.encode(text, add_special_tokens=False).ids, 1]
+        assert len(enc.index) < 40
 
 
 # --- operator 2
@@ -192,7 +191,7 @@ def test_topk_edges(spark):
     rows = [(0, f), (1, None), (2, [0.5, None]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, [0.001, -0.001]), (100, f), (6, [1.0]), (7, []), (None, f), (8, [0.1, 0.2, 0.3]), (8, [0.1, 0.2, 0.3])]
     assert run(spark, rows) == brute(rows, lambda i: i % 100 == 0, 10)
     assert run(spark, rows[1:5]) == [] and run(spark, []) == []
-    big = [(0, [3.0e5, 1.0]), (1, [2.0e5, 1.0]), (2, [-1.0e5, 2.0])]
+    big = [(0, [3.0e5, 1.0]), (1, [2.0e5, 1.0]), (2, [-1.0e5, 2.0]), (3, [2.0e5, 1.0])]
     assert run(spark, big) == brute(big, lambda i: i % 100 == 0, 10)
 
 
