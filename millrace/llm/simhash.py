@@ -267,12 +267,44 @@ def _verified(pairs: DataFrame, distinct: DataFrame, similarity: float) -> DataF
     return stage(map_arrow(both, _similar(similarity), "a long, b long"), "wide-links")
 
 
-def link_wide(distinct: DataFrame, similarity: float, cap: int = CAP) -> DataFrame:
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each row's two blocks of entries (fp, root): the pairs a < b with different roots."""
+    for batch in batches:
+        out = []
+        sides = [(x.field("fp").to_numpy(), x.field("root").to_numpy(), c.offsets.to_numpy()) for c in (batch.column("xs"), batch.column("ys")) for x in (c.values,)]
+        (fx, rx, ox), (fy, ry, oy) = sides
+        for k in range(batch.num_rows):
+            f, g = fx[ox[k] : ox[k + 1]], fy[oy[k] : oy[k + 1]]
+            i, j = np.nonzero(rx[ox[k] : ox[k + 1], None] != ry[None, oy[k] : oy[k + 1]])
+            out.append(np.unique(np.stack([np.minimum(f[i], g[j]), np.maximum(f[i], g[j])]), axis=1))
+        a, b = np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
+        for at in range(0, len(a), 100_000):
+            yield pa.record_batch([pa.array(a[at : at + 100_000]), pa.array(b[at : at + 100_000])], names=["a", "b"])
+
+
+def _open_pairs(left: DataFrame, block: int) -> DataFrame:
+    """Every pair a < b of entries (key, fp, root) of one posting and of different roots.
+
+    A posting is cut into blocks of about ``block`` entries, and blocks meet in pairs, so no row and no task holds a long posting. A component with more
+    entries than that in a posting has blocks of its own, which don't meet one another.
+    """
+    sizes = left.groupBy("key", "root").agg(F.count("*").alias("_n")).withColumn("pure", F.col("_n") > block)
+    sizes = sizes.withColumn("tag", F.when(F.col("pure"), F.col("root")).otherwise(0))
+    rows = sizes.groupBy("key", "pure", "tag").agg(F.sum("_n").alias("_m"), F.collect_list("root").alias("_roots"))
+    place = stage(rows.select("key", "pure", "tag", "_m", F.explode("_roots").alias("root")), "wide-places")
+    at = F.pmod(F.xxhash64("fp"), F.ceil(F.col("_m") / block)).alias("part")
+    blocks = left.join(place, ["key", "root"]).select("key", F.struct("pure", "tag", at).alias("at"), F.struct("fp", "root").alias("e"))
+    blocks = stage(blocks.groupBy("key", "at").agg(F.collect_list("e").alias("es")), "wide-blocks")
+    x, y = (blocks.select("key", F.col("at").alias(f"{c}at"), F.col("es").alias(f"{c}s")) for c in "xy")
+    apart = (F.col("xat") <= F.col("yat")) & ~(F.col("xat.pure") & F.col("yat.pure") & (F.col("xat.tag") == F.col("yat.tag")))
+    return map_arrow(x.join(y, "key").where(apart).select("xs", "ys"), _across, "a long, b long", batch_rows=200)
+
+
+def link_wide(distinct: DataFrame, similarity: float, block: int = CAP) -> DataFrame:
     """Edges a, b between entries (fp, wide, n_shingles, few) that connect those whose shingle similarity is high enough.
 
-    First every entry is compared with two heads: of the smallest entries of its postings, the one with which it shares most postings, and the smallest. That gathers a group of near copies with few comparisons, whatever its size. Then entries of one
-    posting that are not connected yet are compared, each with the ``cap`` entries that follow it there. Postings that are longer than that
-    and still not connected are rare (24-bit keys), and entries meet in many postings, so little is lost to the bound; like the search itself this is a matter of chance.
+    First every entry is compared with two heads: of the smallest entries of its postings, the one with which it shares most postings, and the smallest. That gathers a group of near copies with few comparisons, whatever its size. Then all entries of one
+    posting that are not connected yet are compared, block by block (:func:`_open_pairs`), whatever the posting's length.
     """
     keys = map_arrow(distinct.select("fp", "wide"), _group_keys, "fp long, key long")
     shared = keys.repartition("key").sortWithinPartitions("key", "fp")
@@ -286,16 +318,7 @@ def link_wide(distinct: DataFrame, similarity: float, cap: int = CAP) -> DataFra
     named = shared.select("key", "fp").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     split = named.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi").select("key")
     left = stage(named.join(split, "key"), "wide-open")
-    # Of a component with more than a quarter of cap entries in a posting one stands for it; else all its entries are compared.
-    few = cap // 4
-    slim = left.groupBy("key", "root").agg(F.count("*").alias("n"), F.min("fp").alias("one"))
-    some = left.join(slim.where(F.col("n") <= few).select("key", "root"), ["key", "root"]).select("key", "root", "fp")
-    some = some.unionByName(slim.where(F.col("n") > few).select("key", "root", F.col("one").alias("fp")))
-    w = Window.partitionBy("key").orderBy("fp").rowsBetween(1, cap)
-    near = some.withColumn("_next", F.collect_list(F.struct("fp", "root")).over(w))
-    others = F.transform(F.filter("_next", lambda o: o["root"] != F.col("root")), lambda o: o["fp"])
-    pairs = near.select(F.col("fp").alias("a"), F.explode(others).alias("b"))
-    return edges.unionByName(_verified(pairs, distinct, similarity))
+    return edges.unionByName(_verified(_open_pairs(left, block), distinct, similarity))
 
 
 def near_duplicate_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:

@@ -248,6 +248,14 @@ def test_a_large_group_of_near_copies(spark):
     assert {r.group_id for r in groups} == {0}
 
 
+def test_all_open_pairs_of_a_long_posting_meet(spark):
+    """A posting of a large component, a middle one and single entries: every pair of different roots, once or more, and no other."""
+    root = {k: 0 if k < 300 else 300 if k < 400 else k for k in range(420)}
+    left = spark.createDataFrame([(7, k, r) for k, r in root.items()], "key long, fp long, root long")
+    got = {tuple(r) for r in simhash._open_pairs(left, 64).collect()}
+    assert got == {(a, b) for b in root for a in range(b) if root[a] != root[b]}
+
+
 # --- operator 10
 
 
