@@ -18,6 +18,7 @@ unless alone in it (component_id null); an empty table gives no rows; further co
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -26,7 +27,6 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from millrace.llm._common import components, map_arrow, skew_join, stage
 
@@ -153,68 +153,90 @@ def simhash_components(docs: DataFrame, width: int = 3, max_bits: int = 2, cap:
     return skew_join(rows, table, ["fp"], "n", total).select("doc_id", hex16(F.col("fp")).alias("fingerprint"), "component_id")
 
 
-# Wide fingerprints: near-duplicates by shingle similarity.
+# Near-duplicates by shingle similarity (Jaccard), exactly.
 #
-# Copies with a shingle similarity of 0.8 differ in about 15 % of a SimHash's bits, far more than an exact 64-bit
-# index reaches. So a text gets WIDE bits, of which the 3-byte groups are the postings: a pair at 0.9 meets in one with a chance above 0.99, one at 0.85 with a
-# chance of about 0.96, one at 0.8 of about 0.8. The number of differing bits gives a pair's similarity within about 0.02; where both texts have few shingles,
-# their shingle hashes are compared instead, as few shingles leave too few distinct bit patterns. Texts with the same set of shingles are one entry.
+# Shingles have a global order. Two texts of n and m shingles and a similarity of at least t share max(t n, t m) of them or more, so
+# each has a shared one among its first n - t n + 1: its prefix. The postings are those of the prefixes, so no pair is lost, and each pair found is
+# compared on all its shingles' hashes. Any order will do; common shingles come last, so that passages which many texts share
+# are in few prefixes. Which ones are common is estimated from a sample, which bears on the number of comparisons only. Texts with the same set of shingles are one entry.
 
-DIMENSIONS = 4096
-WIDE = 2048
-GROUPS = WIDE // 24
-#: Texts with at most so many shingles carry their hashes.
-FEW = 64
+#: One document in so many is read for common shingles; at most so many of them are known.
+SAMPLE, COMMON = 16, 200_000
+#: Up to so many documents (8 bytes each) are picked by a broadcast when their texts are read again.
+BROADCAST_DOCS = 2_000_000
 
 
-def _signs() -> np.ndarray:
-    return np.where(np.random.Generator(np.random.PCG64(SEED)).integers(0, 2, DIMENSIONS), 1.0, -1.0).astype(np.float32)
+def _needed(n: int, similarity: float) -> int:
+    """The least number of shared shingles that a text of n has with one that is similar enough."""
+    return math.ceil(similarity * n - 1e-9)
 
 
-def wide_bits(sketches: np.ndarray) -> np.ndarray:
-    """Rows of DIMENSIONS signed sums to WIDE projection signs (a fast Hadamard transform of randomly signed inputs), packed."""
-    x = sketches * _signs()
-    n, h = len(x), 1
-    while h < DIMENSIONS:
-        y = x.reshape(n, DIMENSIONS // (2 * h), 2, h)
-        x = np.concatenate([(y[:, :, 0] + y[:, :, 1])[:, :, None], (y[:, :, 0] - y[:, :, 1])[:, :, None]], axis=2).reshape(n, DIMENSIONS)
-        h *= 2
-    return np.packbits(x[:, DIMENSIONS - WIDE :] > 0, axis=1)
+def _sets(texts: pa.Array, width: int) -> Iterator[tuple[np.ndarray, int]]:
+    """Each text's distinct shingle hashes, ascending, and a hash of them."""
+    for t in texts:
+        h = np.unique(shingle_hashes(split_words(t.as_py() or ""), width))
+        yield h, xxhash.xxh64_intdigest(h.tobytes(), SEED)
 
 
-def _wide(width: int):
+def _signed(values: list[int]) -> pa.Array:
+    return pa.array(np.array(values, np.uint64).view(np.int64))
+
+
+def _all_shingles(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 200):
+                found = [h for h, _ in _sets(batch.column("text")[at : at + 200], width)]
+                yield pa.record_batch([pa.array(np.concatenate(found).view(np.int64))], names=["h"])
+
+    return run
+
+
+def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (ascending) of shingles that many documents hold, and how common each is."""
+    sample = docs.where(F.pmod(F.xxhash64("doc_id", "text"), F.lit(SAMPLE)) == 0).select("text")
+    counts = map_arrow(sample, _all_shingles(width), "h long").groupBy("h").agg(F.count("*").alias("n")).where("n > 2")
+    found = counts.orderBy(F.desc("n"), "h").limit(COMMON).toArrow()
+    h = found.column("h").to_numpy().view(np.uint64)
+    order = np.argsort(h)
+    return h[order], np.log2(found.column("n").to_numpy()).astype(np.int8)[order]
+
+
+def _prefixes(width: int, similarity: float, common: tuple[np.ndarray, np.ndarray]):
+    known, rank = common
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, keys, firsts = [], [], []
+            for h, key in _sets(batch.column("text"), width):
+                sizes.append(len(h))
+                keys.append(key)
+                if len(known) and len(h):
+                    at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                    h = h[np.argsort(np.where(known[at] == h, rank[at], 0), kind="stable")]
+                firsts.append(h[: len(h) - _needed(len(h), similarity) + 1].tobytes())
+            yield pa.record_batch([batch.column("doc_id"), _signed(keys), pa.array(sizes, pa.int64()), pa.array(firsts, pa.binary())], names=["doc_id", "fp", "n_shingles", "prefix"])
+
+    return run
+
+
+def _hash_sets(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, parts, sizes, keys, few = batch.column("text"), [], [], [], []
-            for at in range(0, len(texts), 128):
-                some = texts[at : at + 128]
-                rows = np.zeros((len(some), DIMENSIONS), np.float32)
-                for k, t in enumerate(some):
-                    h = np.unique(shingle_hashes(split_words(t.as_py() or ""), width))
-                    sign = (h >> np.uint64(63)).astype(np.float32) * 2 - 1
-                    rows[k] = np.bincount((h % np.uint64(DIMENSIONS)).astype(np.int64), weights=sign, minlength=DIMENSIONS)
-                    sizes.append(len(h))
-                    data = h.tobytes()
-                    keys.append(xxhash.xxh64_intdigest(data, SEED))
-                    few.append(data if len(h) <= FEW else None)
-                parts.append(wide_bits(rows))
-            packed = np.concatenate(parts) if parts else np.empty((0, WIDE // 8), np.uint8)
-            fps = pa.array([r.tobytes() for r in packed], pa.binary())
-            key = pa.array(np.array(keys, np.uint64).view(np.int64))
-            yield pa.record_batch([batch.column("doc_id"), key, fps, pa.array(sizes, pa.int64()), pa.array(few, pa.binary())], names=["doc_id", "fp", "wide", "n_shingles", "few"])
+            sets = list(_sets(batch.column("text"), width))
+            yield pa.record_batch([_signed([k for _, k in sets]), pa.array([h.tobytes() for h, _ in sets], pa.binary())], names=["fp", "hashes"])
 
     return run
 
 
-def _group_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The 3-byte groups of each fingerprint, with their place."""
+def _prefix_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles of each entry's prefix."""
     for batch in batches:
-        for at in range(0, batch.num_rows, 2000):
-            part = batch.slice(at, 2000)
-            data = np.frombuffer(b"".join(part.column("wide").to_pylist()), np.uint8).reshape(-1, WIDE // 8)[:, : GROUPS * 3].reshape(-1, GROUPS, 3).astype(np.int64)
-            keys = (np.arange(GROUPS) << 24) | (data[:, :, 0] << 16) | (data[:, :, 1] << 8) | data[:, :, 2]
-            fps = np.repeat(part.column("fp").to_numpy(), GROUPS)
-            yield pa.record_batch([pa.array(fps), pa.array(keys.ravel())], names=["fp", "key"])
+        for at in range(0, batch.num_rows, 500):
+            part = batch.slice(at, 500)
+            firsts = part.column("prefix").to_pylist()
+            fps = np.repeat(part.column("fp").to_numpy(), [len(x) // 8 for x in firsts])
+            yield pa.record_batch([pa.array(fps), pa.array(np.frombuffer(b"".join(firsts), np.int64))], names=["fp", "key"])
 
 
 def _shared_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -246,25 +268,29 @@ def _shared_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def _similar(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, WIDE // 64) for c in ("wa", "wb"))
-            differ = np.bitwise_count(x ^ y).sum(axis=1)
-            na, nb = (batch.column(c).to_numpy().astype(np.float64) for c in ("na", "nb"))
-            both = np.cos(np.pi * differ / WIDE) * np.sqrt(na * nb)
-            keep = both >= similarity * (na + nb - both)
-            for k, (p, q) in enumerate(zip(batch.column("fa").to_pylist(), batch.column("fb").to_pylist(), strict=True)):
-                if p is not None and q is not None:
-                    n = len(np.intersect1d(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), assume_unique=True))
-                    keep[k] = n >= similarity * (na[k] + nb[k] - n)
-            yield batch.select(["a", "b"]).filter(pa.array(keep))
+            keep = []
+            for p, q in zip(batch.column("ha"), batch.column("hb"), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (p, q))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= _needed(len(x) + len(y) - both, similarity))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return run
 
 
-def _verified(pairs: DataFrame, distinct: DataFrame, similarity: float) -> DataFrame:
-    """The pairs a, b that are similar enough."""
-    side = lambda x: distinct.select(F.col("fp").alias(x), F.col("wide").alias(f"w{x}"), F.col("n_shingles").alias(f"n{x}"), F.col("few").alias(f"f{x}"))
-    both = pairs.distinct().join(side("a"), "a").join(side("b"), "b").select("a", "b", "wa", "wb", "na", "nb", "fa", "fb")
-    return stage(map_arrow(both, _similar(similarity), "a long, b long"), "wide-links")
+def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The pairs a, b that are similar enough. The texts of those whose sizes allow it are read again."""
+    side = lambda x: distinct.select(F.col("fp").alias(x), F.col("n_shingles").alias(f"n{x}"))
+    both = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
+    both = stage(both.where(F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9).select("a", "b"), "near-pairs")
+    wanted = stage(both.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(distinct.select("fp", "doc_id"), "fp"), "near-wanted")
+    ids = wanted.select("doc_id").distinct()
+    texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ids) if wanted.count() <= BROADCAST_DOCS else ids, "doc_id", "left_semi")
+    sets = map_arrow(texts, _hash_sets(width), "fp long, hashes binary").join(wanted.select("fp"), "fp", "left_semi").dropDuplicates(["fp"])
+    sets = stage(sets, "near-sets")
+    for x in "ab":
+        both = both.join(sets.select(F.col("fp").alias(x), F.col("hashes").alias(f"h{x}")), x)
+    return stage(map_arrow(both.select("a", "b", "ha", "hb"), _similar(similarity), "a long, b long", batch_rows=200), "near-links")
 
 
 def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -291,50 +317,51 @@ def _open_pairs(left: DataFrame, block: int) -> DataFrame:
     sizes = left.groupBy("key", "root").agg(F.count("*").alias("_n")).withColumn("pure", F.col("_n") > block)
     sizes = sizes.withColumn("tag", F.when(F.col("pure"), F.col("root")).otherwise(0))
     rows = sizes.groupBy("key", "pure", "tag").agg(F.sum("_n").alias("_m"), F.collect_list("root").alias("_roots"))
-    place = stage(rows.select("key", "pure", "tag", "_m", F.explode("_roots").alias("root")), "wide-places")
+    place = stage(rows.select("key", "pure", "tag", "_m", F.explode("_roots").alias("root")), "near-places")
     at = F.pmod(F.xxhash64("fp"), F.ceil(F.col("_m") / block)).alias("part")
     blocks = left.join(place, ["key", "root"]).select("key", F.struct("pure", "tag", at).alias("at"), F.struct("fp", "root").alias("e"))
-    blocks = stage(blocks.groupBy("key", "at").agg(F.collect_list("e").alias("es")), "wide-blocks")
+    blocks = stage(blocks.groupBy("key", "at").agg(F.collect_list("e").alias("es")), "near-blocks")
     x, y = (blocks.select("key", F.col("at").alias(f"{c}at"), F.col("es").alias(f"{c}s")) for c in "xy")
     apart = (F.col("xat") <= F.col("yat")) & ~(F.col("xat.pure") & F.col("yat.pure") & (F.col("xat.tag") == F.col("yat.tag")))
     return map_arrow(x.join(y, "key").where(apart).select("xs", "ys"), _across, "a long, b long", batch_rows=200)
 
 
-def link_wide(distinct: DataFrame, similarity: float, block: int = CAP) -> DataFrame:
-    """Edges a, b between entries (fp, wide, n_shingles, few) that connect those whose shingle similarity is high enough.
+def link_similar(distinct: DataFrame, docs: DataFrame, width: int, similarity: float, block: int = CAP) -> DataFrame:
+    """Edges a, b between entries (fp, doc_id, n_shingles, prefix) of ``docs`` that connect all those whose shingle similarity is high enough.
 
     First every entry is compared with two heads: of the smallest entries of its postings, the one with which it shares most postings, and the smallest. That gathers a group of near copies with few comparisons, whatever its size. Then all entries of one
     posting that are not connected yet are compared, block by block (:func:`_open_pairs`), whatever the posting's length.
     """
-    keys = map_arrow(distinct.select("fp", "wide"), _group_keys, "fp long, key long")
+    keys = map_arrow(distinct.select("fp", "prefix"), _prefix_keys, "fp long, key long")
     shared = keys.repartition("key").sortWithinPartitions("key", "fp")
-    shared = stage(map_arrow(shared, _shared_postings, "key long, fp long, head long", batch_rows=20000), "wide-postings")
-    # The tally of shared groups says which head is nearest; the smallest head is the one that a whole group has in common.
+    shared = stage(map_arrow(shared, _shared_postings, "key long, fp long, head long", batch_rows=20000), "near-postings")
+    # The tally of shared shingles says which head is nearest; the smallest head is the one that a whole group has in common.
     tally = shared.where("fp <> head").groupBy("fp", "head").agg(F.count("*").alias("n"))
     heads = tally.groupBy("fp").agg(F.max_by("head", F.struct("n", "head")).alias("near"), F.min("head").alias("low"))
     heads = heads.select("fp", F.explode(F.array_distinct(F.array("near", "low"))).alias("head"))
-    edges = _verified(heads.select(F.col("head").alias("a"), F.col("fp").alias("b")), distinct, similarity)
-    roots = stage(components(edges), "wide-first-roots").withColumnRenamed("node", "fp")
+    edges = _verified(heads.select(F.col("head").alias("a"), F.col("fp").alias("b")), distinct, docs, width, similarity)
+    roots = stage(components(edges), "near-first-roots").withColumnRenamed("node", "fp")
     named = shared.select("key", "fp").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     split = named.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi").select("key")
-    left = stage(named.join(split, "key"), "wide-open")
-    return edges.unionByName(_verified(_open_pairs(left, block), distinct, similarity))
+    left = stage(named.join(split, "key"), "near-open")
+    return edges.unionByName(_verified(_open_pairs(left, block), distinct, docs, width, similarity))
 
 
 def near_duplicate_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
     """doc_id and group_id (the smallest doc_id of the group) of every row: groups are connected by pairs with a shingle similarity of at least ``similarity``."""
-    rows = map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _wide(width), "doc_id long, fp long, wide binary, n_shingles long, few binary")
-    rows = stage(rows, "wide")
+    common = common_shingles(docs, width)
+    rows = map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _prefixes(width, similarity, common), "doc_id long, fp long, n_shingles long, prefix binary")
+    rows = stage(rows, "near")
     by_fp = rows.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
-    by_fp = stage(by_fp, "wide-distinct")
+    by_fp = stage(by_fp, "near-distinct")
     total = by_fp.agg(F.sum("n")).first()[0] or 0
     # One row of each fingerprint: that of its smallest doc_id.
     lows = by_fp.select("fp", F.col("low").alias("doc_id"))
-    distinct = stage(rows.join(lows, ["fp", "doc_id"]).dropDuplicates(["fp"]).select("fp", "wide", "n_shingles", "few"), "wide-one")
-    roots = stage(components(link_wide(distinct, similarity)), "wide-roots")
-    named = stage(by_fp.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "wide-named")
+    distinct = stage(rows.join(lows, ["fp", "doc_id"]).dropDuplicates(["fp"]).select("fp", "doc_id", "n_shingles", "prefix"), "near-one")
+    roots = stage(components(link_similar(distinct, docs, width, similarity)), "near-roots")
+    named = stage(by_fp.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "near-named")
     tops = named.groupBy("root").agg(F.min("low").alias("group_id"), F.count("*").alias("_m"))
-    table = stage(skew_join(named, stage(tops, "wide-tops"), ["root"], "_m", named.count()).select("fp", "n", "group_id"), "wide-table")
+    table = stage(skew_join(named, stage(tops, "near-tops"), ["root"], "_m", named.count()).select("fp", "n", "group_id"), "near-table")
     return skew_join(rows.select("doc_id", "fp"), table, ["fp"], "n", total).select("doc_id", "group_id")
 
 
