@@ -1,12 +1,11 @@
 """Operator 10: benchmark decontamination by spaced-seed hashing.
 
-A mask keeps some of SPAN successive token positions and ignores the rest. Under each mask every
+A mask keeps some of a few successive token positions and ignores the rest. Under each mask every
 window of a document and of a benchmark item is hashed over its kept tokens; windows with equal hashes are
-hits. All windows of both sides are hashed. The first mask ignores each third position, so of any three successive windows one
-ignores a given token: in an overlap of 13 tokens or more, one substituted token never hides all windows. The second mask has no
-period, for pairs of substitutions that the first one can't ignore together. A hit fixes how document and item line up; the tokens
-around it are then compared one by one, and pairs with a long enough, equal enough overlap stand.
-Items shorter than SPAN are matched whole. Built-in functions only.
+hits. All windows of both sides are hashed. The masks are such that no stretch of SPAN tokens or more that starts and ends with equal tokens, three
+quarters of them equal, is without a hit, wherever its substitutions are (the tests go through all patterns). Items shorter than SPAN have masks that do the same for the whole
+item. A hit fixes how document and item line up; the tokens around it are then compared one by one, and pairs with a long enough, equal enough overlap stand.
+Built-in functions only.
 
 Defined cases: null and empty texts have no tokens and never match; items of fewer than ``min_item`` tokens
 are left out; repeated rows of documents or items give the same pair once for each doc_id and item_id; of overlaps of one pair the longest (then the earliest) is
@@ -15,6 +14,8 @@ returned; empty tables give no rows; further columns are ignored.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,8 +23,15 @@ from pyspark.sql.window import Window
 from millrace.llm._common import stage
 
 SPAN = 12
-#: Each mask's kept positions.
-MASKS = ((0, 1, 3, 4, 6, 7, 9, 10), (0, 1, 2, 5, 7, 8, 10, 11))
+#: Each mask's kept positions: for overlaps of SPAN tokens or more,
+MASKS = ((0, 1, 2, 3), (0, 1, 3, 4))
+#: for those of LEAST or more,
+SHORT_MASKS = ((0, 1, 2), (0, 1, 3, 4))
+LEAST = 5
+#: and for whole items of fewer tokens.
+TINY_MASKS = {1: ((0,),), 2: ((0, 1),), 3: ((0, 1, 2),), 4: ((0, 1, 3), (0, 2, 3))}
+#: The masks hold for overlaps with at least this share of equal tokens.
+EQUAL = 0.75
 #: Up to so many hashed benchmark windows (20 bytes each) are broadcast; beyond, the join shuffles.
 BROADCAST_WINDOWS = 2_000_000
 
@@ -39,10 +47,15 @@ def _window_hashes(words: Column, kept: tuple[int, ...], tag: int) -> Column:
     return F.transform(starts, lambda _, i: F.xxhash64(F.lit(tag), *[F.get(words, i + k) for k in kept]))
 
 
-def windows(frame: DataFrame, widths: list[int]) -> DataFrame:
-    """``frame`` (id, words) to id, mask, pos, h: hashed windows under all masks, and whole contiguous windows of the given short widths."""
-    arrays = [_window_hashes(F.col("words"), kept, k) for k, kept in enumerate(MASKS)]
-    arrays += [_window_hashes(F.col("words"), tuple(range(w)), 100 + w) for w in widths]
+def masks_of(width: int, min_overlap: int = SPAN) -> tuple[tuple[int, ...], ...]:
+    """The masks for items of ``width`` tokens."""
+    width = min(width, min_overlap)
+    return MASKS if width >= SPAN else SHORT_MASKS if width >= LEAST else TINY_MASKS[width]
+
+
+def windows(frame: DataFrame, masks: list[tuple[int, ...]]) -> DataFrame:
+    """``frame`` (id, words) to id, pos, h: hashed windows under all masks."""
+    arrays = [_window_hashes(F.col("words"), kept, sum(1 << k for k in kept)) for kept in masks]
     packed = [F.transform(a, lambda h, i: F.struct(i.alias("pos"), h.alias("h"))) for a in arrays]
     return frame.select("id", F.explode(F.concat(*packed)).alias("_w")).select("id", F.col("_w.pos").alias("pos"), F.col("_w.h").alias("h"))
 
@@ -54,13 +67,19 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, min_overlap: int =
     that is shorter) and at least ``min_equal`` of them equal. It is the best-scoring stretch of the
     alignment, an equal token counting 1 and a different one -0.9.
     """
-    items = benchmark.where("item_id is not null").select(F.col("item_id").alias("id"), tokens(F.col("text")).alias("words")).where(F.size("words") >= min_item)
+    if min_equal < EQUAL:
+        raise ValueError(f"the masks guarantee a hit for overlaps with at least {EQUAL} of their tokens equal")
+    items = benchmark.where("item_id is not null").select(F.col("item_id").alias("id"), tokens(F.col("text")).alias("words")).where(F.size("words") >= max(min_item, 1))
     items = stage(items, "bench-items")
-    widths = sorted(r[0] for r in items.where(F.size("words") < SPAN).select(F.size("words")).distinct().collect())  # at most SPAN values
-    seeds = stage(windows(items.where(F.size("words") >= SPAN), []).unionByName(windows(items.where(F.size("words") < SPAN), widths)).select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "h").distinct(), "bench-seeds")
+    widths = sorted(r[0] for r in items.select(F.least(F.size("words"), F.lit(SPAN))).distinct().collect())  # at most SPAN values
+    of = {w: masks_of(w, max(min_overlap, 1)) for w in widths}
+    masks = sorted({m for found in of.values() for m in found})
+    seeds = [windows(items.where(F.least(F.size("words"), F.lit(SPAN)).isin([w for w in widths if m in of[w]])), [m]) for m in masks]
+    seeds = reduce(DataFrame.unionByName, seeds) if seeds else windows(items, [MASKS[0]])
+    seeds = stage(seeds.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "h").distinct(), "bench-seeds")
     words = docs.where("doc_id is not null").select(F.col("doc_id").alias("id"), tokens(F.col("text")).alias("words"))
     small = seeds.count() <= BROADCAST_WINDOWS
-    hits = windows(words, widths).join(F.broadcast(seeds) if small else seeds, "h")
+    hits = windows(words, masks or [MASKS[0]]).join(F.broadcast(seeds) if small else seeds, "h")
     lined = hits.select("id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
     lined = stage(lined, "bench-hits")
     by_doc = lined.groupBy("id").agg(F.collect_set(F.struct("item_id", "shift")).alias("lines"))

@@ -1,6 +1,7 @@
 """Operators 4, 7, 9 and 10: against brute force and held-out rows."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -341,3 +342,39 @@ def test_one_substitution_never_hides_an_overlap(spark):
         rows.append((k, " ".join(["a", "b", *w, "c"])))
     bench = spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")
     assert {r.doc_id for r in decontam.find_contamination(docs(spark, rows), bench).collect()} == set(range(1, 12))
+
+
+def test_masks_cover_every_pattern():
+    """No pattern of equal (1) and different (0) tokens that the thresholds admit is without a hit: by enumeration for 12 tokens and short items, by the fewest different tokens that avoid all masks for longer overlaps."""
+    hit = lambda same, masks: any(all(p + k < len(same) and same[p + k] for k in m) for m in masks for p in range(len(same)))
+    for n in range(1, 17):
+        for inner in itertools.product((0, 1), repeat=max(n - 2, 0)):
+            same = (1, *inner, 1)[:n] if n > 1 else (1,)
+            if 4 * sum(same) >= 3 * n:
+                assert hit(same, decontam.masks_of(n)), same
+    full = [sum(1 << (max(m) - k) for k in m) for m in decontam.MASKS]
+    fewest = {1: 0}  # by the last tokens
+    for n in range(2, 400):
+        after = {}
+        for last, gone in fewest.items():
+            for equal in (0, 1):
+                now = (last << 1 | equal) & 31
+                if not any(now & f == f for f in full):
+                    after[now] = min(after.get(now, n), gone + 1 - equal)
+        fewest = after
+        assert n < 12 or 4 * min(g for last, g in fewest.items() if last & 1) > n
+
+
+def test_substitutions_never_hide_an_overlap(spark):
+    """Overlaps of 12 tokens with up to three substitutions and short items with one or two, where the whole overlap scores best."""
+    rows, want = [], set()
+    items = {0: 12, 1: 5, 2: 8, 3: 11}
+    for i, n in items.items():
+        for gone in (g for k in range(n // 4 + 1) for g in itertools.combinations(range(1, n - 1), k)):
+            same = [k not in gone for k in range(n)]
+            score = [1 if x else -0.9 for x in same]
+            if all(sum(score[:k]) > 0.05 and sum(score[-k:]) > 0.05 for k in range(1, n)):
+                want.add((len(rows), i))
+                rows.append((len(rows), " ".join(["a", "b", *[f"t{i}x{k}" if x else "other" for k, x in enumerate(same)], "c"])))
+    bench = spark.createDataFrame([(i, " ".join(f"t{i}x{k}" for k in range(n))) for i, n in items.items()], "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in decontam.find_contamination(docs(spark, rows), bench).collect()} == want
