@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from millrace.llm._common import map_arrow
 
@@ -233,14 +234,16 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train(labelled: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Fit on at most about ``per_language`` rows (doc_id, lang, text) of each language: those of the lowest hash. Texts are whole.
+    """Fit on at most about ``per_language`` rows (doc_id, lang, text) of each language: those of the lowest hash. Texts are whole, equal rows count once.
 
-    A row is taken if its hash lies in the share that ``per_language`` is of its language; twice that is the bound."""
-    rows = labelled.where("text is not null and lang is not null").select("lang", "text", F.xxhash64("doc_id").alias("_h"))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("_n"))  # a row per language
+    A row is taken if its hash lies in the share that ``per_language`` is of its language; twice that is each language's bound."""
+    rows = labelled.where("text is not null and lang is not null").select("lang", "text", F.xxhash64("doc_id", "text").alias("_h"))
+    sizes = rows.groupBy("lang").agg(F.approx_count_distinct("_h", 0.02).alias("_n"))  # a row per language
     place = F.shiftrightunsigned("_h", 11) / F.lit(float(1 << 53))  # in [0, 1)
     chosen = rows.join(F.broadcast(sizes), "lang").where(place * F.col("_n") < per_language)
-    sample = chosen.orderBy("lang", "_h", "text").limit(2 * per_language * max(sizes.count(), 1))
+    once = chosen.groupBy("lang", "_h").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("_h"))
+    sample = once.withColumn("_k", rank).where(F.col("_k") <= 2 * per_language).orderBy("lang", "_k")
     return fit([(r["lang"], r["text"]) for r in sample.select("lang", "text").collect()])
 
 

@@ -105,6 +105,16 @@ def test_language_without_training_rows(spark):
     assert langid.identify(frame.select("doc_id", "text").limit(0), model).collect() == []
 
 
+def test_rows_without_id_and_repeated_rows_leave_no_language_out(spark):
+    rng = random.Random(12)
+    rows = [(None, sentence(rng, lang), lang) for lang in LANGS for _ in range(100)]
+    rows += [(1, sentence(rng, "de"), "de") for _ in range(100)] + [(2, "die und", "de")] * 2000
+    frame = docs(spark, rows, "doc_id long, text string, lang string")
+    model = langid.train(frame, per_language=10)
+    assert model.languages == ["de", "en", "fr"]
+    assert not any(r.rejected for r in langid.identify(frame.select("doc_id", "text"), model).collect())
+
+
 def test_probabilities_sum_to_one():
     """The next character after a seen context: over all known characters and an unknown one, probabilities add up to 1."""
     rng = random.Random(1)
