@@ -279,10 +279,16 @@ def _similar(similarity: float):
 
 
 def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The pairs a, b that are similar enough. The texts of those whose sizes allow it are read again."""
+    """The pairs a, b that are similar enough, of rows a, b that stand for a shared shingle of the prefixes each (or for ``n`` of them).
+
+    Of two prefixes one ends first, and all shared shingles up to there are in both. So no more are shared than those of the prefixes and the rest of
+    one text. The texts of the pairs whose sizes and shared shingles allow it are read again.
+    """
     side = lambda x: distinct.select(F.col("fp").alias(x), F.col("n_shingles").alias(f"n{x}"))
-    both = pairs.distinct().join(side("a"), "a").join(side("b"), "b")
-    both = stage(both.where(F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9).select("a", "b"), "near-pairs")
+    both = pairs.groupBy("a", "b").agg(F.sum("n").alias("n")).join(side("a"), "a").join(side("b"), "b")
+    rest = F.ceil(similarity * F.greatest("na", "nb") - 1e-9) - 1
+    allowed = (F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9) & (F.col("n") + rest >= similarity / (1 + similarity) * (F.col("na") + F.col("nb")) - 1e-9)
+    both = stage(both.where(allowed).select("a", "b"), "near-pairs")
     wanted = stage(both.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(distinct.select("fp", "doc_id"), "fp"), "near-wanted")
     ids = wanted.select("doc_id").distinct()
     texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ids) if wanted.count() <= BROADCAST_DOCS else ids, "doc_id", "left_semi")
@@ -309,7 +315,7 @@ def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _open_pairs(left: DataFrame, block: int) -> DataFrame:
-    """Every pair a < b of entries (key, fp, root) of one posting and of different roots.
+    """Every pair a < b of entries (key, fp, root) of one posting and of different roots, once for each such posting.
 
     A posting is cut into blocks of about ``block`` entries, and blocks meet in pairs, so no row and no task holds a long posting. A component with more
     entries than that in a posting has blocks of its own, which don't meet one another.
@@ -329,7 +335,7 @@ def _open_pairs(left: DataFrame, block: int) -> DataFrame:
 def link_similar(distinct: DataFrame, docs: DataFrame, width: int, similarity: float, block: int = CAP) -> DataFrame:
     """Edges a, b between entries (fp, doc_id, n_shingles, prefix) of ``docs`` that connect all those whose shingle similarity is high enough.
 
-    First every entry is compared with two heads: of the smallest entries of its postings, the one with which it shares most postings, and the smallest. That gathers a group of near copies with few comparisons, whatever its size. Then all entries of one
+    First every entry is compared with two heads: of the smallest entries of its postings, the one with which it shares most postings, and the smallest, if it shares enough with them as heads. That gathers a group of near copies with few comparisons, whatever its size. Then all entries of one
     posting that are not connected yet are compared, block by block (:func:`_open_pairs`), whatever the posting's length.
     """
     keys = map_arrow(distinct.select("fp", "prefix"), _prefix_keys, "fp long, key long")
@@ -338,13 +344,13 @@ def link_similar(distinct: DataFrame, docs: DataFrame, width: int, similarity: f
     # The tally of shared shingles says which head is nearest; the smallest head is the one that a whole group has in common.
     tally = shared.where("fp <> head").groupBy("fp", "head").agg(F.count("*").alias("n"))
     heads = tally.groupBy("fp").agg(F.max_by("head", F.struct("n", "head")).alias("near"), F.min("head").alias("low"))
-    heads = heads.select("fp", F.explode(F.array_distinct(F.array("near", "low"))).alias("head"))
-    edges = _verified(heads.select(F.col("head").alias("a"), F.col("fp").alias("b")), distinct, docs, width, similarity)
+    heads = heads.select("fp", F.explode(F.array_distinct(F.array("near", "low"))).alias("head")).join(tally, ["fp", "head"])
+    edges = _verified(heads.select(F.col("head").alias("a"), F.col("fp").alias("b"), "n"), distinct, docs, width, similarity)
     roots = stage(components(edges), "near-first-roots").withColumnRenamed("node", "fp")
     named = shared.select("key", "fp").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     split = named.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi").select("key")
     left = stage(named.join(split, "key"), "near-open")
-    return edges.unionByName(_verified(_open_pairs(left, block), distinct, docs, width, similarity))
+    return edges.unionByName(_verified(_open_pairs(left, block).withColumn("n", F.lit(1)), distinct, docs, width, similarity))
 
 
 def near_duplicate_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
