@@ -6,18 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.staging import stage
+
 BATCH_ROWS = 1000
 
 
 def with_batch(rows: DataFrame, order: str, batch: int = BATCH_ROWS) -> DataFrame:
-    """``_batch``: rows in groups of ``batch`` by the global order.
+    """``_batch``: rows in groups of ``batch`` by the global order. Rows of equal order are ranked by all their values.
 
-    The global row number needs no single task: rows are range-partitioned by the order, and only the partitions' counts meet.
+    The global row number needs no single task: rows are range-partitioned by the order and written with their partition's number, so it is the
+    same however often it is read. Of what was written only the partitions' counts meet.
     """
-    parts = rows.repartitionByRange(F.col(order)).withColumn("_p", F.spark_partition_id())
+    parts = stage(rows.repartitionByRange(F.col(order)).withColumn("_p", F.spark_partition_id()), "ordered")
     counts = parts.groupBy("_p").agg(F.count("*").alias("_n"))
     base = counts.select("_p", (F.sum("_n").over(Window.orderBy("_p")) - F.col("_n")).alias("_base"))
-    k = F.row_number().over(Window.partitionBy("_p").orderBy(order))
+    k = F.row_number().over(Window.partitionBy("_p").orderBy(order, *[c for c in rows.columns if c != order]))
     return parts.withColumn("_k", k).join(base, "_p").withColumn("_batch", F.floor((F.col("_base") + F.col("_k") - 1) / batch)).drop("_p", "_k", "_base")
 
 
@@ -29,7 +32,7 @@ def offsets(rows: DataFrame, order: str, length: str, batch: int = BATCH_ROWS) -
 
 
 def pack_plan(rows: DataFrame, order: str, length: str, block: int, batch: int = BATCH_ROWS) -> DataFrame:
-    """Which part of which row goes to which block, without touching tokens: batch, block, row, from, n, place in the block."""
+    """Which part of which row goes to which block, without touching tokens: batch, block, row, from, n, place in the block. Orders must be unique."""
     placed = offsets(rows, order, length, batch)
     placed = placed.withColumn("_total", F.sum(length).over(Window.partitionBy("_batch"))).where(F.col(length) > 0)
     full = F.floor(F.col("_total") / block)
