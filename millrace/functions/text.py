@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +17,9 @@ CHARS_PER_TOKEN = 4
 CORPUS_CHARS_PER_TOKEN = 3.6
 TERMINATOR = ">>>>>>> UPDATED"
 
+#: What counts as white space: the characters of Unicode's White_Space and the four information separators.
+WHITE = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
 # Pattern and replacement of each redaction rule, in the order in which they apply.
 REDACTION_RULES = [
     (r"\b(sk-[A-Za-z0-9]{16,})", "sk-REDACTED"),
@@ -29,6 +35,9 @@ REDACTION_RULES = [
     (r"(https?://)([^/\s:@]+):([^/\s@]+)@", r"$1REDACTED:REDACTED@"),
     (r"[\w./~-]+\.pem\b", "REDACTED.pem"),
 ]
+#: What each rule's matches hold; the rule of keys and values has several, in lower case.
+RULE_PARTS = ("sk-", "ghp_", "gho_", "glpat-", "rpa_", "AKIA", "AIza", "xox", "ey", "", "://", ".pem")
+KEY_VALUE_RULE, KEY_VALUE_PARTS = 9, ("token", "secret", "password", "passwd", "apikey", "api_key")
 # A text that matches is dropped whole; a scrubbed text that still matches fails the gate.
 FATAL_SECRET = r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
 RESIDUAL_SECRET = (
@@ -41,9 +50,18 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``value``, which is evaluated once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(c: Column | str) -> Column:
     """White space off both ends, not just spaces."""
-    return F.regexp_replace(col(c), r"(?U)^\s+|\s+$", "")
+    return F.btrim(col(c), F.lit(WHITE))
+
+
+def strip_end(c: Column | str) -> Column:
+    return F.rtrim(col(c), F.lit(WHITE))
 
 
 def is_blank(c: Column | str) -> Column:
@@ -53,7 +71,7 @@ def is_blank(c: Column | str) -> Column:
 def lines_of(c: Column | str) -> Column:
     """Lines without their ends; a final line end opens no further line, and an empty text has no lines."""
     parts = F.split(col(c), r"\r\n|[\n\r\u000B\u000C\u001C-\u001E\u0085\u2028\u2029]")
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, F.lit(1), F.size(parts) - 1)).otherwise(parts)
+    return let(parts, lambda p: F.when(F.element_at(p, -1) == "", F.slice(p, F.lit(1), F.size(p) - 1)).otherwise(p))
 
 
 def truncate_head_tail(c: Column | str, head: int = HEAD_CHARS, tail: int = TAIL_CHARS) -> Column:
@@ -78,27 +96,45 @@ def token_estimate(chars: Column) -> Column:
     return F.floor(chars / CHARS_PER_TOKEN).cast("long")
 
 
+def _may_match(rule: int, text: Column) -> Column:
+    """Whether a text holds the fixed part that every match of a rule has; cheap, so that most texts skip the rule's pattern."""
+    if rule == KEY_VALUE_RULE:
+        return let(F.lower(text), lambda x: reduce(Column.__or__, [F.contains(x, F.lit(p)) for p in KEY_VALUE_PARTS]))
+    return F.contains(text, F.lit(RULE_PARTS[rule]))
+
+
+def _apply_rule(rule: int) -> Callable[[Column], Column]:
+    pattern, replacement = REDACTION_RULES[rule]
+
+    def apply(s: Column) -> Column:
+        done = F.struct(F.regexp_replace(s["text"], pattern, replacement).alias("text"), (s["n"] + F.regexp_count(s["text"], F.lit(pattern))).alias("n"))
+        return F.when(_may_match(rule, s["text"]), done).otherwise(s)
+
+    return apply
+
+
+def redacted(c: Column | str) -> Column:
+    """A struct of text, after every redaction rule, and n: how many substitutions that took (a value that two rules rewrite counts twice)."""
+    state = F.struct(col(c).alias("text"), F.lit(0).cast("long").alias("n"))
+    for rule in range(len(REDACTION_RULES)):
+        state = let(state, _apply_rule(rule))
+    return state
+
+
 def scrub(c: Column | str) -> Column:
     """The text after every redaction rule."""
-    out = col(c)
-    for pattern, replacement in REDACTION_RULES:
-        out = F.regexp_replace(out, pattern, replacement)
-    return out
+    return redacted(c)["text"]
 
 
 def count_redactions(c: Column | str) -> Column:
-    """How many substitutions :func:`scrub` makes: a value that two rules rewrite counts twice."""
-    out, total = col(c), F.lit(0)
-    for pattern, replacement in REDACTION_RULES:
-        total = total + F.regexp_count(out, F.lit(pattern))
-        out = F.regexp_replace(out, pattern, replacement)
-    return total.cast("long")
+    """How many substitutions :func:`scrub` makes."""
+    return redacted(c)["n"]
 
 
 def normalise_prediction(c: Column | str) -> Column:
     """What stands before the terminator, stripped, each line stripped at its end."""
-    body = strip(F.split_part(col(c), F.lit(TERMINATOR), F.lit(1)))
-    return F.array_join(F.transform(lines_of(body), lambda x: F.regexp_replace(x, r"(?U)\s+$", "")), "\n")
+    body = strip(F.substring_index(col(c), TERMINATOR, 1))
+    return F.array_join(F.transform(lines_of(body), strip_end), "\n")
 
 
 def cut_at_stops(c: Column | str, stops: list[str]) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.functions.text import CORPUS_CHARS_PER_TOKEN, FATAL_SECRET, RESIDUAL_SECRET, count_redactions, scrub
+from millrace.functions.text import CORPUS_CHARS_PER_TOKEN, FATAL_SECRET, RESIDUAL_SECRET, redacted
 
 # Fixed values.
 MIN_CHARS = 200
@@ -35,11 +35,20 @@ def first_of_content(docs: DataFrame, order: str, text: str = "text") -> DataFra
     return first.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k", "_md5")
 
 
-def _marked(docs: DataFrame, min_chars: int) -> DataFrame:
-    """With clean_text, n_redactions and ``_r``: the first reason that needs no other document."""
-    out = docs.withColumn("clean_text", scrub("text")).withColumn("n_redactions", count_redactions("text"))
-    reason = F.when(F.length("text") < min_chars, "too_short").when(F.col("text").rlike(FATAL_SECRET), "private_key").when(F.col("clean_text").rlike(RESIDUAL_SECRET), "residual_secret")
-    return out.withColumn("_r", reason)
+def _marked(docs: DataFrame, min_chars: int, drop: bool = False) -> DataFrame:
+    """With clean_text, n_redactions and ``_r``: the first reason that needs no other document. With ``drop``, only rows without a reason.
+
+    A generator holds what was found, so each text goes through the rules once and filters don't repeat them.
+    """
+
+    def judge(x: Column) -> Column:
+        reason = F.when(F.length("text") < min_chars, "too_short").when(F.col("text").rlike(FATAL_SECRET), "private_key").when(x["text"].rlike(RESIDUAL_SECRET), "residual_secret")
+        return F.struct(x["text"].alias("clean_text"), x["n"].alias("n_redactions"), reason.alias("_r"))
+
+    found = F.transform(F.array(redacted("text")), judge)
+    if drop:
+        found = F.filter(found, lambda x: x["_r"].isNull())
+    return docs.select("*", F.explode(found).alias("_m")).select(*docs.columns, "_m.*")
 
 
 def drop_reasons(docs: DataFrame, min_chars: int = MIN_CHARS, order: str = "doc_id", salts: int = 16) -> DataFrame:
@@ -58,7 +67,7 @@ def drop_reasons(docs: DataFrame, min_chars: int = MIN_CHARS, order: str = "doc_
 
 def corpus_clean(docs: DataFrame, min_chars: int = MIN_CHARS, order: str = "doc_id") -> DataFrame:
     """The documents that stay, scrubbed. Spark limits each content to its first row before the shuffle."""
-    kept = _marked(docs, min_chars).where("_r is null").withColumn("text", F.col("clean_text")).drop("clean_text", "_r")
+    kept = _marked(docs, min_chars, drop=True).withColumn("text", F.col("clean_text")).drop("clean_text", "_r")
     return first_of_content(kept, order)
 
 

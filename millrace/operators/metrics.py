@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.text import TERMINATOR, is_blank, lines_of, normalise_prediction
+from millrace.functions.text import TERMINATOR, is_blank, let, lines_of, normalise_prediction
 
 # Fixed values.
 ARG_CHARS = 200
@@ -13,19 +13,30 @@ JUDGE_CHARS = 1500
 REASON_CHARS = 80
 
 
-def _counts(rows: DataFrame, key: str, values: Column) -> DataFrame:
-    return rows.select(key, F.explode(values).alias("_v")).groupBy(key, "_v").agg(F.count("*").alias("_c"))
+def numbered(values: Column) -> Column:
+    """The values as texts that differ: each with the number of its occurrence, so that the common ones of two such arrays are their multisets' intersection."""
 
+    def runs(s: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda i: (i == 0) | (F.get(s, i) != F.get(s, i - 1)))
 
-def multiset_overlap(left: DataFrame, right: DataFrame, key: str, left_values: Column, right_values: Column) -> DataFrame:
-    """Per key: overlap (of the multisets), and the number of values on each side. Keys without values on a side are missing there."""
-    a, b = _counts(left, key, left_values), _counts(right, key, right_values)
-    both = a.join(b.withColumnRenamed("_c", "_d"), [key, "_v"], "full")
-    return both.groupBy(key).agg(
-        F.coalesce(F.sum(F.when(F.col("_c").isNotNull() & F.col("_d").isNotNull(), F.least("_c", "_d"))), F.lit(0)).alias("overlap"),
-        F.coalesce(F.sum("_c"), F.lit(0)).alias("n_left"),
-        F.coalesce(F.sum("_d"), F.lit(0)).alias("n_right"),
-    )
+        def spread(at: Column) -> Column:
+            one = lambda p, k: F.transform(F.sequence(p, F.coalesce(F.get(at, k + 1), F.size(s)) - 1), lambda i: F.concat((i - p).cast("string"), F.lit(":"), F.get(s, i)))
+            return F.flatten(F.transform(at, one))
+
+        return let(starts, spread)
+
+    return F.when(F.size(values) > 0, let(F.array_sort(values), runs)).otherwise(F.array().cast("array<string>"))
+
+
+def overlap_of(left: Column, right: Column) -> Column:
+    """A struct of overlap (of the two arrays' multisets), n_left and n_right, all within the row."""
+
+    def tally(x: Column) -> Column:
+        common = F.size(F.array_intersect(numbered(x["l"]), numbered(x["r"])))
+        return F.struct(common.alias("overlap"), F.size(x["l"]).alias("n_left"), F.size(x["r"]).alias("n_right"))
+
+    none = F.array().cast("array<string>")
+    return let(F.struct(F.coalesce(left, none).alias("l"), F.coalesce(right, none).alias("r")), tally)
 
 
 def content_lines(text: Column) -> Column:
@@ -34,34 +45,35 @@ def content_lines(text: Column) -> Column:
 
 
 def line_f1(rows: DataFrame, key: str, pred: str, gold: str) -> DataFrame:
-    """key and line_f1: F1 over multisets of lines; 1 if both have none, 0 if one has none."""
-    tally = multiset_overlap(rows, rows, key, content_lines(F.col(pred)), content_lines(F.col(gold)))
-    out = rows.select(key).join(tally, key, "left").fillna(0, ["overlap", "n_left", "n_right"])
-    f1 = F.when((F.col("n_left") == 0) & (F.col("n_right") == 0), 1.0).when(F.col("overlap") == 0, 0.0).otherwise(2.0 * F.col("overlap") / (F.col("n_left") + F.col("n_right")))
-    return out.select(key, f1.alias("line_f1"))
+    """key and line_f1 of each row: F1 over multisets of lines; 1 if both have none, 0 if one has none."""
+
+    def f1(x: Column) -> Column:
+        return F.when((x["n_left"] == 0) & (x["n_right"] == 0), 1.0).when(x["overlap"] == 0, 0.0).otherwise(2.0 * x["overlap"] / (x["n_left"] + x["n_right"]))
+
+    return rows.select(key, let(overlap_of(content_lines(F.col(pred)), content_lines(F.col(gold))), f1).alias("line_f1"))
 
 
 def current_region(prompt: Column) -> Column:
     """The region between the CURRENT mark and the closing line, normalised; null if there is none."""
-    found = F.regexp_extract(prompt, r"(?s)<<<<<<< CURRENT\n(.*?)\n?=======\s*$", 1)
-    return F.when(prompt.rlike(r"(?s)<<<<<<< CURRENT\n(.*?)\n?=======\s*$"), normalise_prediction(found))
+    mark = "<<<<<<< CURRENT\n"
+    whole = F.regexp_extract(prompt, r"(?s)<<<<<<< CURRENT\n(.*?)\n?=======\s*$", 0)
+    return let(whole, lambda x: F.when(x != "", normalise_prediction(F.regexp_replace(F.substr(x, F.lit(len(mark) + 1)), r"\n?=======\s*$", ""))))
 
 
 def first_line(text: Column) -> Column:
-    return F.coalesce(F.get(F.split(text, "\n"), F.lit(0)), F.lit(""))
+    return F.substring_index(F.coalesce(text, F.lit("")), "\n", 1)
 
 
 def edit_results(rows: DataFrame, pred: str = "prediction", gold: str = "completion", prompt: str = "prompt") -> DataFrame:
-    """``rows`` with exact_match, format_valid, first_line_hit and no_op."""
-    p, g = normalise_prediction(F.col(pred)), normalise_prediction(F.col(gold))
-    return rows.withColumns(
-        {
-            "exact_match": p == g,
-            "format_valid": F.contains(F.col(pred), F.lit(TERMINATOR)),
-            "first_line_hit": (first_line(p) == first_line(g)) & (first_line(g) != ""),
-            "no_op": F.coalesce(p == current_region(F.col(prompt)), F.lit(False)),
-        }
-    )
+    """``rows`` with exact_match, format_valid, first_line_hit and no_op. Each text is normalised once."""
+    texts = F.struct(normalise_prediction(F.col(pred)).alias("p"), normalise_prediction(F.col(gold)).alias("g"), current_region(F.col(prompt)).alias("r"))
+
+    def judge(x: Column) -> Column:
+        first = (first_line(x["p"]) == first_line(x["g"])) & (first_line(x["g"]) != "")
+        return F.struct((x["p"] == x["g"]).alias("exact_match"), first.alias("first_line_hit"), F.coalesce(x["p"] == x["r"], F.lit(False)).alias("no_op"))
+
+    judged = rows.withColumn("_j", let(texts, judge)).withColumn("format_valid", F.contains(F.col(pred), F.lit(TERMINATOR)))
+    return judged.select(*rows.columns, "_j.exact_match", "format_valid", "_j.first_line_hit", "_j.no_op")
 
 
 def mean_of(flag: str, alias: str) -> Column:
@@ -75,15 +87,13 @@ def weakest_groups(rows: DataFrame, group: str, flag: str, least: int = 5, most:
 
 
 def args_overlap(rows: DataFrame, key: str, left: str, right: str) -> DataFrame:
-    """key and args_overlap: Dice over the multisets of argument values (as text, cut at ARG_CHARS); names don't count.
+    """key and args_overlap of each row: Dice over the multisets of argument values (as text, cut at ARG_CHARS); names don't count.
 
     ``left`` and ``right`` are JSON objects; one that is null or empty gives 0.
     """
     values = lambda c: F.transform(F.map_values(F.from_json(c, "map<string,string>")), lambda v: F.left(F.coalesce(v, F.lit("None")), F.lit(ARG_CHARS)))
-    tally = multiset_overlap(rows, rows, key, values(F.col(left)), values(F.col(right)))
-    out = rows.select(key).join(tally, key, "left").fillna(0, ["overlap", "n_left", "n_right"])
-    dice = F.when((F.col("n_left") == 0) | (F.col("n_right") == 0), 0.0).otherwise(2.0 * F.col("overlap") / (F.col("n_left") + F.col("n_right")))
-    return out.select(key, dice.alias("args_overlap"))
+    dice = lambda x: F.when((x["n_left"] == 0) | (x["n_right"] == 0), 0.0).otherwise(2.0 * x["overlap"] / (x["n_left"] + x["n_right"]))
+    return rows.select(key, let(overlap_of(values(F.col(left)), values(F.col(right))), dice).alias("args_overlap"))
 
 
 def confusion(rows: DataFrame, gold: str, pred: str, most: int = 6) -> DataFrame:

@@ -9,11 +9,12 @@ from millrace.functions import text as X
 from millrace.operators import corpus, fim, metrics, nextedit, packing, sampling
 from millrace.plans.base import Tables, big, query, quote, sql_redactions, sql_scrub
 
-STRIP = r"'^\s+|\s+$'"
+# White space, spelt out here so that a mistake in the engine's own set would show.
+_WHITE_SQL = "'" + "".join(chr(c) for c in [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]) + "'"
 
 
 def strip_sql(x: str) -> str:
-    return f"regexp_replace({x}, {STRIP}, '', 'g')"
+    return f"trim({x}, {_WHITE_SQL})"
 
 
 def lines_sql(x: str) -> str:
@@ -21,7 +22,7 @@ def lines_sql(x: str) -> str:
 
 
 def normalise_sql(x: str) -> str:
-    return f"array_to_string(list_transform({lines_sql(strip_sql(f'split_part({x}, {quote(X.TERMINATOR)}, 1)'))}, lambda l: regexp_replace(l, '\\s+$', '')), chr(10))"
+    return f"array_to_string(list_transform({lines_sql(strip_sql(f'split_part({x}, {quote(X.TERMINATOR)}, 1)'))}, lambda l: rtrim(l, {_WHITE_SQL})), chr(10))"
 
 
 _MARKED = f"SELECT doc_id, text, source, {sql_scrub('text')} AS clean_text, {sql_redactions('text')} AS n_redactions FROM documents"
@@ -48,7 +49,7 @@ def corpus_drop_reasons(t: Tables) -> DataFrame:
 
 @query("scrub_secrets", f"SELECT doc_id, md5({sql_scrub('text')}) AS clean_md5, {sql_redactions('text')} AS n_redactions FROM documents")
 def scrub_secrets(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", F.md5(X.scrub("text")).alias("clean_md5"), X.count_redactions("text").alias("n_redactions"))
+    return t.documents.select("doc_id", X.redacted("text").alias("_r")).select("doc_id", F.md5("_r.text").alias("clean_md5"), F.col("_r.n").alias("n_redactions"))
 
 
 @query("secret_gate", f"SELECT count(*) AS n_docs, count(*) FILTER (WHERE regexp_matches({sql_scrub('text')}, {quote(X.RESIDUAL_SECRET)})) AS n_leaks FROM documents")
