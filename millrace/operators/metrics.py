@@ -111,6 +111,25 @@ def majority(rows: DataFrame, column: str) -> DataFrame:
     return first.groupBy("_m", "_t", "n_values").agg(F.min(column).alias("majority")).select("majority", F.round(F.col("_m").cast("double") / F.col("_t"), 4).alias("share"), "n_values")
 
 
+# Fixed value.
+JUDGE_SYSTEM = (
+    "You grade code-edit predictions. Given the code region being edited, the reference "
+    "edit a developer actually made, and a model's predicted edit, decide whether the "
+    "prediction is an acceptable substitute for the reference.\n\n"
+    "Judge INTENT, not characters. Say correct when the prediction makes the same "
+    "functional change, even if identifiers, formatting, comments or ordering differ. "
+    "Say incorrect when it makes a different change, changes nothing, is incomplete, or "
+    "would not compile/run in context.\n\n"
+    'Reply with JSON only: {"correct": true|false, "reason": "<12 words max>"}'
+)
+
+
+def judge_messages(prompt: Column, gold: Column, pred: Column, labels: tuple[str, str, str], system: str = JUDGE_SYSTEM) -> Column:
+    """The messages for a judge: a system message, which can be another, and the user message of :func:`judge_prompt`."""
+    message = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
+    return F.array(message("system", F.lit(system)), message("user", judge_prompt(prompt, gold, pred, labels)))
+
+
 def judge_prompt(prompt: Column, gold: Column, pred: Column, labels: tuple[str, str, str], chars: int = JUDGE_CHARS) -> Column:
     """The user message for a judge: the prompt's end, the reference's and the prediction's beginning."""
     part = lambda name, text: F.concat(F.lit(f"### {name}\n"), text)

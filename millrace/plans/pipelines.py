@@ -84,8 +84,9 @@ def all_conversations(*sources: DataFrame) -> DataFrame:
     return out
 
 
-def packed(rows: DataFrame, order: str, ids: str, block: int, end_id: int) -> DataFrame:
-    return packing.pack_sequences(rows, order, ids, block, end_id)
+def packed(rows: DataFrame, order: str, ids: str, block: int, end_id: int, batch: int = packing.BATCH_ROWS) -> DataFrame:
+    """Token rows to blocks of exactly ``block`` ids with masks of ones."""
+    return packing.pack_sequences(rows, order, ids, block, end_id, batch)
 
 
 def conversations_with_counts(turns: DataFrame, key: str, least: int) -> tuple[DataFrame, DataFrame]:

@@ -21,13 +21,13 @@ def read_json_lines(spark: SparkSession, path: str | list[str], glob: str | None
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:
-    """One object per row; null fields are left out."""
-    df.write.json(path)
+    """One object per row, null fields too."""
+    df.write.option("ignoreNullFields", False).json(path)
 
 
 def write_split(df: DataFrame, path: str, column: str = "split") -> None:
     """One folder per value of the split column."""
-    df.write.partitionBy(column).json(path)
+    df.write.partitionBy(column).option("ignoreNullFields", False).json(path)
 
 
 def sound_files(lines: DataFrame, bad: Column) -> DataFrame:
@@ -37,15 +37,21 @@ def sound_files(lines: DataFrame, bad: Column) -> DataFrame:
     return marked.join(broken, "file", "left_anti").drop("_bad").select(*lines.columns)
 
 
+#: Stands for a genuine U+FFFD while bad bytes become one: a noncharacter, which no text has, so it can't be confused.
+_GENUINE = "\ufdd0"
+
+
 def read_text_files(spark: SparkSession, path: str | list[str], glob: str | None = None, drop_bad_bytes: bool = False) -> DataFrame:
-    """path and text of whole files. Bad UTF-8 bytes become U+FFFD, or go with ``drop_bad_bytes``."""
+    """path and text of whole files. Bad UTF-8 bytes become U+FFFD, or go with ``drop_bad_bytes``; a U+FFFD that the file holds stays."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    bad = "�"
-    text = F.make_valid_utf8(F.col("content").cast("string"))
+    text = F.col("content").cast("string")
     if drop_bad_bytes:
-        text = F.replace(text, F.lit("\ufffd"), F.lit(""))
+        marked = F.make_valid_utf8(F.replace(text, F.lit("\ufffd"), F.lit(_GENUINE)))
+        text = F.replace(F.replace(marked, F.lit("\ufffd"), F.lit("")), F.lit(_GENUINE), F.lit("\ufffd"))
+    else:
+        text = F.make_valid_utf8(text)
     return reader.load(path).select(F.col("path"), text.alias("text"))
 
 

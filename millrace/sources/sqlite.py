@@ -23,6 +23,11 @@ def _open(path: str) -> sqlite3.Connection:
     return con
 
 
+def _quoted(name: str) -> str:
+    """A name as an SQL identifier."""
+    return '"' + name.replace('"', '""') + '"'
+
+
 class _Range(InputPartition):
     def __init__(self, low, high):
         super().__init__((low, high))
@@ -37,17 +42,17 @@ class _Reader(DataSourceReader):
         if not key or splits < 2:
             return [_Range(None, None)]
         con = _open(self.options["path"])
-        table = self.options["table"]
-        n = con.execute(f"SELECT count(DISTINCT {key}) FROM {table}").fetchone()[0]
-        steps = [con.execute(f"SELECT DISTINCT {key} FROM {table} WHERE {key} IS NOT NULL ORDER BY {key} LIMIT 1 OFFSET ?", (n * k // splits,)).fetchone() for k in range(1, splits)]
+        name, table = _quoted(key), _quoted(self.options["table"])
+        tiles = f"SELECT {name} AS k, ntile(?) OVER (ORDER BY {name}) AS t FROM (SELECT DISTINCT {name} FROM {table} WHERE {name} IS NOT NULL)"
+        steps = con.execute(f"SELECT min(k) FROM ({tiles}) GROUP BY t ORDER BY t", (splits,)).fetchall()[1:]
         con.close()
-        bounds = [None, *dict.fromkeys(s[0] for s in steps if s), None]
+        bounds = [None, *(s[0] for s in steps), None]
         return [_Range(a, b) for a, b in zip(bounds, bounds[1:], strict=False)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
         low, high = partition.value
-        key = self.options.get("key")
-        source = f"({self.options['query']})" if "query" in self.options else self.options["table"]
+        key = _quoted(self.options.get("key") or "")
+        source = f"({self.options['query']})" if "query" in self.options else _quoted(self.options["table"])
         where, values = [], []
         if low is not None:
             where.append(f"{key} >= ?")
@@ -55,7 +60,7 @@ class _Reader(DataSourceReader):
         if high is not None:
             where.append(f"{key} < ?" if low is not None else f"({key} < ? OR {key} IS NULL)")
             values.append(high)
-        sql = f"SELECT {', '.join(self.names)} FROM {source}" + (" WHERE " + " AND ".join(where) if where else "")
+        sql = f"SELECT {', '.join(map(_quoted, self.names))} FROM {source}" + (" WHERE " + " AND ".join(where) if where else "")
         con = _open(self.options["path"])
         try:
             yield from con.execute(sql, values)

@@ -119,3 +119,17 @@ def test_scrubbing_twice_changes_nothing(spark, parts):
     once = one(spark, " ".join(parts), X.scrub("x"))
     assert one(spark, once, X.scrub("x")) == once
     assert not one(spark, once, F.col("x").rlike(X.RESIDUAL_SECRET))
+
+
+def test_white_space_is_that_of_python(spark):
+    every = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
+    assert set(X.WHITE) == set(every)
+    assert one(spark, every + "a b" + every, X.strip(F.col("x"))) == "a b"
+
+
+def test_the_gate_fails(spark):
+    rows = spark.createDataFrame([("plain",)], "t string")
+    with pytest.raises(Exception, match="no text holds a call"):
+        codecs.gate(rows, "t", codecs.FORMATS["lfm2"]).collect()
+    assert codecs.gate(rows.limit(0), "t", codecs.FORMATS["lfm2"]).collect() == []
+    assert codecs.for_model("katanemo/Arch-Agent-7B").name == "xml_tool_call" and codecs.for_model("other") is None
