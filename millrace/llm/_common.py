@@ -1,66 +1,42 @@
 """Shared plumbing of the llm operators: staged tables, skew-proof joins,
 connected components and distributed running sums.
 
-Staged tables go under ``spark.checkpoint.dir`` (the folder that driver and
-executors share); only where that is unset, as in tests, a local temporary
-folder is used.
+Staged tables go under ``spark.checkpoint.dir``, the folder that driver and
+executors share (see :mod:`millrace.staging`).
 """
 
 from __future__ import annotations
 
 import ctypes
 import gc
-import tempfile
-import uuid
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DataType, MapType, StructType
 from pyspark.sql.window import Window
 
 from millrace.llm.tokenizing import release
 from millrace.shipping import ship
+from millrace.staging import drop_scratch, scratch, shared_dir, stage
 
-_OWN_DIR: dict[str, str] = {}
+__all__ = ["components", "drop_scratch", "map_arrow", "row_key", "running_start", "scratch", "shared_dir", "skew_join", "stage", "trim"]
 
 #: A key is hot when it holds more than 1/HOT_SHARES of the rows, so at most HOT_SHARES keys are hot.
 HOT_SHARES = 512
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The shared scratch folder of this session."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        app = spark.sparkContext.applicationId
-        base = _OWN_DIR.setdefault(app, tempfile.mkdtemp(prefix="millrace-"))
-    return base.rstrip("/")
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex}"
-
-
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a table in the shared folder and read it back: this cuts the lineage and survives lost executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def map_arrow(df: DataFrame, function, schema: str, encodes: bool = False, batch_rows: int = 2000, give_back: bool = True) -> DataFrame:
-    """``mapInArrow`` with a function of this package, in batches of at most ``batch_rows`` rows (texts can be long).
+    """``mapInArrow`` with a function of this package, which gets batches of at most ``batch_rows`` rows (texts can be long).
 
-    Python workers stay for later stages: one that doesn't encode frees the token caches, and with ``give_back`` free memory goes back when a task ends.
+    Spark's own batches are bounded in bytes and rows by the session's settings, which stay as they are. Python workers stay for later stages: one that doesn't encode frees the token caches, and with ``give_back`` free memory goes back when a task ends.
     """
-    spark = df.sparkSession
-    ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch_rows))
+    ship(df.sparkSession)
 
     def run(batches):
         if not encodes:
             release()
-        yield from function(batches)
+        yield from function(b.slice(at, batch_rows) for b in batches for at in range(0, b.num_rows, batch_rows))
         if give_back:
             trim()
 
@@ -77,18 +53,31 @@ def trim() -> None:
         pass
 
 
+def _has_map(kind: DataType) -> bool:
+    if isinstance(kind, StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, MapType) or (hasattr(kind, "elementType") and _has_map(kind.elementType))
+
+
+def row_key(df: DataFrame) -> Column:
+    """A 64-bit hash of a row's values in all columns but maps (which Spark doesn't hash), named row_key. Rows of equal values share it."""
+    parts = [x for f in df.schema.fields if not _has_map(f.dataType) for x in (F.col(f"`{f.name}`").isNull(), F.col(f"`{f.name}`"))]
+    return F.xxhash64(*parts).alias("row_key")
+
+
 def skew_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, total: int) -> DataFrame:
     """Left outer join to ``right``, which has one row per key and in ``weight`` the number of left rows of that key.
 
     ``total`` is the number of left rows that have a key in ``right`` (or more). Keys above
     ``total / HOT_SHARES`` rows are at most HOT_SHARES, so their rows of ``right`` are broadcast; every other key goes through a shuffle in which no key is
-    large. Left rows that were already matched, or have a null key, are spread evenly in that shuffle.
+    large. Left rows that were already matched, or have a null key, are spread in that shuffle by a hash of their values (not by their place, which
+    may differ when a lost task is run again).
     """
     payload = [c for c in right.columns if c not in keys and c != weight]
     bound = max(total // HOT_SHARES, 1)
     hot = right.where(F.col(weight) > bound).select(*keys, F.struct(*payload, F.lit(True).alias("_hit")).alias("_hot"))
     cold = right.where(F.col(weight) <= bound).select(*keys, F.lit(0).alias("_salt"), *[F.col(c).alias(f"_c_{c}") for c in payload])
-    spread = (F.monotonically_increasing_id() % 1000003).cast("int") + 1
+    spread = F.pmod(F.xxhash64(*[c for c in left.columns if not isinstance(left.schema[c].dataType, (MapType, BinaryType))]), F.lit(1000003)).cast("int") + 1
     null_key = F.lit(False)
     for k in keys:
         null_key = null_key | F.col(k).isNull()

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm._common import components, map_arrow, skew_join, stage
+from millrace.llm._common import components, map_arrow, row_key, skew_join, stage
 
 SEED = 42
 _UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -155,15 +155,24 @@ def simhash_components(docs: DataFrame, width: int = 3, max_bits: int = 2, cap:
 
 # Near-duplicates by shingle similarity (Jaccard), exactly.
 #
-# Shingles have a global order. Two texts of n and m shingles and a similarity of at least t share max(t n, t m) of them or more, so
-# each has a shared one among its first n - t n + 1: its prefix. The postings are those of the prefixes, so no pair is lost, and each pair found is
-# compared on all its shingles' hashes. Any order will do; common shingles come last, so that passages which many texts share
-# are in few prefixes. Which ones are common is estimated from a sample, which bears on the number of comparisons only. Texts with the same set of shingles are one entry.
+# At a similarity of 0.8 some 15 % of two SimHash fingerprints' bits differ, so hardly a byte need be equal and no number of equal bytes is guaranteed.
+# Here a text's fingerprint is its profile: byte k counts the shingles whose hash falls in position k. Two texts of n and m shingles and a similarity of at
+# least t share t / (1 + t) (n + m) shingles or more, so their shared positional bytes (the lesser of the two, at each position) add up to at least that.
+# Pairs that reach this guaranteed minimum are verified on all shingles.
+#
+# Pairs meet in an inverted index. Shingles have a global order. Two texts that are similar enough share max(t n, t m) of them or more, so
+# each has a shared one among its first n - t n + 1: its prefix. The postings are those of the prefixes, so no pair is lost. Any order will do; common
+# shingles come last, so that passages which many texts share are in few prefixes. Which ones are common is estimated from a sample, which bears on the
+# number of comparisons only. Texts with the same set of shingles are one entry.
 
 #: One document in so many is read for common shingles; at most so many of them are known.
 SAMPLE, COMMON = 16, 200_000
-#: Up to so many documents (8 bytes each) are picked by a broadcast when their texts are read again.
-BROADCAST_DOCS = 2_000_000
+#: Up to so many row keys (16 bytes each) are broadcast to pick rows that are read again.
+BROADCAST_ROWS = 2_000_000
+#: Most positions of a profile, and of one that goes into postings. Fewer make the count less sharp, never too small.
+MOST_POSITIONS, COARSE = 8192, 128
+#: So many of an entry's open keys go with it, so that a pair is told in one posting.
+LEAST_KEYS = 8
 
 
 def _needed(n: int, similarity: float) -> int:
@@ -182,6 +191,23 @@ def _signed(values: list[int]) -> pa.Array:
     return pa.array(np.array(values, np.uint64).view(np.int64))
 
 
+def profile(hashes: np.ndarray, most: int = MOST_POSITIONS) -> np.ndarray:
+    """How many of the hashes fall in each position, a power of two of them; 255 stands for that or more."""
+    size = min(max(16, 1 << max(len(hashes) - 1, 0).bit_length()), most)
+    return np.minimum(np.bincount((hashes & np.uint64(size - 1)).astype(np.int64), minlength=size), 255).astype(np.uint8)
+
+
+def _folded(rows: np.ndarray, size: int) -> np.ndarray:
+    """Profiles (one a row) over fewer positions."""
+    return np.minimum(rows.reshape(len(rows), -1, size).sum(axis=1, dtype=np.int64), 255).astype(np.uint8) if rows.shape[1] > size else rows
+
+
+def shared_positional(x: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The most shingles that a text of profile ``x`` can share with those of the profiles ``rows`` (all over as many positions)."""
+    least = np.minimum(rows, x)
+    return least.sum(axis=1, dtype=np.int64) + (least == 255).sum(axis=1) * (1 << 40)
+
+
 def _all_shingles(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -202,20 +228,23 @@ def common_shingles(docs: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray
     return h[order], np.log2(found.column("n").to_numpy()).astype(np.int8)[order]
 
 
-def _prefixes(width: int, similarity: float, common: tuple[np.ndarray, np.ndarray]):
+def _entries(width: int, similarity: float, common: tuple[np.ndarray, np.ndarray]):
     known, rank = common
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, keys, firsts = [], [], []
+            sizes, keys, firsts, profiles, coarse = [], [], [], [], []
             for h, key in _sets(batch.column("text"), width):
                 sizes.append(len(h))
                 keys.append(key)
+                profiles.append(profile(h).tobytes())
+                coarse.append(profile(h, COARSE).tobytes())
                 if len(known) and len(h):
                     at = np.minimum(np.searchsorted(known, h), len(known) - 1)
                     h = h[np.argsort(np.where(known[at] == h, rank[at], 0), kind="stable")]
                 firsts.append(h[: len(h) - _needed(len(h), similarity) + 1].tobytes())
-            yield pa.record_batch([batch.column("doc_id"), _signed(keys), pa.array(sizes, pa.int64()), pa.array(firsts, pa.binary())], names=["doc_id", "fp", "n_shingles", "prefix"])
+            columns = [batch.column("doc_id"), batch.column("row_key"), _signed(keys), pa.array(sizes, pa.int64()), *(pa.array(x, pa.binary()) for x in (firsts, profiles, coarse))]
+            yield pa.record_batch(columns, names=["doc_id", "row_key", "fp", "n_shingles", "prefix", "profile", "coarse"])
 
     return run
 
@@ -265,6 +294,32 @@ def _shared_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.record_batch([pa.array(c) for c in cols], names=["key", "fp", "head"])
 
 
+def _can_share(n: np.ndarray, m: int, most: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether texts of n and m shingles, of which at most ``most`` are shared, can be similar enough."""
+    return most >= similarity / (1 + similarity) * (n + m) - 1e-9
+
+
+def _alike(n: np.ndarray, m: int, similarity: float) -> np.ndarray:
+    return np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-9
+
+
+def _retained(similarity: float):
+    """Of rows a, b with sizes and profiles: the pairs whose sizes and shared positional bytes reach the minimum."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+            keep = np.zeros(batch.num_rows, bool)
+            for k in range(batch.num_rows):
+                if _alike(na[k], nb[k], similarity):
+                    x, y = (np.frombuffer(batch.column(c)[k].as_buffer(), np.uint8)[None] for c in ("pa", "pb"))
+                    size = min(x.shape[1], y.shape[1])
+                    keep[k] = _can_share(na[k], nb[k], shared_positional(_folded(x, size)[0], _folded(y, size)), similarity)[0]
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return run
+
+
 def _similar(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -278,64 +333,96 @@ def _similar(similarity: float):
     return run
 
 
-def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """The pairs a, b that are similar enough, of rows a, b that stand for a shared shingle of the prefixes each (or for ``n`` of them).
+def _chosen(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    """The rows of ``docs`` (with row_key) whose key is (left_semi) or isn't (left_anti) in ``keys``; a small set of keys is broadcast."""
+    return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, "row_key", how)
 
-    Of two prefixes one ends first, and all shared shingles up to there are in both. So no more are shared than those of the prefixes and the rest of
-    one text. The texts of the pairs whose sizes and shared shingles allow it are read again.
-    """
-    side = lambda x: distinct.select(F.col("fp").alias(x), F.col("n_shingles").alias(f"n{x}"))
-    both = pairs.groupBy("a", "b").agg(F.sum("n").alias("n")).join(side("a"), "a").join(side("b"), "b")
-    rest = F.ceil(similarity * F.greatest("na", "nb") - 1e-9) - 1
-    allowed = (F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9) & (F.col("n") + rest >= similarity / (1 + similarity) * (F.col("na") + F.col("nb")) - 1e-9)
-    both = stage(both.where(allowed).select("a", "b"), "near-pairs")
-    wanted = stage(both.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(distinct.select("fp", "doc_id"), "fp"), "near-wanted")
-    ids = wanted.select("doc_id").distinct()
-    texts = docs.select(F.col("doc_id").cast("long"), "text").join(F.broadcast(ids) if wanted.count() <= BROADCAST_DOCS else ids, "doc_id", "left_semi")
+
+def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """The pairs a, b that are similar enough: those that reach the minimum on whole profiles are compared on the texts, read again."""
+    for x in "ab":
+        pairs = pairs.join(distinct.select(F.col("fp").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("profile").alias(f"p{x}")), x)
+    pairs = stage(map_arrow(pairs.select("a", "b", "na", "nb", "pa", "pb"), _retained(similarity), "a long, b long"), "near-retained")
+    wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(distinct.select("fp", "row_key"), "fp"), "near-wanted")
+    texts = _chosen(docs, wanted.select("row_key").distinct(), "left_semi").select("text")
     sets = map_arrow(texts, _hash_sets(width), "fp long, hashes binary").join(wanted.select("fp"), "fp", "left_semi").dropDuplicates(["fp"])
     sets = stage(sets, "near-sets")
     for x in "ab":
-        both = both.join(sets.select(F.col("fp").alias(x), F.col("hashes").alias(f"h{x}")), x)
-    return stage(map_arrow(both.select("a", "b", "ha", "hb"), _similar(similarity), "a long, b long", batch_rows=200), "near-links")
+        pairs = pairs.join(sets.select(F.col("fp").alias(x), F.col("hashes").alias(f"h{x}")), x)
+    return stage(map_arrow(pairs.select("a", "b", "ha", "hb"), _similar(similarity), "a long, b long", batch_rows=200), "near-links")
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each row's two blocks of entries (fp, root): the pairs a < b with different roots."""
-    for batch in batches:
-        out = []
-        sides = [(x.field("fp").to_numpy(), x.field("root").to_numpy(), c.offsets.to_numpy()) for c in (batch.column("xs"), batch.column("ys")) for x in (c.values,)]
-        (fx, rx, ox), (fy, ry, oy) = sides
-        for k in range(batch.num_rows):
-            f, g = fx[ox[k] : ox[k + 1]], fy[oy[k] : oy[k + 1]]
-            i, j = np.nonzero(rx[ox[k] : ox[k + 1], None] != ry[None, oy[k] : oy[k + 1]])
-            out.append(np.unique(np.stack([np.minimum(f[i], g[j]), np.maximum(f[i], g[j])]), axis=1))
-        a, b = np.concatenate(out, axis=1) if out else np.empty((2, 0), np.int64)
-        for at in range(0, len(a), 100_000):
-            yield pa.record_batch([pa.array(a[at : at + 100_000]), pa.array(b[at : at + 100_000])], names=["a", "b"])
-
-
-def _open_pairs(left: DataFrame, block: int) -> DataFrame:
-    """Every pair a < b of entries (key, fp, root) of one posting and of different roots, once for each such posting.
-
-    A posting is cut into blocks of about ``block`` entries, and blocks meet in pairs, so no row and no task holds a long posting. A component with more
-    entries than that in a posting has blocks of its own, which don't meet one another.
+def _across(similarity: float):
+    """Of each row's two blocks (or its one) of a posting's entries: the pairs a < b of different roots whose sizes and shared positional bytes reach the minimum.
+
+    Where the lists of least keys show that a pair also meets under a smaller key, it is told there only.
+    """
+
+    def block(entries: pa.StructArray, lo: int, hi: int) -> tuple:
+        fp, root, n = (entries.field(c).to_numpy()[lo:hi] for c in ("fp", "root", "n"))
+        rows = [np.frombuffer(v.as_buffer(), np.uint8) for v in entries.field("coarse")[lo:hi]]
+        sizes = np.array([len(r) for r in rows])
+        by_size = {int(s): (np.flatnonzero(sizes == s), np.stack([r for r in rows if len(r) == s])) for s in np.unique(sizes)}
+        keys = entries.field("least")
+        return fp, root, n, rows, by_size, lambda k: keys[lo + k].values.to_numpy()
+
+    def pairs(key: int, x: tuple, y: tuple) -> Iterator[tuple[int, int]]:
+        fx, rx, nx, rows, _, kx = x
+        fy, ry, ny, _, by_size, ky = y
+        for i in range(len(fx)):
+            for size, (at, profiles) in by_size.items():
+                on = np.flatnonzero((ry[at] != rx[i]) & _alike(ny[at], nx[i], similarity))
+                if not len(on):
+                    continue
+                small = min(size, len(rows[i]))
+                most = shared_positional(_folded(rows[i][None], small)[0], _folded(profiles[on], small))
+                for j in at[on[_can_share(ny[at[on]], nx[i], most, similarity)]]:
+                    common = np.intersect1d(kx(i), ky(j), assume_unique=True)
+                    if not len(common) or common[0] >= key:
+                        yield min(fx[i], fy[j]), max(fx[i], fy[j])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            xs = batch.column("xs")
+            ys = batch.column("ys") if "ys" in batch.schema.names else xs
+            ox, oy = xs.offsets.to_numpy(), ys.offsets.to_numpy()
+            for k, key in enumerate(batch.column("key").to_numpy()):
+                found = set(pairs(key, block(xs.values, ox[k], ox[k + 1]), block(ys.values, oy[k], oy[k + 1])))
+                a, b = zip(*sorted(found), strict=True) if found else ([], [])
+                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def _open_pairs(left: DataFrame, entries: DataFrame, similarity: float, block: int) -> DataFrame:
+    """Every pair a < b of one posting's entries (key, fp, root) that are of different roots and reach the minimum on their coarse profiles (fp, n, coarse).
+
+    A posting of more than ``block`` entries is cut into blocks of about as many, and blocks meet in pairs, so no row and no task holds a long posting. A
+    component with more entries than that in a posting has blocks of its own, which don't meet one another.
     """
-    sizes = left.groupBy("key", "root").agg(F.count("*").alias("_n")).withColumn("pure", F.col("_n") > block)
-    sizes = sizes.withColumn("tag", F.when(F.col("pure"), F.col("root")).otherwise(0))
-    rows = sizes.groupBy("key", "pure", "tag").agg(F.sum("_n").alias("_m"), F.collect_list("root").alias("_roots"))
-    place = stage(rows.select("key", "pure", "tag", "_m", F.explode("_roots").alias("root")), "near-places")
-    at = F.pmod(F.xxhash64("fp"), F.ceil(F.col("_m") / block)).alias("part")
-    blocks = left.join(place, ["key", "root"]).select("key", F.struct("pure", "tag", at).alias("at"), F.struct("fp", "root").alias("e"))
-    blocks = stage(blocks.groupBy("key", "at").agg(F.collect_list("e").alias("es")), "near-blocks")
-    x, y = (blocks.select("key", F.col("at").alias(f"{c}at"), F.col("es").alias(f"{c}s")) for c in "xy")
+    long = stage(left.groupBy("key").agg(F.count("*").alias("_m")).where(F.col("_m") > block), "near-long")
+    big = left.join(long.select("key"), "key").groupBy("key", "root").agg(F.count("*").alias("_n")).where(F.col("_n") > block)
+    big = stage(big, "near-big")
+    rest = long.join(big.groupBy("key").agg(F.sum("_n").alias("_out")), "key", "left").select("key", (F.col("_m") - F.coalesce("_out", F.lit(0))).alias("_m"))
+    least = left.groupBy("fp").agg(F.slice(F.array_sort(F.collect_set("key")), 1, LEAST_KEYS).alias("least"))
+    payload = entries.join(least, "fp").select("fp", "n", "coarse", "least")
+    placed = left.join(rest, "key", "left").join(big, ["key", "root"], "left").join(payload, "fp")
+    parts = F.greatest(F.ceil(F.coalesce("_n", "_m", F.lit(1)) / block), F.lit(1))
+    at = F.struct(F.col("_n").isNotNull().alias("pure"), F.when(F.col("_n").isNotNull(), F.col("root")).otherwise(0).alias("tag"), F.pmod(F.xxhash64("fp"), parts).alias("part"))
+    blocks = placed.select("key", F.col("_m").isNull().alias("single"), at.alias("at"), F.struct("fp", "root", "n", "coarse", "least").alias("e"))
+    blocks = stage(blocks.groupBy("key", "single", "at").agg(F.collect_list("e").alias("xs")), "near-blocks")
+    alone = map_arrow(blocks.where("single").select("key", "xs"), _across(similarity), "a long, b long", batch_rows=100)
+    x, y = (blocks.where("not single").select("key", F.col("at").alias(f"{c}at"), F.col("xs").alias(f"{c}s")) for c in "xy")
     apart = (F.col("xat") <= F.col("yat")) & ~(F.col("xat.pure") & F.col("yat.pure") & (F.col("xat.tag") == F.col("yat.tag")))
-    return map_arrow(x.join(y, "key").where(apart).select("xs", "ys"), _across, "a long, b long", batch_rows=200)
+    met = map_arrow(x.join(y, "key").where(apart).select("key", "xs", "ys"), _across(similarity), "a long, b long", batch_rows=50)
+    return alone.unionAll(met)
 
 
-def link_similar(distinct: DataFrame, docs: DataFrame, width: int, similarity: float, block: int = CAP) -> DataFrame:
-    """Edges a, b between entries (fp, doc_id, n_shingles, prefix) of ``docs`` that connect all those whose shingle similarity is high enough.
+def link_similar(distinct: DataFrame, docs: DataFrame, width: int, similarity: float, block: int = 128) -> DataFrame:
+    """Edges a, b between entries (fp, row_key, n_shingles, prefix, profile, coarse) of ``docs`` that connect all those whose shingle similarity is high enough.
 
-    First every entry is compared with two heads: of the smallest entries of its postings, the one with which it shares most postings, and the smallest, if it shares enough with them as heads. That gathers a group of near copies with few comparisons, whatever its size. Then all entries of one
+    First every entry is compared with two heads: of the smallest entries of its postings, the one with which it shares most postings, and the smallest.
+    That gathers a group of near copies with few comparisons, whatever its size. Then all entries of one
     posting that are not connected yet are compared, block by block (:func:`_open_pairs`), whatever the posting's length.
     """
     keys = map_arrow(distinct.select("fp", "prefix"), _prefix_keys, "fp long, key long")
@@ -344,38 +431,58 @@ def link_similar(distinct: DataFrame, docs: DataFrame, width: int, similarity: f
     # The tally of shared shingles says which head is nearest; the smallest head is the one that a whole group has in common.
     tally = shared.where("fp <> head").groupBy("fp", "head").agg(F.count("*").alias("n"))
     heads = tally.groupBy("fp").agg(F.max_by("head", F.struct("n", "head")).alias("near"), F.min("head").alias("low"))
-    heads = heads.select("fp", F.explode(F.array_distinct(F.array("near", "low"))).alias("head")).join(tally, ["fp", "head"])
-    edges = _verified(heads.select(F.col("head").alias("a"), F.col("fp").alias("b"), "n"), distinct, docs, width, similarity)
+    pairs = heads.select(F.explode(F.array_distinct(F.array("near", "low"))).alias("a"), F.col("fp").alias("b"))
+    edges = _verified(pairs, distinct, docs, width, similarity)
     roots = stage(components(edges), "near-first-roots").withColumnRenamed("node", "fp")
     named = shared.select("key", "fp").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     split = named.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi").select("key")
     left = stage(named.join(split, "key"), "near-open")
-    return edges.unionByName(_verified(_open_pairs(left, block).withColumn("n", F.lit(1)), distinct, docs, width, similarity))
+    rest = stage(_open_pairs(left, distinct.select("fp", F.col("n_shingles").alias("n"), "coarse"), similarity, block).distinct(), "near-pairs")
+    return edges.unionByName(_verified(rest, distinct, docs, width, similarity))
 
 
-def near_duplicate_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """doc_id and group_id (the smallest doc_id of the group) of every row: groups are connected by pairs with a shingle similarity of at least ``similarity``."""
+def _groups(docs: DataFrame, width: int, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """doc_id, row_key and fp of every row of ``docs`` (with row_key), and fp, n (its rows), first (its first row, by doc_id, null ones last) and root."""
     common = common_shingles(docs, width)
-    rows = map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _prefixes(width, similarity, common), "doc_id long, fp long, n_shingles long, prefix binary")
+    rows = map_arrow(docs.select(F.col("doc_id").cast("long"), "row_key", "text"), _entries(width, similarity, common), "doc_id long, row_key long, fp long, n_shingles long, prefix binary, profile binary, coarse binary")
     rows = stage(rows, "near")
-    by_fp = rows.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
-    by_fp = stage(by_fp, "near-distinct")
-    total = by_fp.agg(F.sum("n")).first()[0] or 0
-    # One row of each fingerprint: that of its smallest doc_id.
-    lows = by_fp.select("fp", F.col("low").alias("doc_id"))
-    distinct = stage(rows.join(lows, ["fp", "doc_id"]).dropDuplicates(["fp"]).select("fp", "doc_id", "n_shingles", "prefix"), "near-one")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key")).alias("first")
+    by_fp = stage(rows.groupBy("fp").agg(first, F.count("*").alias("n")), "near-distinct")
+    chosen = by_fp.select("fp", F.col("first.row_key").alias("row_key"))
+    once = rows.join(chosen, ["fp", "row_key"]).dropDuplicates(["fp", "row_key"])
+    distinct = stage(once.select("fp", "row_key", "n_shingles", "prefix", "profile", "coarse"), "near-one")
     roots = stage(components(link_similar(distinct, docs, width, similarity)), "near-roots")
-    named = stage(by_fp.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp")), "near-named")
-    tops = named.groupBy("root").agg(F.min("low").alias("group_id"), F.count("*").alias("_m"))
+    named = by_fp.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return rows.select("doc_id", "row_key", "fp"), stage(named, "near-named")
+
+
+def near_duplicate_groups(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
+    """doc_id and group_id (the smallest doc_id of the group) of every row: groups are connected by pairs with a shingle similarity of at least ``similarity``."""
+    rows, named = _groups(docs.select("doc_id", "text", row_key(docs)), width, similarity)
+    tops = named.groupBy("root").agg(F.min("first.doc_id").alias("group_id"), F.count("*").alias("_m"))
     table = stage(skew_join(named, stage(tops, "near-tops"), ["root"], "_m", named.count()).select("fp", "n", "group_id"), "near-table")
-    return skew_join(rows.select("doc_id", "fp"), table, ["fp"], "n", total).select("doc_id", "group_id")
+    total = named.agg(F.sum("n")).first()[0] or 0
+    return skew_join(rows, table, ["fp"], "n", total).select("doc_id", "group_id")
 
 
 def drop_near_duplicates(docs: DataFrame, width: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` with one document of each group, that with the smallest doc_id. Rows that repeat a doc_id share its fate; null doc_ids stay."""
-    groups = near_duplicate_groups(docs, width, similarity)
-    gone = stage(groups.where("doc_id > group_id").select("doc_id").distinct(), "near-duplicates")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` with one row of each group: that with the smallest doc_id (null ids last), then row key.
+
+    Rows are told apart by all their columns (maps aside), so rows that share a doc_id are judged each. Of wholly equal rows one stays.
+    """
+    keyed = docs.withColumn("row_key", row_key(docs)) if "row_key" not in docs.columns else None
+    if keyed is None:  # the name is taken
+        return drop_near_duplicates(docs.withColumnRenamed("row_key", "_row_key"), width, similarity).withColumnRenamed("_row_key", "row_key")
+    rows, named = _groups(keyed.select("doc_id", "text", "row_key"), width, similarity)
+    kept = named.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row_key").alias("row_key"))
+    kept = stage(kept, "near-kept")
+    counts = rows.groupBy("row_key").agg(F.count("*").alias("n")).join(kept.withColumn("_kept", F.lit(True)), "row_key", "left")
+    counts = stage(counts.where("_kept is null or n > 1").select("row_key", F.coalesce("_kept", F.lit(False)).alias("again")), "near-dropped")
+    out = _chosen(keyed, counts.select("row_key"), "left_anti")
+    again = counts.where("again").select("row_key")
+    if not again.isEmpty():  # of rows that are equal in all columns, one
+        out = out.unionByName(_chosen(keyed, again, "left_semi").dropDuplicates(["row_key"]))
+    return out.select(*docs.columns)
 
 
 def op9_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -262,8 +262,10 @@ def test_a_large_group_of_near_copies(spark):
 def test_all_open_pairs_of_a_long_posting_meet(spark):
     """A posting of a large component, a middle one and single entries: every pair of different roots, once or more, and no other."""
     root = {k: 0 if k < 300 else 300 if k < 400 else k for k in range(420)}
-    left = spark.createDataFrame([(7, k, r) for k, r in root.items()], "key long, fp long, root long")
-    got = {tuple(r) for r in simhash._open_pairs(left, 64).collect()}
+    same = bytearray([3] * 16)
+    left = spark.createDataFrame([(7, k, r) for k, r in root.items()] + [(8, 400, 400), (8, 401, 401)], "key long, fp long, root long")
+    entries = spark.createDataFrame([(k, 48, same) for k in root], "fp long, n long, coarse binary")
+    got = {tuple(r) for r in simhash._open_pairs(left, entries, 0.8, 64).collect()}
     assert got == {(a, b) for b in root for a in range(b) if root[a] != root[b]}
 
 
@@ -314,6 +316,38 @@ def test_pairs_right_around_the_similarity(spark):
     assert [got[k] for k in range(len(texts))] == want
 
 
+def test_profiles_never_count_too_little():
+    """The shared positional bytes of two texts are at least their shared shingles, also of unlike numbers of positions and where bytes are full."""
+    rng = np.random.default_rng(3)
+    for n, m, shared in ((40, 44, 37), (500, 620, 400), (16, 17, 2), (30_000, 33_000, 28_000)):
+        both = rng.integers(0, 1 << 63, shared, dtype=np.uint64)
+        x, y = (simhash.profile(np.concatenate([both, rng.integers(0, 1 << 63, k - shared, dtype=np.uint64)]))[None] for k in (n, m))
+        size = min(x.shape[1], y.shape[1])
+        most = simhash.shared_positional(simhash._folded(x, size)[0], simhash._folded(y, size))[0]
+        assert shared <= most <= shared + 0.7 * (min(n, m) - shared)
+    crowd = simhash.profile(np.arange(0, 600 * 1024, 1024, dtype=np.uint64))  # all in one position
+    assert simhash.shared_positional(crowd, crowd[None])[0] >= 600
+
+
+def test_rows_are_dropped_not_ids(spark):
+    """Rows that share a doc_id are judged each, null ids too; of equal rows one stays; columns with clashing names stay."""
+    rng = random.Random(4)
+    a, b, c, e = (sentence(rng, "en", 60) for _ in range(4))
+    rows = [(1, a), (2, a), (2, b), (5, b + " more"), (5, b + " more"), (6, c), (6, c), (None, e), (None, e), (None, a), (None, "x y"), (7, "x y"), (8, None)]
+    frame = docs(spark, rows).selectExpr("doc_id", "text", "h", "cast(null as string) as row_key", "1 as fp", "map('k', 1) as extra")
+    got = simhash.drop_near_duplicates(frame)
+    assert got.columns == frame.columns
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted([(1, a), (2, b), (6, c), (None, e), (7, "x y"), (8, None)], key=repr)
+
+
+def test_a_very_long_text_has_its_copy_found(spark):
+    rng = random.Random(12)
+    words = [f"w{rng.randrange(50_000)}" for _ in range(200_000)]
+    near = words[:90_000] + ["changed"] + words[90_001:]
+    rows = [(1, " ".join(words)), (2, " ".join(near)), (3, " ".join(words[:100_000])), (4, "few words")]
+    assert {r.doc_id for r in simhash.drop_near_duplicates(docs(spark, rows)).collect()} == {1, 3, 4}
+
+
 # --- operator 10
 
 
