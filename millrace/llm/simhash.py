@@ -1,19 +1,19 @@
 """Operator 9: SimHash near-duplicates by a byte-position inverted index with count filtering.
 
-Fingerprints are 64 bits over word shingles. Two that differ in at most 2 bits differ in at most 2 of their 8 bytes, so they share
-at least 6 (position, byte) postings. The index is keyed by sets of positions, so that postings stay short: the 8 bytes
-are four 2-byte groups, 2 differing bits touch at most two groups, so each such pair agrees on two whole groups and
-meets under one of the six keys of two groups. For every pair that meets, the shared positional
-bytes are tallied from the XOR; pairs with at least the guaranteed number are verified by bit count.
+Fingerprints are 64 bits over word shingles. Two that differ in at most 2 bits differ in at most 2 of their 8 bytes. A posting per single (position, byte)
+would hold 1/256 of all fingerprints, so the index is keyed by sets of four positions with their bytes: the 14 sets whose places XOR to zero (the planes of
+eight points), which meet every three positions just once. Two fingerprints that share six positional bytes or more share at least 3 of
+these postings, those that share seven at least 7, equal ones all 14, and those that share five or fewer at most 1. So the number of postings that a pair shares, tallied over the
+index, says whether it shares enough positional bytes: pairs below the guaranteed minimum are dropped by the tally, the rest are verified by bit count.
 
 Equal fingerprints are one entry of the index, whatever their number. A posting with more than ``cap`` fingerprints is not expanded into pairs. Its members
 go to an exact star join: each fingerprint is sent to itself and to its 64 one-bit neighbours, and two fingerprints
-meet at one of these if, and only if, they differ in at most 2 bits; those that meet are linked to the smallest. So no link is lost and nothing
-grows with the square of a group.
+meet at one of these if, and only if, they differ in at most 2 bits; those that meet are linked to the smallest. A pair with a posting among the long ones has both
+its members there; any other pair's postings are all expanded, so its tally is whole. So no link is lost and nothing grows with the square of a group.
 
 Defined cases: null texts are empty texts; a text without words has fingerprint zero, linked like any
 other; repeated rows and repeated doc_ids are rows of their own; rows with a null doc_id get a component too, but never name one
-unless alone in it (component_id null); an empty table gives no rows; further columns are ignored.
+unless alone in it (component_id null); very long texts are hashed in slices of bounded memory; an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,7 +34,9 @@ SEED = 42
 _UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 #: Postings of more distinct fingerprints than this take the star join.
-CAP = 64
+CAP = 32
+#: The position sets that key the index.
+PLANES = [p for p in combinations(range(8), 4) if p[0] ^ p[1] ^ p[2] ^ p[3] == 0]
 
 
 def split_words(text: str) -> list[str]:
@@ -91,29 +93,29 @@ def hex16(fp: Column) -> Column:
 
 
 def _byte(fp: Column, k: int) -> Column:
-    return F.shiftrightunsigned(fp, 8 * k).bitwiseAND(F.lit(255))
+    return F.shiftrightunsigned(fp, 8 * k).bitwiseAND(F.lit(255).cast("long"))
 
 
 def index_keys(fp: Column) -> Column:
-    """The six keys of a fingerprint: two of its four 2-byte groups, with their place."""
-    group = [F.shiftrightunsigned(fp, 16 * k).bitwiseAND(F.lit(0xFFFF)) for k in range(4)]
-    keys = [F.lit(place << 32).bitwiseOR(F.shiftleft(group[a], 16)).bitwiseOR(group[b]) for place, (a, b) in enumerate(combinations(range(4), 2))]
+    """The 14 keys of a fingerprint: a set of four positions and their bytes."""
+    keys = []
+    for place, plane in enumerate(PLANES):
+        key = F.lit(place).cast("long")
+        for k in plane:
+            key = F.shiftleft(key, 8).bitwiseOR(_byte(fp, k))
+        keys.append(key)
     return F.array(*keys)
 
 
-def shared_bytes(a: Column, b: Column) -> Column:
-    """How many of the 8 positional bytes are equal."""
-    x = a.bitwiseXOR(b)
-    out = F.lit(0)
-    for k in range(8):
-        out = out + F.when(_byte(x, k) == 0, 1).otherwise(0)
-    return out
+def least_postings(max_bits: int) -> int:
+    """How many postings two fingerprints share at least if they differ in ``max_bits`` bits: the sets that avoid any so many positions."""
+    return min(sum(not set(gone) & set(p) for p in PLANES) for gone in combinations(range(8), max_bits))
 
 
 def link_fingerprints(distinct: DataFrame, max_bits: int = 2, cap: int = CAP) -> DataFrame:
     """Edges a, b between distinct fingerprints (column fp) that connect all those within ``max_bits`` (at most 2) bits."""
     if not 0 <= max_bits <= 2:
-        raise ValueError("the keys of two byte groups guarantee a meeting for at most 2 bits")
+        raise ValueError("the star join is exact for at most 2 bits")
     postings = stage(distinct.select("fp", F.explode(index_keys(F.col("fp"))).alias("key")), "simhash-postings")
     sizes = stage(postings.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "simhash-sizes")
     short = postings.join(sizes.where(F.col("n") <= cap).select("key"), "key")
@@ -121,8 +123,8 @@ def link_fingerprints(distinct: DataFrame, max_bits: int = 2, cap: int = CAP) ->
     lists = short.groupBy("key").agg(F.array_sort(F.collect_list("fp")).alias("fps"))
     heads = lists.select("fps", F.posexplode("fps").alias("_at", "a"))
     pairs = heads.select("a", F.explode(F.slice("fps", F.col("_at") + 2, F.lit(cap))).alias("b"))
-    pairs = pairs.where((shared_bytes(F.col("a"), F.col("b")) >= 8 - max_bits) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits))
-    edges = pairs.distinct()
+    tally = pairs.groupBy("a", "b").agg(F.count("*").alias("shared")).where(F.col("shared") >= least_postings(max_bits))
+    edges = tally.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits).select("a", "b")
     long = sizes.where(F.col("n") > cap)
     if max_bits and not long.isEmpty():
         total = long.agg(F.sum("n")).first()[0]
