@@ -9,8 +9,8 @@ magic strings inside payloads and become part of the record that holds them.
 Everything is built-in DataFrame functions; payloads never pass through Python.
 
 Defined cases: a null html is an empty payload; a null url leaves out WARC-Target-URI; rows with a null page_id are
-written and read back with a null page_id; repeated page_ids are separate records (of equal payloads one, the first by url, is the response); an empty table gives no
-archives and no rows; further columns are ignored. Payloads shorter than ``min_revisit_bytes`` are never revisits.
+written and read back with a null page_id; repeated page_ids are separate records (of equal payloads one, the last by url, is the response, and of wholly equal rows
+one); an empty table gives no archives and no rows; further columns are ignored; a very long payload is one record. Payloads shorter than ``min_revisit_bytes`` are never revisits.
 """
 
 from __future__ import annotations
@@ -57,9 +57,18 @@ def plan_revisits(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
         .where("_n > 1")
     )
     groups = stage(groups, "warc-groups")
+    # Equal rows that would all be the response: only one of them may be.
+    same = rows.join(groups.select("payload_digest", F.col("_first").alias("_rank")), ["payload_digest", "_rank"], "left_semi") if not groups.isEmpty() else rows.limit(0)
+    same = stage(same.groupBy("payload_digest", "_rank").agg(F.count("*").alias("_same")).where("_same > 1"), "warc-same")
     total = groups.agg(F.sum("_n")).first()[0] or 0
     marked = skew_join(rows, groups, ["payload_digest"], "_n", total) if total else rows.withColumns({"_first": F.lit(None).cast(rows.schema["_rank"].dataType), "_refers": F.lit(None).cast("long")})
     revisit = F.coalesce((F.col("payload_bytes") >= min_revisit_bytes) & (F.col("_rank") != F.col("_first")), F.lit(False))
+    marked = marked.withColumn("_revisit", revisit)
+    if not same.isEmpty():
+        keys = ["payload_digest", "_rank"]
+        once = marked.join(same, keys).dropDuplicates(keys).withColumn("_revisit", F.explode(F.transform(F.sequence(F.lit(1).cast("long"), F.col("_same")), lambda k: k > 1)))
+        marked = marked.join(same.select(*keys), keys, "left_anti").select(*marked.columns).unionByName(once.select(*marked.columns))
+    revisit = F.col("_revisit")
     return marked.select(
         "page_id",
         "url",
@@ -124,7 +133,7 @@ def candidates(spark: SparkSession, path: str) -> DataFrame:
     blocks = cut.groupBy("file", "block").agg(F.sum(F.col("size") + mark).alias("bytes"))
     base = blocks.select("file", "block", (F.sum("bytes").over(Window.partitionBy("file").orderBy("block")) - F.col("bytes")).alias("base"))
     inner = Window.partitionBy("file", "block").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = cut.withColumn("_end", F.sum(F.col("size") + mark).over(inner)).join(base, ["file", "block"])
+    placed = cut.withColumn("_end", F.sum(F.col("size") + mark).over(inner)).withColumn("k", F.row_number().over(Window.partitionBy("file", "block").orderBy("seq"))).join(base, ["file", "block"])
     # Segments are what stands between magics: the first of a file has no magic before it.
     placed = placed.withColumn("off", F.col("base") + F.col("_end") - F.col("size") - 2 * mark).drop("base", "_end")
     return placed.withColumn(
@@ -184,7 +193,8 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """Every verified record of the archives under ``path``.
 
     Returns page_id, payload_bytes, payload_digest, record_type, refers_to, file, offset, and digest_ok (the payload held matches the header's digest; null for revisits).
-    A record whose payload holds the magic is pieced together from its segments, which are read a second time.
+    A record whose payload holds the magic is pieced together from its segments. The blocks that hold them are read a second time; a segment is
+    found again by its number within its block.
     """
     cand = stage(candidates(spark, path), "warc-candidates")
     kept = stage(retain_reachable(cand), "warc-records")
@@ -194,12 +204,14 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     if not split.isEmpty():
         order = Window.partitionBy("file").orderBy("off").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         owners = kept.select("file", "off", F.when(F.col("held_digest").isNull(), F.col("off")).alias("_own"), F.lit(True).alias("_rec"))
-        parts = cand.where("off >= 0").select("file", "off", "seq", "size").join(owners, ["file", "off"], "left")
+        parts = cand.where("off >= 0").select("file", "off", "block", "k", "size").join(owners, ["file", "off"], "left")
         parts = parts.withColumn("owner", F.last(F.when(F.col("_rec"), F.struct("_own")), True).over(order)["_own"]).where("owner is not null")
-        parts = stage(parts.select("file", "seq", "size", "owner"), "warc-parts")
-        bytes_ = segments(spark, path).select("seq", "data").join(parts, "seq")
-        bytes_ = bytes_.withColumn("data", F.when(F.octet_length("data") == F.col("size"), F.col("data")).otherwise(F.raise_error(F.lit("the archives changed while they were read"))))
-        whole = bytes_.groupBy("file", F.col("owner").alias("off")).agg(F.array_sort(F.collect_list(F.struct("seq", F.col("data").cast("string").alias("s")))).alias("_all"))
+        parts = stage(parts.select("file", "block", "k", "off", "size", "owner"), "warc-parts")
+        again = segments(spark, path).join(parts.select("file", "block").distinct(), ["file", "block"], "left_semi")
+        again = again.withColumn("k", F.row_number().over(Window.partitionBy("file", "block").orderBy("seq")))
+        bytes_ = again.select("file", "block", "k", "data").join(parts, ["file", "block", "k"], "right")
+        bytes_ = bytes_.withColumn("data", F.when(F.coalesce(F.octet_length("data"), F.lit(-1)) == F.col("size"), F.col("data")).otherwise(F.raise_error(F.lit("the archives changed while they were read"))))
+        whole = bytes_.withColumnRenamed("off", "at").groupBy("file", F.col("owner").alias("off")).agg(F.array_sort(F.collect_list(F.struct("at", F.col("data").cast("string").alias("s")))).alias("_all"))
         text = F.array_join(F.transform("_all", lambda x: x["s"]), MAGIC).cast("binary")
         whole = split.drop(*known).join(whole.select("file", "off", text.alias("data")), ["file", "off"])
         whole = whole.withColumn("_block", F.expr("substring(data, int(head_bytes + 1), int(length))"))
