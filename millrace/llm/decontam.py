@@ -7,9 +7,10 @@ quarters of them equal, is without a hit, wherever its substitutions are (the te
 item. A hit fixes how document and item line up; the tokens around it are then compared one by one, and pairs with a long enough, equal enough overlap stand.
 Built-in functions only.
 
-Defined cases: null and empty texts have no tokens and never match; items of fewer than ``min_item`` tokens
-are left out; repeated rows of documents or items give the same pair once for each doc_id and item_id; of overlaps of one pair the longest (then the earliest) is
-returned; empty tables give no rows; further columns are ignored.
+Defined cases: null and empty texts have no tokens and never match; documents with a null doc_id are looked at like any other (their pairs have a null doc_id); items with a
+null item_id or of fewer than ``min_item`` tokens are left out; repeated rows of documents or items give the same pair once, rows that share a doc_id but not their text are
+judged each; of overlaps of one pair the longest (then the earliest) is returned; a very long text has one row for each hit only, and is compared around its hits; empty tables give no
+rows; further columns are ignored. Tokens are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -37,8 +38,14 @@ BROADCAST_WINDOWS = 2_000_000
 
 
 def tokens(text: Column) -> Column:
-    """Lower-cased runs of letters and digits."""
-    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda x: x != "")
+    """Hashes of the lower-cased runs of letters and digits. What stands before a first separator is empty and goes; so does what follows a last one."""
+    words = F.split(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$", ""), r"[^\p{L}\p{N}]+")
+    return F.transform(F.filter(words, lambda x: x != ""), lambda x: F.xxhash64(x))
+
+
+def document_key(docs: DataFrame) -> Column:
+    """What tells documents apart: doc_id and text."""
+    return F.xxhash64(F.col("doc_id").isNull(), "doc_id", "text")
 
 
 def _window_hashes(words: Column, kept: tuple[int, ...], tag: int) -> Column:
@@ -60,8 +67,13 @@ def windows(frame: DataFrame, masks: list[tuple[int, ...]]) -> DataFrame:
     return frame.select("id", F.explode(F.concat(*packed)).alias("_w")).select("id", F.col("_w.pos").alias("pos"), F.col("_w.h").alias("h"))
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, min_overlap: int = 12, min_equal: float = 0.75, min_item: int = 5) -> DataFrame:
-    """Pairs of documents and items: doc_id, item_id, doc_start, item_start, n_tokens (length of the overlap) and n_equal.
+def find_contamination(docs: DataFrame, benchmark: DataFrame, min_overlap: int = 12, min_equal: float = 0.75, min_item: int = 1) -> DataFrame:
+    """Pairs of documents and items: doc_id, item_id, doc_start, item_start, n_tokens (length of the overlap) and n_equal."""
+    return _overlaps(docs, benchmark, min_overlap, min_equal, min_item).drop("id")
+
+
+def _overlaps(docs: DataFrame, benchmark: DataFrame, min_overlap: int = 12, min_equal: float = 0.75, min_item: int = 1) -> DataFrame:
+    """The pairs with the document's key (id).
 
     An overlap is a stretch that starts and ends with equal tokens, has at least ``min_overlap`` tokens (or the whole item, if
     that is shorter) and at least ``min_equal`` of them equal. It is the best-scoring stretch of the
@@ -77,15 +89,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, min_overlap: int =
     seeds = [windows(items.where(F.least(F.size("words"), F.lit(SPAN)).isin([w for w in widths if m in of[w]])), [m]) for m in masks]
     seeds = reduce(DataFrame.unionByName, seeds) if seeds else windows(items, [MASKS[0]])
     seeds = stage(seeds.select(F.col("id").alias("item_id"), F.col("pos").alias("item_pos"), "h").distinct(), "bench-seeds")
-    words = docs.where("doc_id is not null").select(F.col("doc_id").alias("id"), tokens(F.col("text")).alias("words"))
+    words = docs.select(document_key(docs).alias("id"), "doc_id", tokens(F.col("text")).alias("words"))
     small = seeds.count() <= BROADCAST_WINDOWS
     hits = windows(words, masks or [MASKS[0]]).join(F.broadcast(seeds) if small else seeds, "h")
     lined = hits.select("id", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift")).distinct()
     lined = stage(lined, "bench-hits")
     by_doc = lined.groupBy("id").agg(F.collect_set(F.struct("item_id", "shift")).alias("lines"))
     # The few documents with hits are read again for their tokens; Spark broadcasts the hits where their table is small.
-    pairs = words.join(stage(by_doc, "bench-lines"), "id").select("id", "words", F.explode("lines").alias("_l"))
-    pairs = pairs.select("id", F.col("_l.item_id").alias("item_id"), F.col("_l.shift").alias("shift"), F.slice("words", F.greatest(F.col("_l.shift"), F.lit(0)) + 1, F.lit(_longest(items))).alias("near"))
+    pairs = words.join(stage(by_doc, "bench-lines"), "id").select("id", "doc_id", "words", F.explode("lines").alias("_l"))
+    pairs = pairs.select("id", "doc_id", F.col("_l.item_id").alias("item_id"), F.col("_l.shift").alias("shift"), F.slice("words", F.greatest(F.col("_l.shift"), F.lit(0)) + 1, F.lit(_longest(items))).alias("near"))
     both = pairs.join(items.select(F.col("id").alias("item_id"), F.col("words").alias("item")), "item_id")
     skip = F.greatest(-F.col("shift"), F.lit(0))  # item tokens before the document's first
     same = F.transform(F.sequence(F.lit(0), F.least(F.size("near"), F.size("item") - F.col("skip")) - 1), lambda i: F.get("near", i) == F.get("item", i + F.col("skip")))
@@ -98,7 +110,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, min_overlap: int =
     both = both.withColumn("_b", best).where("_b.hi >= 0")
     inside = F.slice("same", F.col("_b.lo") + 1, F.col("_b.hi") - F.col("_b.lo") + 1)
     out = both.select(
-        F.col("id").alias("doc_id"),
+        "id",
+        "doc_id",
         "item_id",
         (F.greatest(F.col("shift"), F.lit(0)) + F.col("_b.lo")).cast("long").alias("doc_start"),
         (F.col("skip") + F.col("_b.lo")).cast("long").alias("item_start"),
@@ -107,7 +120,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, min_overlap: int =
         F.size("item").alias("_len"),
     )
     out = out.where((F.col("n_tokens") >= F.least(F.lit(min_overlap), F.col("_len"))) & (F.col("n_equal") >= min_equal * F.col("n_tokens"))).drop("_len")
-    w = Window.partitionBy("doc_id", "item_id").orderBy(F.desc("n_equal"), "n_tokens", "doc_start", "item_start")
+    w = Window.partitionBy("id", "item_id").orderBy(F.desc("n_equal"), "n_tokens", "doc_start", "item_start")
     return out.withColumn("_k", F.row_number().over(w)).where("_k = 1").drop("_k")
 
 
@@ -132,9 +145,10 @@ def _extend(acc: Column, same: Column) -> Column:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without the documents that hold a passage of the benchmark."""
-    bad = stage(find_contamination(docs, benchmark).select("doc_id").distinct(), "bench-bad")
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` without the documents (told apart by doc_id and text) that hold a passage of the benchmark."""
+    bad = stage(_overlaps(docs, benchmark).select("id").distinct(), "bench-bad")
+    small = bad.count() <= BROADCAST_WINDOWS
+    return docs.join(F.broadcast(bad) if small else bad, document_key(docs) == bad["id"], "left_anti").select(*docs.columns)
 
 
 def op10_query(spark: SparkSession, sf_dir: str) -> DataFrame:
