@@ -9,8 +9,9 @@ Queries go in blocks of at most BLOCK rows. Such a block, of a known size, is se
 returns its best k for each query, and a ranking over these gives the result. So every block is one pass over the table, and nothing grows on the driver.
 
 Defined cases: vectors that are null or hold null, NaN or infinite components take no part; shorter vectors count as padded with
-zeros; an empty vector scores 0 with all; rows with a null vec_id take no part; a repeated vec_id as a query gives its
-ranking once per distinct vector, and all rows of the query's own id are left out of its candidates; repeated candidates rank one after another; blocks whose sums could reach 2**53 take an exact, slower path, and a score beyond 64 bits fails.
+zeros; an empty vector scores 0 with all; rows with a null vec_id take no part; each row of a repeated vec_id is a query of its own, and a candidate of the others; a component
+that isn't finite any more once it is scaled counts as not finite; blocks whose sums could reach 2**53 take an exact, slower path, and a score beyond 64 bits fails; very long
+vectors are just wide (a block of queries is sent whole); an empty table gives no rows; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -30,13 +31,13 @@ BLOCK = 4096
 CHUNK = 4096
 DIMS = 16
 _SAFE = float(1 << 53)
-RESULT = "query_key long, query_id long, vec_id long, score long"
+RESULT = "query_key long, query_id long, vec_id long, score long, own long"
 
 
 def scaled(vector: Column) -> Column:
     """floor(1024 x) of each component as doubles, or null if the vector takes no part."""
     doubles = F.transform(vector, lambda x: x.cast("double"))
-    bad = F.exists(doubles, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    bad = F.exists(doubles, lambda x: x.isNull() | F.isnan(x) | (F.abs(x * SCALE) == float("inf")))
     return F.when(vector.isNotNull() & ~bad, F.transform(doubles, lambda x: F.call_function("rint", x * SCALE) - F.when(F.call_function("rint", x * SCALE) > x * SCALE, 1.0).otherwise(0.0)))
 
 
@@ -107,8 +108,6 @@ class TopK:
 
     def _merge(self, base: int, vec_ids: np.ndarray, qi: np.ndarray, xi: np.ndarray, t: np.ndarray) -> None:
         ids = vec_ids[xi]
-        other = ids != self.ids[base + qi]
-        qi, ids, t = qi[other], ids[other], t[other]
         order = np.lexsort((ids, -t, qi))
         qi, ids, t = qi[order], ids[order], t[order]
         for q, s, e in zip(*self._groups(qi), strict=True):
@@ -141,7 +140,9 @@ class TopK:
         has = np.arange(self.k)[None, :] < self.count[:, None]
         n = self.count
         score = pa.array([int(x) for x in self.score[has]], pa.int64())
-        return pa.record_batch([pa.array(np.repeat(self.keys, n)), pa.array(np.repeat(self.ids, n)), pa.array(self.vec[has]), score], names=["query_key", "query_id", "vec_id", "score"])
+        own = np.array([sum(int(x) ** 2 for x in q) for q in self.q], object)
+        own = pa.array([int(x) if x < 1 << 63 else None for x in np.repeat(own, n)], pa.int64())
+        return pa.record_batch([pa.array(np.repeat(self.keys, n)), pa.array(np.repeat(self.ids, n)), pa.array(self.vec[has]), score, own], names=["query_key", "query_id", "vec_id", "score", "own"])
 
 
 def _scan(keys: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int):
@@ -157,11 +158,14 @@ def _scan(keys: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int):
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 10, block: int = BLOCK) -> DataFrame:
-    """query_id, rank, vec_id, score: for each query row the ``k`` best of all rows with another id."""
+    """query_id, rank, vec_id, score: for each query row the ``k`` best of all rows but itself.
+
+    A query row is a candidate of its own with a known score, so each scan keeps one more, and one row of that id and score is taken out at the end.
+    """
     spark = vectors.sparkSession
     rows = stage(vectors.select(F.col("vec_id").cast("long"), scaled(F.col("embedding")).alias("v")).where("vec_id is not null and v is not null"), "vectors")
     width, n = rows.agg(F.max(F.size("v")), F.count(F.when(is_query, 1))).first()
-    asked = rows.where(is_query).select("vec_id", "v").distinct().withColumn("_k", F.xxhash64("vec_id", "v"))
+    asked = rows.where(is_query).groupBy("vec_id", "v").agg(F.count("*").alias("_n")).withColumn("_k", F.xxhash64("vec_id", "v"))
     blocks = max(1, -(-2 * n // block))  # of about half the size, so that none is much larger than block
     asked = stage(asked.withColumn("_b", F.pmod("_k", F.lit(blocks))), "queries")
     found = []
@@ -169,14 +173,21 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, block: int = BLOCK)
         mine = asked.where(F.col("_b") == b).select("_k", "vec_id", "v").toArrow().combine_chunks()
         if mine.num_rows:
             keys, ids = mine.column("_k").to_numpy(), mine.column("vec_id").to_numpy()
-            found.append(stage(map_arrow(rows, _scan(keys, ids, matrix(mine.column("v").combine_chunks(), width), k), RESULT), "topk-block"))
+            found.append(stage(map_arrow(rows, _scan(keys, ids, matrix(mine.column("v").combine_chunks(), width), k + 1), RESULT), "topk-block"))
     if not found:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     every = found[0]
     for f in found[1:]:
         every = every.unionAll(f)
-    w = Window.partitionBy("query_key", "query_id").orderBy(F.desc("score"), "vec_id")
-    return every.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    w = Window.partitionBy("query_key", "query_id").orderBy(F.desc("score"), "vec_id", F.col("_self").cast("int"))
+    ranked = every.withColumn("_self", (F.col("vec_id") == F.col("query_id")) & F.col("score").eqNullSafe(F.col("own")))
+    ranked = ranked.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k + 1)
+    at = F.min(F.when(F.col("_self"), F.col("rank"))).over(Window.partitionBy("query_key", "query_id"))
+    ranked = ranked.withColumn("_at", at).where(F.col("_at").isNull() | (F.col("rank") != F.col("_at")))
+    ranked = ranked.withColumn("rank", F.when(F.col("rank") > F.col("_at"), F.col("rank") - 1).otherwise(F.col("rank")).cast("int")).where(F.col("rank") <= k)
+    again = asked.where("_n > 1").select(F.col("_k").alias("query_key"), F.col("vec_id").alias("query_id"), "_n")  # equal query rows have equal rankings
+    times = F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("_n", F.lit(1))))
+    return ranked.join(again, ["query_key", "query_id"], "left").select("query_id", "rank", "vec_id", "score", times.alias("_t")).drop("_t")
 
 
 def op6_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -186,11 +197,11 @@ def op6_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: DuckDB, for tables without nulls in vectors.
 OP6_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), s AS (
-  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
-), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.r <> c.r
+), r AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS k FROM s)
 SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 10
 """

@@ -38,6 +38,17 @@ def test_cache_cut_back():
         assert len(enc.index) < 40
 
 
+def test_long_units_are_forgotten(monkeypatch):
+    """Texts without blanks: the cache is bounded in characters, and what is kept stays right under its new numbers."""
+    monkeypatch.setattr(tokenizing, "CACHE_CHARS", 5000)
+    enc = tokenizing.UnitEncoder(tokenizing.public_path("byte_bpe_50k.json"), "space")
+    for k in range(30):
+        text = f"the word w{k} " + "中文字" * (100 + k) + f" the end{k % 3} the"
+        assert enc.encode([text], 1)[0].tolist() == [*enc.tokenizer.encode(text, add_special_tokens=False).ids, 1]
+        assert enc.index.chars < 6000
+    assert "the" in enc.index and len(enc.pool) < 4 << 20
+
+
 # --- operator 2
 
 
@@ -168,9 +179,10 @@ def test_merkle_and_crc():
 def brute(rows, is_query, k):
     ok = [(i, [int(np.floor(1024 * float(x))) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
     out = []
-    for q, a in dict(((i, tuple(v)), (i, v)) for i, v in ok if is_query(i)).values():
-        scored = sorted((-sum(x * y for x, y in zip(a, b, strict=False)), i) for i, b in ok if i != q)[:k]
-        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
+    for at, (q, a) in enumerate(ok):
+        if is_query(q):
+            scored = sorted((-sum(x * y for x, y in zip(a, b, strict=False)), i) for c, (i, b) in enumerate(ok) if c != at)[:k]
+            out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
     return sorted(out)
 
 
@@ -191,6 +203,10 @@ def test_topk_edges(spark):
     rows = [(0, f), (1, None), (2, [0.5, None]), (3, [float("nan"), 1.0]), (4, [float("inf"), 1.0]), (5, [0.001, -0.001]), (100, f), (6, [1.0]), (7, []), (None, f), (8, [0.1, 0.2, 0.3]), (8, [0.1, 0.2, 0.3])]
     assert run(spark, rows) == brute(rows, lambda i: i % 100 == 0, 10)
     assert run(spark, rows[1:5]) == [] and run(spark, []) == []
+    again = [*rows, (0, f), (0, [0.9, 0.9]), (100, f)]  # repeated queries are candidates of one another
+    assert run(spark, again) == brute(again, lambda i: i % 100 == 0, 10) and run(spark, again, k=2) == brute(again, lambda i: i % 100 == 0, 2)
+    huge = spark.createDataFrame([(0, [1.0e306]), (100, [2.0]), (1, [1.0])], "vec_id long, embedding array<double>")
+    assert [tuple(r) for r in topk.top_k(huge, F.col("vec_id") % 100 == 0).collect()] == [(100, 1, 1, 2 * 1024 * 1024)]
     big = [(0, [3.0e5, 1.0]), (1, [2.0e5, 1.0]), (2, [-1.0e5, 2.0]), (3, [2.0e5, 1.0])]
     assert run(spark, big) == brute(big, lambda i: i % 100 == 0, 10)
 
