@@ -7,7 +7,7 @@ list of slots (a length, a range of ranks among the pieces of that length, the s
 rank, which is counted in parallel. So the packing is global, deterministic and never gathers pieces.
 
 Defined cases: a null text is empty and packs as its end id alone; repeated rows are pieces of their own; an empty table gives no
-rows; further columns are ignored; only documents longer than ``capacity`` are cut.
+rows; further columns are ignored; only documents longer than ``capacity`` are cut, a very long one into many pieces.
 """
 
 from __future__ import annotations
@@ -25,6 +25,8 @@ from pyspark.sql.window import Window
 from millrace.llm._common import map_arrow, stage
 from millrace.llm.tokenizing import encoder, text_slices
 
+#: Up to so many slots (48 bytes each) are broadcast.
+BROADCAST_SLOTS = 200_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -123,8 +125,6 @@ def plan_slots(histogram: dict[int, int], capacity: int) -> list[tuple[int, int,
     return slots
 
 
-
-
 def _give(gaps: dict[int, list[tuple[int, int]]], small: list[int], order: list[int], gap: int, n: int, first: int, count: int) -> None:
     """Sequences with a new gap: to the heap if the present length fits it, else aside."""
     if gap <= 0:
@@ -144,7 +144,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     histogram = {r[0]: r[1] for r in pieces.groupBy("length").count().collect()}  # at most capacity rows
     if not histogram:
         return pieces.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")})
-    slots = spark.createDataFrame(plan_slots(histogram, capacity), "length long, r0 long, r1 long, first long, per long, off0 long")
+    planned = plan_slots(histogram, capacity)
+    slots = spark.createDataFrame(planned, "length long, r0 long, r1 long, first long, per long, off0 long")
     # Ranks: pieces fall by hash into buckets; counts per bucket and length give where each bucket starts.
     buckets = max(1024, sum(histogram.values()) >> 20)
     rows = pieces.withColumn("_b", F.pmod(F.xxhash64(*[c for c, kind in pieces.dtypes]), F.lit(buckets)))
@@ -152,8 +153,8 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     base = counts.select("_b", "length", (F.sum("_n").over(Window.partitionBy("length").orderBy("_b")) - F.col("_n")).alias("_base"))
     own = Window.partitionBy("_b", "length").orderBy("doc_id", "piece", "ids_crc32")
     ranked = rows.withColumn("_k", F.row_number().over(own)).join(base, ["_b", "length"]).withColumn("_r", F.col("_base") + F.col("_k") - 1)
-    # The slots' number depends on the lengths alone (a few for each), so their table is small at any scale.
-    out = ranked.join(F.broadcast(slots), (ranked["length"] == slots["length"]) & (F.col("_r") >= F.col("r0")) & (F.col("_r") < F.col("r1"))).drop(slots["length"])
+    # The slots' number depends on the lengths alone; it is checked all the same.
+    out = ranked.join(F.broadcast(slots) if len(planned) <= BROADCAST_SLOTS else slots, (ranked["length"] == slots["length"]) & (F.col("_r") >= F.col("r0")) & (F.col("_r") < F.col("r1"))).drop(slots["length"])
     step = F.col("_r") - F.col("r0")
     return out.select(
         *pieces.columns,

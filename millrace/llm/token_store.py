@@ -6,14 +6,14 @@ chunks; the root of a Merkle tree over them is in the recipe, and manifests hold
 parts. Recipes are in ascending doc_id order.
 
 The folder: ``store`` (Parquet: digest, n, payload = zstd of little-endian 32-bit ids), ``recipes`` (Parquet: doc_id, _part, _pos, n_tokens,
-digests, lengths, root) and ``manifest`` (Parquet: _part, n_docs, n_tokens, root; part -1 holds the root over the others).
+digests, ends, root) and ``manifest`` (Parquet: _part, n_docs, n_tokens, root; part -1 holds the root over the others).
 
 Reading checks every chunk against its address and every root against the manifests. A document's checksum follows from its chunks'
 checksums, because CRC-32 is linear: each is carried past the bytes that follow it and all are XORed. So verifying all
 documents reads each stored chunk once, and moves no ids.
 
 Defined cases: a null text is empty (its recipe is the end id alone); repeated rows and doc_ids are documents of their own, ordered by doc_id (nulls first), then
-root; an empty table gives empty tables; further columns are ignored.
+root; an empty table gives empty tables; further columns are ignored; a very long text has more chunks, each of bounded size, and its recipe is one row.
 """
 
 from __future__ import annotations
@@ -35,8 +35,8 @@ from millrace.llm.tokenizing import encoder, text_slices
 
 WINDOW = 8
 _MIX = 0x9E3779B97F4A7C15
-_RAW = "kind string, doc_id long, n long, digests binary, lengths array<int>, root binary, digest binary, payload binary"
-_RAW_ARROW = pa.schema([("kind", pa.string()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digests", pa.binary()), ("lengths", pa.list_(pa.int32())), ("root", pa.binary()), ("digest", pa.binary()), ("payload", pa.binary())])
+_RAW = "kind string, doc_id long, n long, digests binary, ends array<long>, root binary, digest binary, payload binary"
+_RAW_ARROW = pa.schema([("kind", pa.string()), ("doc_id", pa.int64()), ("n", pa.int64()), ("digests", pa.binary()), ("ends", pa.list_(pa.int64())), ("root", pa.binary()), ("digest", pa.binary()), ("payload", pa.binary())])
 DIGEST = 32
 
 
@@ -97,7 +97,7 @@ def _encode(tokenizer: str, cut: str, end_id: int, mean: int, least: int, most:
                                 seen.clear()
                             seen.add(d)
                             rows.append(("chunk", None, e - s, None, None, None, d, squeeze.compress(data)))
-                    rows.append(("recipe", doc_ids[at + k], n, b"".join(digests), np.diff(bounds).tolist(), merkle_root(digests), None, None))
+                    rows.append(("recipe", doc_ids[at + k], n, b"".join(digests), bounds[1:], merkle_root(digests), None, None))
                     begin += n
                 at += len(texts)
                 cols = list(zip(*rows, strict=True)) if rows else [[]] * len(_RAW_ARROW)
@@ -137,7 +137,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json"
     once = map_arrow(raw.repartition(F.xxhash64(key)), _first_of_each, _RAW, encodes=True, batch_rows=10000)
     once.write.option("compression", "uncompressed").parquet(f"{path}/store")
     recipes = spark.read.schema(_RAW).parquet(f"{path}/store").where("kind = 'recipe'")
-    recipes = recipes.select("doc_id", F.col("n").alias("n_tokens"), "digests", "lengths", "root")
+    recipes = recipes.select("doc_id", F.col("n").alias("n_tokens"), "digests", "ends", "root")
     ordered = recipes.repartitionByRange(F.col("doc_id").asc_nulls_first(), "root").sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "root")
     ordered = ordered.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_pos"))
     ordered.write.parquet(f"{path}/recipes")
@@ -213,12 +213,13 @@ def verify_documents(spark: SparkSession, path: str) -> DataFrame:
     recipes = running_start(read_recipes(spark, path), "n_tokens", "start")
     chunks = spark.read.schema(_RAW).parquet(f"{path}/store").where("kind = 'chunk'").select("digest", "payload")
     chunks = stage(map_arrow(chunks, _check_chunks, "digest binary, n long, crc long"), "chunk-sums")
+    before = lambda i: F.when(i > 0, F.get("ends", i - 1)).otherwise(0)
     parts = F.transform(
-        "lengths",
-        lambda n, i: F.struct(F.substring(F.col("digests"), i * DIGEST + 1, F.lit(DIGEST)).alias("digest"), n.alias("n"), i.alias("i")),
+        "ends",
+        lambda e, i: F.struct(F.substring(F.col("digests"), i * DIGEST + 1, F.lit(DIGEST)).alias("digest"), (e - before(i)).alias("n"), e.alias("end")),
     )
-    ends = recipes.select("_pos", "n_tokens", F.posexplode(parts).alias("_i", "_c"), "lengths")
-    ends = ends.select("_pos", "n_tokens", F.col("_c.digest").alias("digest"), F.col("_c.n").cast("long").alias("stated"), (4 * F.aggregate(F.slice("lengths", F.col("_i") + 2, F.size("lengths")), F.lit(0).cast("long"), lambda a, x: a + x)).alias("after"))
+    ends = recipes.select("_pos", "n_tokens", F.explode(parts).alias("_c"))
+    ends = ends.select("_pos", F.col("_c.digest").alias("digest"), F.col("_c.n").alias("stated"), (4 * (F.col("n_tokens") - F.col("_c.end"))).alias("after"))
     uses = ends.groupBy("digest").agg(F.count("*").alias("uses"))
     table = stage(chunks.join(uses, "digest"), "chunk-uses")
     total = table.agg(F.sum("uses")).first()[0] or 0
@@ -232,10 +233,12 @@ def verify_documents(spark: SparkSession, path: str) -> DataFrame:
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """doc_id and its ids, put together from the chunks (this moves the ids of every document)."""
     recipes = read_recipes(spark, path)
-    parts = F.transform("lengths", lambda n, i: F.substring(F.col("digests"), i * DIGEST + 1, F.lit(DIGEST)))
+    parts = F.transform("ends", lambda e, i: F.substring(F.col("digests"), i * DIGEST + 1, F.lit(DIGEST)))
     wanted = recipes.select("_pos", "doc_id", F.posexplode(parts).alias("i", "digest"))
     chunks = spark.read.schema(_RAW).parquet(f"{path}/store").where("kind = 'chunk'").select("digest", "payload")
-    joined = wanted.join(chunks, "digest").groupBy("_pos", "doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "payload"))), lambda x: x["payload"]).alias("p"))
+    uses = wanted.groupBy("digest").agg(F.count("*").alias("uses"))
+    table = stage(chunks.join(uses, "digest"), "chunk-payloads")
+    joined = skew_join(wanted, table, ["digest"], "uses", table.agg(F.sum("uses")).first()[0] or 0).groupBy("_pos", "doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "payload"))), lambda x: x["payload"]).alias("p"))
 
     @F.pandas_udf("array<long>")
     def unpack(payloads: pd.Series) -> pd.Series:

@@ -16,6 +16,8 @@ import numpy as np
 
 #: Units at which the cache is cut back (about 200 bytes each). It then keeps the earliest three fifths, which are the more frequent.
 CACHE_UNITS = 500_000
+#: Units of more characters (texts without blanks, whole lines of Chinese) are forgotten when the cache is cut back, which also happens once units of all lengths together have so many characters.
+LONG_UNIT, CACHE_CHARS = 64, 40_000_000
 #: White space to Python, but not to the tokenizers.
 _CONTROL = "\x1c\x1d\x1e\x1f"
 _JOINED = 2000
@@ -52,12 +54,14 @@ class _Index(dict):
     def __init__(self, *args):
         super().__init__(*args)
         self.waiting: list[str | tuple[str]] = []
+        self.chars = sum(len(u) for u in self)
 
     def __missing__(self, unit: str | tuple[str]) -> int:
         if isinstance(unit, str) and (not unit or unit[0].isspace()):
             raise _NotAUnit
         n = self[unit] = len(self)
         self.waiting.append(unit)
+        self.chars += len(unit[0]) if isinstance(unit, tuple) else len(unit)
         return n
 
 
@@ -85,10 +89,17 @@ class UnitEncoder:
         self.lengths = np.empty(1 << 16, np.int64)
 
     def _cut_back(self) -> None:
-        kept = list(islice(self.index.items(), self.most_units * 3 // 5))
-        self.index = _Index(kept)
-        # Units learnt together lie together, but not in order of their numbers.
-        self.used = int((self.starts[: len(kept)] + self.lengths[: len(kept)]).max())
+        """Keep the earliest units that aren't long, under new numbers, and their ids only."""
+        size = lambda u: len(u[0]) if isinstance(u, tuple) else len(u)
+        kept = [(u, n) for u, n in islice(self.index.items(), self.most_units * 3 // 5) if size(u) <= LONG_UNIT]
+        old = np.array([n for _, n in kept], np.int64)
+        starts, lengths = self.starts[old], self.lengths[old]
+        ends = np.cumsum(lengths)
+        self.used = int(ends[-1]) if len(ends) else 0
+        ids = self.pool[np.repeat(starts - (ends - lengths), lengths) + np.arange(self.used)]
+        self.pool = np.concatenate([ids, np.empty(1 << 20, np.uint32)])
+        self.starts, self.lengths = (np.concatenate([x, np.empty(1 << 16, np.int64)]) for x in (ends - lengths, lengths))
+        self.index = _Index((u, k) for k, (u, _) in enumerate(kept))
 
     def _numbers(self, text: str) -> list[int]:
         """The numbers of a text's units."""
@@ -159,7 +170,7 @@ class UnitEncoder:
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text's followed by ``end_id``, and the number of ids of each."""
-        if len(self.index) > self.most_units:
+        if len(self.index) > self.most_units or self.index.chars > CACHE_CHARS:
             self._cut_back()
         per_text = [self._numbers(t) for t in texts]
         self._learn()
