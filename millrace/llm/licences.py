@@ -1,19 +1,21 @@
 """Operator 3: canonical digest lookup of licence texts.
 
-A text is made canonical (case, punctuation, copyright lines, equivalent spellings), hashed whole, and hash-joined to the digests of
-known texts. The same is done for each of its lines, since corpora carry short notices on a line of their own. Built-in functions
-only; the known digests are a fixed, small table, so the join needs no shuffle.
+A text is made canonical (case, punctuation, copyright lines, equivalent spellings, line breaks), hashed whole, and hash-joined to the digests of
+known texts, long ones (the GNU, Apache, Mozilla and Creative Commons texts) by their digests alone. The same is done for each of its lines, since corpora carry short notices on a line
+of their own; these are told apart in the result. Built-in functions only; the known digests are a fixed, small table, so the join needs no shuffle.
 
 Defined cases: null and empty texts match nothing; a text of copyright lines only matches nothing; repeated rows
-are judged each; further columns are ignored; of several licences all are listed, sorted and distinct.
+are judged each; a very long text is one unit and its lines are units; an empty table gives no rows; further columns are ignored; of several licences all are listed, sorted and distinct.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.licence_texts import KNOWN
+from millrace.llm.licence_texts import KNOWN, KNOWN_DIGESTS
 
 # Spellings held to be equal, after punctuation became spaces.
 SPELLINGS = [
@@ -53,34 +55,46 @@ def digests(text: Column) -> Column:
     return F.concat(whole, F.transform(lines, lambda x: unit(x, False)))
 
 
-def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
+def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN, long: list[tuple[str, str]] = KNOWN_DIGESTS) -> DataFrame:
     """digest, and the place of its licence among the sorted names."""
-    names = sorted({name for name, _ in known})
+    names = _names(known, long)
     texts = spark.createDataFrame([(names.index(name), text) for name, text in known], "place int, text string")
-    return texts.select("place", F.sha2(F.array_join(canonical_lines(F.col("text")), " "), 256).alias("digest")).groupBy("digest").agg(F.min("place").alias("place"))
+    short = texts.select("place", F.sha2(F.array_join(canonical_lines(F.col("text")), " "), 256).alias("digest"))
+    return short.unionByName(spark.createDataFrame([(names.index(name), d) for name, d in long], "place int, digest string")).groupBy("digest").agg(F.min("place").alias("place"))
+
+
+def _names(known: list[tuple[str, str]], long: list[tuple[str, str]]) -> list[str]:
+    return sorted({name for name, _ in [*known, *long]})
 
 
-def scan_licences(docs: DataFrame, known: list[tuple[str, str]] = KNOWN) -> DataFrame:
-    """For every document: doc_id, licences (comma-joined, null if none), n_matches (lines or whole texts that matched) and whole_text.
+def scan_licences(docs: DataFrame, known: list[tuple[str, str]] = KNOWN, long: list[tuple[str, str]] = KNOWN_DIGESTS) -> DataFrame:
+    """For every document: doc_id, licences (of the whole text or of lines), text_licence (of the whole text), notices (of lines), n_matches (lines or whole texts that matched) and whole_text.
 
-    A one-line document that matches counts once. Matches are gathered as bits, 62 licences to a
+    Names are comma-joined, null if there are none. A one-line document that matches counts once. Matches are gathered as bits, 62 licences to a
     number, so that the aggregation stays a plain hash aggregation of one row per document.
     """
-    names = sorted({name for name, _ in known})
-    table = F.broadcast(known_digests(docs.sparkSession, known))  # as many rows as known texts: fixed
+    names = _names(known, long)
+    table = F.broadcast(known_digests(docs.sparkSession, known, long))  # as many rows as known texts: fixed
     rows = docs.select("doc_id", F.monotonically_increasing_id().alias("_row"), digests(F.col("text")).alias("_d"))
     hits = rows.select("doc_id", "_row", F.explode_outer("_d").alias("_u")).select("doc_id", "_row", F.col("_u.whole").alias("whole"), F.col("_u.digest").alias("digest"))
     words = range(-(-len(names) // 62))
-    bit = lambda w: F.when(F.floor(F.col("place") / 62) == w, F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place") % 62)).otherwise(F.lit(0).cast("long"))
+    bit = lambda w, on: F.when(on & (F.floor(F.col("place") / 62) == w), F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place") % 62)).otherwise(F.lit(0).cast("long"))
     out = hits.join(table, "digest", "left").groupBy("_row", "doc_id").agg(
-        *[F.bit_or(bit(w)).alias(f"_b{w}") for w in words],
+        *[F.bit_or(bit(w, ~F.col("whole"))).alias(f"_l{w}") for w in words],
+        *[F.bit_or(bit(w, F.col("whole"))).alias(f"_t{w}") for w in words],
         F.count(F.when(~F.col("whole"), F.col("place"))).alias("_lines"),
         F.count(F.when(F.col("whole"), F.col("place"))).alias("_whole"),
     )
-    found = F.array(*[F.when(F.getbit(F.col(f"_b{k // 62}"), F.lit(k % 62)) == 1, F.lit(name)) for k, name in enumerate(names)])
+
+    def listed(bits: Callable[[int], Column]) -> Column:
+        found = F.array(*[F.when(F.getbit(bits(k // 62), F.lit(k % 62)) == 1, F.lit(name)) for k, name in enumerate(names)])
+        return F.nullif(F.array_join(found, ","), F.lit(""))
+
     return out.select(
         "doc_id",
-        F.nullif(F.array_join(found, ","), F.lit("")).alias("licences"),
+        listed(lambda w: F.col(f"_l{w}").bitwiseOR(F.col(f"_t{w}"))).alias("licences"),
+        listed(lambda w: F.col(f"_t{w}")).alias("text_licence"),
+        listed(lambda w: F.col(f"_l{w}")).alias("notices"),
         F.greatest("_lines", "_whole").alias("n_matches"),
         (F.col("_whole") > 0).alias("whole_text"),
     )
@@ -94,7 +108,7 @@ def _sql_text(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 
 
-def op3_sql(known: list[tuple[str, str]] = KNOWN) -> str:
+def op3_sql(known: list[tuple[str, str]] = KNOWN, long: list[tuple[str, str]] = KNOWN_DIGESTS) -> str:
     """DuckDB SQL for :func:`op3_query`."""
     canon = "trim(regexp_replace(line, '[^\\p{L}\\p{N}]+', ' ', 'g'))"
     for old, new in SPELLINGS:
@@ -102,9 +116,10 @@ def op3_sql(known: list[tuple[str, str]] = KNOWN) -> str:
     line = f"CASE WHEN regexp_matches(line, {_sql_text(COPYRIGHT_LINE)}) THEN '' ELSE {canon} END"
     lines = f"list_filter(list_transform(string_split_regex(lower(text), '\\r?\\n'), lambda line: {line}), lambda x: x <> '')"
     values = ", ".join(f"({_sql_text(n)}, {_sql_text(t)})" for n, t in known)
+    whole = ", ".join(f"({_sql_text(n)}, {_sql_text(d)})" for n, d in long)
     return f"""
 WITH known AS (
-  SELECT min(licence) AS licence, d FROM (SELECT licence, sha256(array_to_string({lines}, ' ')) AS d FROM (VALUES {values}) v(licence, text)) GROUP BY d
+  SELECT min(licence) AS licence, d FROM (SELECT licence, sha256(array_to_string({lines}, ' ')) AS d FROM (VALUES {values}) v(licence, text) UNION ALL SELECT licence, d FROM (VALUES {whole}) w(licence, d)) GROUP BY d
 ), docs AS (
   SELECT row_number() OVER () AS r, doc_id, {lines} AS ls FROM documents
 ), units AS (
@@ -114,7 +129,8 @@ WITH known AS (
   SELECT r, licence, whole FROM units JOIN known USING (d)
 ), found AS (
   SELECT r, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences,
+         string_agg(DISTINCT licence, ',' ORDER BY licence) FILTER (WHERE whole) AS text_licence, string_agg(DISTINCT licence, ',' ORDER BY licence) FILTER (WHERE NOT whole) AS notices,
          greatest(count(*) FILTER (WHERE NOT whole), count(*) FILTER (WHERE whole)) AS n, bool_or(whole) AS whole FROM hits GROUP BY r
 )
-SELECT doc_id, licences, CAST(coalesce(n, 0) AS BIGINT) AS n_matches, coalesce(whole, false) AS whole_text FROM docs LEFT JOIN found USING (r)
+SELECT doc_id, licences, text_licence, notices, CAST(coalesce(n, 0) AS BIGINT) AS n_matches, coalesce(whole, false) AS whole_text FROM docs LEFT JOIN found USING (r)
 """

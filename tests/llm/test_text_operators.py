@@ -188,6 +188,16 @@ def test_fingerprints(spark):
     assert simhash.simhash_components(docs(spark, [])).collect() == []
 
 
+def test_tally_of_postings_counts_shared_bytes():
+    """Of the 14 sets of four positions: all in eight shared positions, 7 in seven, 3 in six, at most one in five."""
+    inside = lambda gone: sum(not set(gone) & set(p) for p in simhash.PLANES)
+    assert len(simhash.PLANES) == 14
+    for n, least, most in ((0, 14, 14), (1, 7, 7), (2, 3, 3), (3, 1, 1), (4, 0, 1), (5, 0, 0)):
+        found = [inside(g) for g in itertools.combinations(range(8), n)]
+        assert (min(found), max(found)) == (least, most)
+    assert [simhash.least_postings(k) for k in range(3)] == [14, 7, 3]
+
+
 @pytest.mark.parametrize("cap", [64, 2])
 def test_links_are_complete(spark, cap):
     """Fingerprints in dense balls: components equal brute force, with and without the star join."""
@@ -366,17 +376,29 @@ def test_decontamination(spark):
     ]
     bench = spark.createDataFrame([(0, " ".join(item), 1), (1, "Tiny bench-mark item, here!", 1), (2, "too short", 1), (3, None, 1), (4, " ".join(item), 1)], "item_id long, text string, pos int")
     got = {(r.doc_id, r.item_id): r for r in decontam.find_contamination(docs(spark, rows), bench).collect()}
-    assert {k for k in got if k[1] == 0} == {(k, 0) for k in (1, 2, 5, 11, 12)} and {k for k in got if k[1] == 1} == {(9, 1), (10, 1)} and not {k for k in got if k[1] in (2, 3)}
-    assert {k[0] for k in got if k[1] == 4} == {1, 2, 5, 11, 12}
+    assert {k for k in got if k[1] == 0} == {(k, 0) for k in (1, 2, 5, 11, 12, None)} and {k for k in got if k[1] == 1} == {(9, 1), (10, 1)} and not {k for k in got if k[1] in (2, 3)}
+    assert {k[0] for k in got if k[1] == 4} == {1, 2, 5, 11, 12, None}
     r = got[1, 0]
     assert (r.doc_start, r.item_start, r.n_tokens, r.n_equal) == (20, 0, 30, 30)
     assert (got[2, 0].n_tokens, got[2, 0].n_equal, got[2, 0].item_start) == (15, 14, 4)
     assert (got[5, 0].n_tokens, got[5, 0].n_equal) == (30, 28) and got[10, 1].doc_start == 1
     kept = {r.doc_id for r in decontam.drop_contaminated(docs(spark, rows), bench).collect()}
-    assert kept == {3, 4, 6, 7, 8, None}
+    assert kept == {3, 4, 6, 7, 8}
+    mixed = [(1, " ".join(item)), (1, fill(40)), (None, fill(40)), (None, " ".join(item)), (2, " ".join(item)), (2, " ".join(item))]
+    assert sorted((r.doc_id for r in decontam.drop_contaminated(docs(spark, mixed), bench).collect()), key=str) == [1, None]
     assert decontam.find_contamination(docs(spark, []), bench).collect() == [] and decontam.find_contamination(docs(spark, rows), bench.limit(0)).collect() == []
 
 
+def test_a_short_item_and_a_very_long_document(spark):
+    bench = spark.createDataFrame([(0, "yes it is"), (1, " ".join(f"q{k}" for k in range(40)))], "item_id long, text string")
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(10**5)}" for _ in range(200_000)]
+    long = words[:150_000] + [f"q{k}" for k in range(40)] + words[150_000:] + ["yes", "it", "is"]
+    rows = [(1, " ".join(long)), (2, "is it yes"), (3, "a " * 50_000)]
+    got = sorted((r.doc_id, r.item_id, r.doc_start, r.n_equal) for r in decontam.find_contamination(docs(spark, rows), bench).collect())
+    assert got == [(1, 0, 200_040, 3), (1, 1, 150_000, 40)]
+
+
 def test_one_substitution_never_hides_an_overlap(spark):
     item = [f"t{k}" for k in range(13)]
     rows = []

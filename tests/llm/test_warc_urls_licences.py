@@ -42,6 +42,18 @@ def test_warc_roundtrip(spark, split):
     assert all(r.digest_ok for r in got if r.record_type == "response")
 
 
+def test_one_of_equal_rows_is_the_response(spark):
+    rows = [(1, "http://a", "x"), (1, "http://a", "x"), (3, None, None), (3, None, None), (3, None, ""), (4, "u", "alone"), (5, "u", "y"), (2, "u", "y"), (5, "u", "y"), (5, "t", "y"), (None, "u", "z"), (None, "u", "z")]
+    got = Counter((r.page_id, r.record_type, r.refers_to) for r in warc.warc_roundtrip(pages(spark, rows)).collect())
+    assert got == Counter({(1, "response", None): 1, (1, "revisit", 1): 1, (3, "response", None): 1, (3, "revisit", 3): 2, (4, "response", None): 1, (5, "response", None): 1, (5, "revisit", 5): 2, (2, "revisit", 5): 1, (None, "response", None): 1, (None, "revisit", None): 1})
+
+
+def test_a_very_long_payload(spark):
+    body = "<p>é WARC/1.1\r\n</p>" * 150_000
+    (got,) = warc.warc_roundtrip(pages(spark, [(1, "u", body)])).collect()
+    assert (got.payload_bytes, got.payload_digest, got.digest_ok) == (len(body.encode()), digest(body), True)
+
+
 def test_warc_edges(spark):
     assert warc.warc_roundtrip(pages(spark, [])).collect() == []
     got = warc.warc_roundtrip(pages(spark, [(1, "u", "ab"), (2, "u", "ab")]), min_revisit_bytes=3).collect()
@@ -67,7 +79,9 @@ def test_licences(spark):
         (4, "prose\nlicensed under the APACHE licence, version 2.0\nmore\nReleased under the MIT License.\nReleased under the MIT License."), (5, None), (6, ""), (7, "Copyright 2020"), (8, "Released under the MIT License."), (8, "Released under the MIT License."), (9, "no licence here " * 5000),
     ]
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, licences string, digest int")
-    got = sorted(tuple(r) for r in licences.scan_licences(df).fillna("", ["licences"]).collect())
+    every = licences.scan_licences(df).fillna("", ["licences"]).collect()
+    assert {(r.text_licence, r.notices) for r in every if r.doc_id in (0, 4, 8)} == {("MIT", None), (None, "Apache-2.0,MIT"), ("MIT", "MIT")}
+    got = sorted((r.doc_id, r.licences, r.n_matches, r.whole_text) for r in every)
     assert got == sorted([
         (0, "MIT", 1, True), (1, "MIT", 1, True), (2, "BSD-3-Clause", 1, True), (3, "", 0, False), (4, "Apache-2.0,MIT", 3, False), (5, "", 0, False), (6, "", 0, False), (7, "", 0, False),
         (8, "MIT", 1, True), (8, "MIT", 1, True), (9, "", 0, False),
@@ -80,6 +94,17 @@ def test_every_known_text_is_found(spark):
     assert {r.doc_id: r.licences for r in licences.scan_licences(df).collect() if r.whole_text} == {k: n for k, (n, _) in enumerate(KNOWN)}
 
 
+@pytest.mark.skipif(not os.path.exists("/usr/share/common-licenses/GPL-3"), reason="needs the long texts")
+def test_long_texts_are_known_by_digest(spark):
+    """The whole texts as shipped by the system; also in capitals with British spelling and another copyright line, but not with a word more."""
+    read = lambda name: open(f"/usr/share/common-licenses/{name}", encoding="utf-8").read()
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    rows = [(k, read(f)) for k, f in enumerate(files)]
+    rows += [(10, "Copyright (c) 2031 Nobody\n" + read("GPL-3").upper().replace("LICENSE", "LICENCE")), (11, read("GPL-3") + "\nword")]
+    got = {r.doc_id: r.text_licence for r in licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {**dict(enumerate(files.values())), 10: "GPL-3.0", 11: None}
+
+
 CASES = {
     "http://a.COM/en/x": ("a.com", "/en/x", "com/en/", "block"),
     "https://x.example.com/en/7?q": ("x.example.com", "/en/7", "example.com/en/7", "allow"),
@@ -115,8 +140,34 @@ def test_mined_rules(spark):
     rows += [(1000, "https://win.site.info/casino/9999"), (1001, "https://win.site.info/text/9999"), (1002, "https://win.site.info/casino/9999")]
     df = spark.createDataFrame(rows, "page_id long, url string")
     lab = spark.createDataFrame(labels + labels[:5], "doc_id long, quality int, toxic int")
-    got = {r.page_id: r for r in urls.judge_urls(df, lab).collect()}
+    got = {r.page_id: r for r in urls.judge_urls(df, lab, min_lift=3.0).collect()}  # a quarter is bad, of each token's URLs half
     assert [got[k].verdict for k in (1000, 1001, 1002)] == ["block", "allow", "block"] and got[1000].confidence == 1.0
     assert all((got[k].verdict == "block") == (k % 2 == 1 and k // 2 % 2 == 1) for k in range(400))
-    rules = urls.mine_rules(urls.label_urls(df, lab)).collect()
+    rules = urls.mine_rules(urls.label_urls(df, lab), min_lift=3.0).collect()
     assert [sorted(r.antecedent) for r in rules] == [["host=win", "path=casino"]]
+
+
+def test_many_shared_words_are_mined_in_bounded_time(spark):
+    """URLs that share 18 words have 2**18 sets of them; mining looks at the words most often bad."""
+    words = "/".join(f"w{chr(97 + k)}" for k in range(18))
+    rows = [(k, f"https://h{k % 2}.info/{words}/{k}") for k in range(60)]
+    lab = spark.createDataFrame([(k, 0 if k % 2 else 1, 0) for k in range(60)], "doc_id long, quality int, toxic int")
+    df = spark.createDataFrame([*rows, (99, "https://h1.info/other"), (98, "https://h0.info/x")], "page_id long, url string")
+    got = {r.page_id: r.verdict for r in urls.judge_urls(df, lab).collect()}
+    assert all(got[k] == ("block" if k % 2 else "allow") for k in range(60)) and (got[99], got[98]) == ("block", "allow")
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.1"), reason="needs the driver's tables")
+def test_mined_rules_decide_on_the_tables(spark):
+    """On the driver's tables labels and URLs are drawn apart, so rules are few and weak; those that there are hold on all labelled rows, counted plainly."""
+    read = lambda t: spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet")
+    labelled = urls.label_urls(read("pages"), read("labels"))
+    rules = urls.mine_rules(labelled).collect()
+    rows = [(set(r.t), r.bad) for r in labelled.select(urls.url_tokens(urls.F.col("url")).alias("t"), "bad").collect()]
+    share = sum(b for _, b in rows) / len(rows)
+    assert rules
+    for r in rules:
+        fit = [b for t, b in rows if set(r.antecedent) <= t]
+        assert sum(fit) == r.hits >= 10 and r.confidence == pytest.approx(sum(fit) / len(fit)) and r.lift == pytest.approx(r.confidence / share) and r.lift >= 1.5
+    got = urls.judge_urls(read("pages"), read("labels")).where("rule is null")
+    assert got.where("verdict = 'block'").count() == got.where("confidence is not null").count() > 0
