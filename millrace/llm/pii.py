@@ -1,13 +1,16 @@
 """Operator 4: personal data by fixed patterns and a linear-chain conditional random field.
 
 The patterns (email, ip, card, phone) are base spans and always stay. The field adds spans in forms the patterns don't know, such as
-phone numbers without a country code. It works on the tokens of windows around digits and at-signs: runs
+phone numbers without a country code. It works on tokens: runs
 of letters, runs of digits, single marks. Its features are word shapes, of a token and its neighbours. It is trained here from a small labelled table
-(LABELLED_ROWS rows written by rule, with look-alikes such as dates, prices and versions), and decodes windows of like length together by
+(LABELLED_ROWS rows written by rule, with look-alikes such as dates, prices and versions), and decodes rows of like length together by
 Viterbi in numpy. Added spans never overlap base spans.
 
-Defined cases: a null or empty text has no spans; overlapping matches of different kinds are all kept; repeated rows are judged each; an
-empty table gives no rows; further columns are ignored. Positions are code points, ends exclusive. Patterns run in linear time on any text.
+Whole texts are covered by windows around digits and at-signs, without which nothing can be of any kind (:func:`plausible`). The words around them are more than features reach,
+so elsewhere the field sees words only; the tests hold the windows' spans against those of whole texts, and measure what the field adds on sentences it wasn't made from.
+
+Defined cases: a null or empty text has no spans; overlapping matches of different kinds are all kept; repeated rows are judged each; a very long
+text is decoded in slices; an empty table gives no rows; further columns are ignored. Positions are code points, ends exclusive. Patterns run in linear time on any text.
 """
 
 from __future__ import annotations
@@ -80,6 +83,9 @@ def spans_text(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
+#: A row of more tokens is decoded in slices of so many, each with so many more at both ends.
+SLICE, OVERLAP = 20_000, 200
+
 # The field. Labels: 0 is outside; 1 + 2k starts a span of kind k, 2 + 2k continues it.
 N_LABELS = 1 + 2 * len(KINDS)
 
@@ -186,7 +192,20 @@ class Field:
         return out
 
     def decode(self, batch: list[list[str]]) -> list[np.ndarray]:
-        """The best labels of each token row; rows of like length are decoded together."""
+        """The best labels of each token row. Rows longer than SLICE are decoded in slices that overlap by far more than a span's length."""
+        parts, owner = [], []
+        for k, row in enumerate(batch):
+            for at in range(0, max(len(row), 1), SLICE):
+                low = max(at - OVERLAP, 0)
+                parts.append(row[low : at + SLICE + OVERLAP])
+                owner.append((k, at - low, min(SLICE, len(row) - at)))
+        out: list[list[np.ndarray]] = [[] for _ in batch]
+        for (k, skip, n), labels in zip(owner, self._decode(parts), strict=True):
+            out[k].append(labels[skip : skip + n])
+        return [np.concatenate(x) for x in out]
+
+    def _decode(self, batch: list[list[str]]) -> list[np.ndarray]:
+        """The best labels of rows of bounded length; those of like length are decoded together."""
         out: list[np.ndarray] = [np.empty(0, np.int64)] * len(batch)
         order = sorted(range(len(batch)), key=lambda k: len(batch[k]))
         while order:
@@ -300,7 +319,7 @@ def default_field() -> Field:
     return train(labelled_table())
 
 
-def windows(text: str, around: int = 3) -> list[tuple[int, int]]:
+def windows(text: str, around: int = 4) -> list[tuple[int, int]]:
     """Stretches of text around its digits and at-signs: the words that hold them and ``around`` words on each side."""
     out: list[tuple[int, int]] = []
     at = 0
