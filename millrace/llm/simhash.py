@@ -296,12 +296,12 @@ def _shared_postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield pa.record_batch([pa.array(c) for c in cols], names=["key", "fp", "head"])
 
 
-def _can_share(n: np.ndarray, m: int, most: np.ndarray, similarity: float) -> np.ndarray:
+def _can_share(n: np.ndarray, m: np.ndarray, most: np.ndarray, similarity: float) -> np.ndarray:
     """Whether texts of n and m shingles, of which at most ``most`` are shared, can be similar enough."""
     return most >= similarity / (1 + similarity) * (n + m) - 1e-9
 
 
-def _alike(n: np.ndarray, m: int, similarity: float) -> np.ndarray:
+def _alike(n: np.ndarray, m: np.ndarray, similarity: float) -> np.ndarray:
     return np.minimum(n, m) >= similarity * np.maximum(n, m) - 1e-9
 
 
@@ -354,44 +354,67 @@ def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, width: int
     return stage(map_arrow(pairs.select("a", "b", "ha", "hb"), _similar(similarity), "a long, b long", batch_rows=200), "near-links")
 
 
+class _Entries:
+    """The entries of a list column as plain arrays; all lists lie one after another."""
+
+    def __init__(self, lists: pa.ListArray):
+        self.bounds, entries = lists.offsets.to_numpy(), lists.values
+        self.fp, self.root, self.n = (entries.field(c).to_numpy() for c in ("fp", "root", "n"))
+        coarse = entries.field("coarse")
+        _, places, data = coarse.buffers()
+        self.starts = np.frombuffer(places, np.int32)[coarse.offset : coarse.offset + len(coarse) + 1]
+        self.data = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
+        least = entries.field("least")
+        self.key_bounds, self.keys = least.offsets.to_numpy(), least.values.to_numpy()
+
+    def sizes(self, at: np.ndarray) -> np.ndarray:
+        return self.starts[at + 1] - self.starts[at]
+
+    def profiles(self, at: np.ndarray, size: int) -> np.ndarray:
+        return self.data[self.starts[at][:, None] + np.arange(size)]
+
+    def least(self, k: int) -> np.ndarray:
+        return self.keys[self.key_bounds[k] : self.key_bounds[k + 1]]
+
+
+#: So many pairs are compared at a time.
+PAIRS_AT_ONCE = 100_000
+
+
 def _across(similarity: float):
     """Of each row's two blocks (or its one) of a posting's entries: the pairs a < b of different roots whose sizes and shared positional bytes reach the minimum.
 
     Where the lists of least keys show that a pair also meets under a smaller key, it is told there only.
     """
 
-    def block(entries: pa.StructArray, lo: int, hi: int) -> tuple:
-        fp, root, n = (entries.field(c).to_numpy()[lo:hi] for c in ("fp", "root", "n"))
-        rows = [np.frombuffer(v.as_buffer(), np.uint8) for v in entries.field("coarse")[lo:hi]]
-        sizes = np.array([len(r) for r in rows])
-        by_size = {int(s): (np.flatnonzero(sizes == s), np.stack([r for r in rows if len(r) == s])) for s in np.unique(sizes)}
-        keys = entries.field("least")
-        return fp, root, n, rows, by_size, lambda k: keys[lo + k].values.to_numpy()
-
-    def pairs(key: int, x: tuple, y: tuple) -> Iterator[tuple[int, int]]:
-        fx, rx, nx, rows, _, kx = x
-        fy, ry, ny, _, by_size, ky = y
-        for i in range(len(fx)):
-            for size, (at, profiles) in by_size.items():
-                on = np.flatnonzero((ry[at] != rx[i]) & _alike(ny[at], nx[i], similarity))
-                if not len(on):
-                    continue
-                small = min(size, len(rows[i]))
-                most = shared_positional(_folded(rows[i][None], small)[0], _folded(profiles[on], small))
-                for j in at[on[_can_share(ny[at[on]], nx[i], most, similarity)]]:
-                    common = np.intersect1d(kx(i), ky(j), assume_unique=True)
-                    if not len(common) or common[0] >= key:
-                        yield min(fx[i], fy[j]), max(fx[i], fy[j])
+    def compared(x: _Entries, y: _Entries, key: np.ndarray, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[int, int]]:
+        on = np.flatnonzero((x.root[i] != y.root[j]) & _alike(x.n[i], y.n[j], similarity))
+        sx, sy = x.sizes(i[on]), y.sizes(j[on])
+        for s, t in {*zip(sx.tolist(), sy.tolist(), strict=True)}:
+            some = on[(sx == s) & (sy == t)]
+            size = min(s, t)
+            least = np.minimum(_folded(x.profiles(i[some], s), size), _folded(y.profiles(j[some], t), size))
+            most = least.sum(axis=1, dtype=np.int64) + (least == 255).sum(axis=1) * (1 << 40)
+            for k in some[_can_share(x.n[i[some]], y.n[j[some]], most, similarity)].tolist():
+                common = np.intersect1d(x.least(i[k]), y.least(j[k]), assume_unique=True)
+                if not len(common) or common[0] >= key[k]:
+                    yield min(x.fp[i[k]], y.fp[j[k]]), max(x.fp[i[k]], y.fp[j[k]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            xs = batch.column("xs")
-            ys = batch.column("ys") if "ys" in batch.schema.names else xs
-            ox, oy = xs.offsets.to_numpy(), ys.offsets.to_numpy()
-            for k, key in enumerate(batch.column("key").to_numpy()):
-                found = set(pairs(key, block(xs.values, ox[k], ox[k + 1]), block(ys.values, oy[k], oy[k + 1])))
-                a, b = zip(*sorted(found), strict=True) if found else ([], [])
-                yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            x = _Entries(batch.column("xs"))
+            y = _Entries(batch.column("ys")) if "ys" in batch.schema.names else x
+            keys, waiting, found = batch.column("key").to_numpy(), [], set()
+            for k in range(batch.num_rows + 1):
+                if waiting and (k == batch.num_rows or sum(len(w[1]) for w in waiting) > PAIRS_AT_ONCE):
+                    found.update(compared(x, y, *map(np.concatenate, zip(*waiting, strict=True))))
+                    waiting = []
+                if k < batch.num_rows:
+                    m, n = x.bounds[k + 1] - x.bounds[k], y.bounds[k + 1] - y.bounds[k]
+                    i, j = np.triu_indices(m, 1) if y is x else (np.repeat(np.arange(m), n), np.tile(np.arange(n), m))
+                    waiting.append((np.full(len(i), keys[k]), i + x.bounds[k], j + y.bounds[k]))
+            a, b = zip(*sorted(found), strict=True) if found else ([], [])
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
@@ -413,7 +436,7 @@ def _open_pairs(left: DataFrame, entries: DataFrame, similarity: float, block: i
     at = F.struct(F.col("_n").isNotNull().alias("pure"), F.when(F.col("_n").isNotNull(), F.col("root")).otherwise(0).alias("tag"), F.pmod(F.xxhash64("fp"), parts).alias("part"))
     blocks = placed.select("key", F.col("_m").isNull().alias("single"), at.alias("at"), F.struct("fp", "root", "n", "coarse", "least").alias("e"))
     blocks = stage(blocks.groupBy("key", "single", "at").agg(F.collect_list("e").alias("xs")), "near-blocks")
-    alone = map_arrow(blocks.where("single").select("key", "xs"), _across(similarity), "a long, b long", batch_rows=100)
+    alone = map_arrow(blocks.where("single").select("key", "xs"), _across(similarity), "a long, b long", batch_rows=500)
     x, y = (blocks.where("not single").select("key", F.col("at").alias(f"{c}at"), F.col("xs").alias(f"{c}s")) for c in "xy")
     apart = (F.col("xat") <= F.col("yat")) & ~(F.col("xat.pure") & F.col("yat.pure") & (F.col("xat.tag") == F.col("yat.tag")))
     met = map_arrow(x.join(y, "key").where(apart).select("key", "xs", "ys"), _across(similarity), "a long, b long", batch_rows=50)

@@ -171,3 +171,19 @@ def test_mined_rules_decide_on_the_tables(spark):
         assert sum(fit) == r.hits >= 10 and r.confidence == pytest.approx(sum(fit) / len(fit)) and r.lift == pytest.approx(r.confidence / share) and r.lift >= 1.5
     got = urls.judge_urls(read("pages"), read("labels")).where("rule is null")
     assert got.where("verdict = 'block'").count() == got.where("confidence is not null").count() > 0
+
+
+def test_url_parts_and_rules_equal_sql(spark):
+    """Host, path, rule and the rules' verdicts of all pages, and of odd URLs, against DuckDB."""
+    odd = ["http://A.Example.COM", "x://y://z", "://", "http://u@h.org:80/es/9", "https://example.com/en/7", "https://EXAMPLE.net/de/8?x", "HTTP://é.net/de/", "a://b#c?d/e", "net://net/de/", None]
+    con = duckdb.connect()
+    con.sql(f"CREATE TABLE p AS SELECT page_id, url FROM '{FOLDER}/pages.parquet' UNION ALL SELECT 100000 + i, u FROM (SELECT unnest({[u or '' for u in odd]}) AS u, unnest(range({len(odd)})) AS i)")
+    values = ", ".join(f"('{v}', '{h}', '{q}')" for v, h, q in urls.RULES)
+    want = con.sql(f"""
+      WITH s AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM p),
+      h AS (SELECT page_id, translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(r, length(regexp_extract(r, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM s),
+      m AS (SELECT page_id, host, path, arg_max(rh || rp, length(rh || rp)) AS rule, arg_max(v, length(rh || rp)) AS verdict FROM h LEFT JOIN (VALUES {values}) t(v, rh, rp) ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp) GROUP BY ALL)
+      SELECT page_id, host, path, rule, verdict FROM m""").fetchall()
+    df = spark.createDataFrame(con.sql("SELECT * FROM p").fetchall(), "page_id long, url string")
+    got = urls.judge_urls(df, spark.createDataFrame([], "doc_id long, quality int, toxic int")).collect()
+    assert sorted((r.page_id, r.host, r.path, r.rule, r.verdict if r.rule else None) for r in got) == sorted(want)
