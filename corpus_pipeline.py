@@ -1,4 +1,8 @@
-"""A corpus pipeline of five stages over ``documents``. Each stage's result is written as Parquet and reread by the next."""
+"""A corpus pipeline of five stages over ``documents``. Each stage's result is written as Parquet and reread by the next.
+
+Defined cases, of all stages: rows are judged by their texts, whatever their doc_id (null and repeated ids stay told apart); null and empty texts have no language and go in the first
+stage; very long texts are read whole; extra columns, of whatever names, stay up to packing; an empty table stays empty.
+"""
 
 from __future__ import annotations
 
