@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions.text import CORPUS_CHARS_PER_TOKEN, FATAL_SECRET, RESIDUAL_SECRET, redacted
+from millrace.staging import stage
 
 # Fixed values.
 MIN_CHARS = 200
@@ -92,10 +93,12 @@ def budget_sample(docs: DataFrame, budget: int, order: Column, size: Column) ->
 
     ``order`` is an MD5 in hex. Each round takes the longest run of documents that fits. Where it ends, the next document is too large for what is left; so are all later ones of
     its size or more, now and for good, and they are no candidates any more. A round needs the sums of 4096 ranges of the order and one running sum within the range where the
-    budget ends, so nothing is gathered. The result is a plain filter: a document is taken if it lies in a round's range and was a candidate in that round.
+    budget ends, over a written table of orders and sizes, so nothing is gathered and ``docs`` is read once. What is left falls with each round below the size of the document that
+    ended it, so there are at most as many rounds as different sizes above the smallest, in practice a few. The result is a plain filter: a document is taken if it
+    lies in a round's range and was a candidate in that round; documents of equal order and size are taken or passed over together.
     """
     sized = docs.withColumn("_order", order).withColumn("_size", size.cast("long"))
-    slim = sized.select("_order", "_size").where(F.col("_size") <= budget).withColumn("_b", F.substring("_order", 1, 3))
+    slim = stage(sized.select("_order", "_size").where(F.col("_size") <= budget).withColumn("_b", F.substring("_order", 1, 3)), "budget")
     left, after = budget, ""
     taken = F.lit(False)
     while True:

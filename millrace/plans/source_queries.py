@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import os
 import sqlite3
+import subprocess
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions import codecs
 from millrace.functions import text as X
-from millrace.operators import cochange, commits, conversations, conversion, corpus, fim, metrics
+from millrace.operators import cochange, commits, conversations, conversion, corpus, fim, metrics, nextedit
 from millrace.plans import pipelines
 from millrace.plans.base import CLUSTERS_SQL, SUBJECT_SQL, Tables, big, brand_clusters, query, quote, subject, touches
 from millrace.plans.log_queries import _EDGES, _EVENT_TURNS, _event_turns
 from millrace.plans.text_queries import _FIM, _REASONS
-from millrace.sources import jsonl, sessions, sqlite
+from millrace.sources import gitlog, jsonl, sessions, sqlite
 from millrace.staging import scratch
 
 js = codecs._json_string
@@ -341,6 +344,37 @@ def clusters_document(t: Tables) -> DataFrame:
     return out.select("repo", big(F.size("clusters")).alias("n_clusters"), md5(F.array_join(each, ";"), "clusters_md5"))
 
 
+@query(
+    "git_history",
+    """
+WITH n AS (SELECT *, row_number() OVER w AS k, string_agg(n_name, chr(10)) OVER w AS names FROM nation WINDOW w AS (PARTITION BY n_regionkey ORDER BY n_nationkey)),
+f AS (SELECT *, 'names.py' AS path, k - 1 AS n_pre, md5(names) AS post_md5 FROM n UNION ALL SELECT *, 'n' || n_nationkey || '.md', 0, md5(n_name) FROM n)
+SELECT 'r' || n_regionkey AS repo, 'feat(r' || n_regionkey || '): add ' || n_name AS subject, CAST(1600000000 + n_nationkey * 86400 AS BIGINT) AS ts, path, n_pre, post_md5 FROM f
+""",
+)
+def git_history(t: Tables) -> DataFrame:
+    """A repository for each region and a commit for each nation (25 rows at any scale): found, read as logs, and their diffs parsed."""
+    top = Path(scratch(t.spark, "repositories").removeprefix("file://"))
+    for row in t.nation.orderBy("n_nationkey").collect():
+        folder = top / "work" / f"r{row.n_regionkey}"
+        stamp = f"{1600000000 + row.n_nationkey * 86400} +0000"
+        git = lambda *a, folder=folder, stamp=stamp: subprocess.run(["git", "-c", "user.name=n", "-c", "user.email=n@example.com", *a], cwd=folder, check=True, capture_output=True, env=os.environ | {"GIT_AUTHOR_DATE": stamp, "GIT_COMMITTER_DATE": stamp})
+        if not folder.exists():
+            folder.mkdir(parents=True)
+            git("init", "-q")
+        with open(folder / "names.py", "a") as f:
+            f.write(row.n_name + "\n")
+        (folder / f"n{row.n_nationkey}.md").write_text(row.n_name + "\n")
+        git("add", ".")
+        git("commit", "-qm", f"feat(r{row.n_regionkey}): add {row.n_name}")
+    repos = gitlog.repo_table(t.spark, gitlog.find_repos([str(top)]))
+    log = commits.parse_log(gitlog.log_lines(repos), gitlog.tracked_files(repos))
+    touched = log.select("repo", "sha", F.explode("files").alias("path"))
+    hunks = nextedit.parse_hunks(gitlog.diffs(touched), ["repo", "sha", "path"])
+    out = hunks.join(log.select("repo", "sha", "subject", "ts"), ["repo", "sha"])
+    return out.select(F.element_at(F.split("repo", "/"), -1).alias("repo"), "subject", "ts", "path", big(F.size("pre")).alias("n_pre"), md5(F.array_join("post", "\n"), "post_md5"))
+
+
 # --- examples, evaluation ----------------------------------------------------------------------------------------------
 
 
