@@ -1,6 +1,6 @@
 """Co-change graph: decayed Jaccard edges, communities, labels, cohesion.
 
-All repositories are one plan; only the community search works per repository (a grouped map), on edges alone.
+All repositories are one plan; only the community search is a grouped map, on the edges of one connected component at a time.
 """
 
 from __future__ import annotations
@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.graph import components
+from millrace.staging import stage
+
 # Fixed values.
 DECAY_DAYS = 180.0
 MIN_PAIR = 3
@@ -67,8 +70,8 @@ def _local_moves(neighbours: list[dict[int, float]], loops: list[float], total:
     return group
 
 
-def louvain(pairs: list[tuple[str, str, float]]) -> dict[str, int]:
-    """Communities of a weighted graph; nodes are visited in sorted order, so the result is determined. Community 0 holds the first node."""
+def louvain(pairs: list[tuple[str, str, float]], total: float | None = None) -> dict[str, int]:
+    """Communities of a weighted graph, or of a part of one whose edges weigh ``total``; nodes are visited in sorted order, so the result is determined. Community 0 holds the first node."""
     names = sorted({x for a, b, _ in pairs for x in (a, b)})
     place = {x: k for k, x in enumerate(names)}
     neighbours: list[dict[int, float]] = [{} for _ in names]
@@ -77,7 +80,7 @@ def louvain(pairs: list[tuple[str, str, float]]) -> dict[str, int]:
         neighbours[i][j] = neighbours[i].get(j, 0.0) + w
         neighbours[j][i] = neighbours[j].get(i, 0.0) + w
     loops = [0.0] * len(names)
-    total = sum(w for _, _, w in pairs)
+    total = total or sum(w for _, _, w in pairs)
     member = list(range(len(names)))
     while True:
         group = _local_moves(neighbours, loops, total)
@@ -101,15 +104,26 @@ def louvain(pairs: list[tuple[str, str, float]]) -> dict[str, int]:
 
 
 def communities(edge_table: DataFrame) -> DataFrame:
-    """repo, cluster_id (``repo:index``) and file, by modularity within each repository."""
+    """repo, cluster_id (``repo:index``, in the order of the clusters' first files) and file, by modularity within each repository.
 
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = louvain(list(zip(pdf["a"], pdf["b"], pdf["jaccard"], strict=True)))
-        repo = pdf["repo"].iloc[0]
-        return pd.DataFrame({"repo": repo, "cluster_id": [f"{repo}:{c}" for c in found.values()], "file": list(found)})
+    No community goes over components, and what a move gains depends on the rest of the graph by its weight only. So components are searched apart, in
+    parallel; the largest component of all repositories bounds a task.
+    """
 
-    text = edge_table.select(F.col("repo").cast("string"), F.col("a").cast("string"), F.col("b").cast("string"), "jaccard")
-    return text.groupBy("repo").applyInPandas(one, "repo string, cluster_id string, file string")
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = louvain(list(zip(pdf["a"], pdf["b"], pdf["jaccard"], strict=True)), float(pdf["total"].iloc[0]))
+        return pd.DataFrame({"repo": pdf["repo"].iloc[0], "root": pdf["root"].iloc[0], "local": list(found.values()), "file": list(found)})
+
+    text = stage(edge_table.select(F.col("repo").cast("string"), F.col("a").cast("string"), F.col("b").cast("string"), "jaccard"), "cochange-edges")
+    node = lambda x: F.xxhash64("repo", x)
+    roots = components(text.select(node("a").alias("a"), node("b").alias("b")))
+    total = text.groupBy("repo").agg(F.sum("jaccard").alias("total"))
+    parts = text.withColumn("node", node("a")).join(roots, "node").join(total, "repo").select("repo", "root", "a", "b", "jaccard", "total")
+    found = stage(parts.groupBy("repo", "root").applyInPandas(one, "repo string, root long, local long, file string"), "cochange-members")
+    heads = found.groupBy("repo", "root", "local").agg(F.min("file").alias("_first"))
+    index = (F.row_number().over(Window.partitionBy("repo").orderBy("_first")) - 1).cast("string")
+    named = heads.select("repo", "root", "local", F.concat("repo", F.lit(":"), index).alias("cluster_id"))
+    return found.join(named, ["repo", "root", "local"]).select("repo", "cluster_id", "file")
 
 
 def cohesion(edge_table: DataFrame, members: DataFrame, min_cluster: int = MIN_CLUSTER) -> DataFrame:

@@ -4,20 +4,31 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from millrace.staging import stage
 
-def read_json_lines(spark: SparkSession, path: str | list[str], glob: str | None = None, recursive: bool = False) -> DataFrame:
-    """file, line_no, line and data (variant): blank lines and lines that aren't JSON are left out. Bad bytes become U+FFFD.
 
-    Whole files are read, because a line's number within its file is needed for its order.
+def read_lines(spark: SparkSession, path: str | list[str], glob: str | None = None, recursive: bool = False) -> DataFrame:
+    """file, line_no (from 0, blank lines count) and line. Bad bytes become U+FFFD.
+
+    Files are split into blocks as Spark likes, so a file of any size is read in parallel. A line's number is its place in its block and the number of lines in the blocks
+    before; lines are written once with their place, so numbers don't change when a task runs again.
     """
-    reader = spark.read.option("recursiveFileLookup", recursive)
+    reader = spark.read.option("recursiveFileLookup", recursive).option("lineSep", "\n")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    files = reader.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-    lines = files.select("file", F.posexplode(F.split("value", "\n")).alias("line_no", "line"))
-    out = lines.where(F.trim("line") != "").withColumn("data", F.try_parse_json("line"))
-    return out.where("data is not null").withColumn("line_no", F.col("line_no").cast("long"))
+    lines = reader.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
+    lines = stage(lines, "lines")
+    counts = lines.groupBy("file", "block").agg(F.count("*").alias("_n"), F.min("at").alias("_first"))
+    before = counts.select("file", "block", "_first", (F.sum("_n").over(Window.partitionBy("file").orderBy("block")) - F.col("_n")).alias("_before"))
+    return lines.join(before, ["file", "block"]).select("file", (F.col("at") - F.col("_first") + F.col("_before")).alias("line_no"), "line")
+
+
+def read_json_lines(spark: SparkSession, path: str | list[str], glob: str | None = None, recursive: bool = False) -> DataFrame:
+    """file, line_no, line and data (variant) of :func:`read_lines`: blank lines and lines that aren't JSON are left out."""
+    out = read_lines(spark, path, glob, recursive).where(F.trim("line") != "").withColumn("data", F.try_parse_json("line"))
+    return out.where("data is not null")
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:

@@ -10,10 +10,13 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_DIR: dict[str, str] = {}
+_SCOPES: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,7 +34,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def _own(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/millrace/{spark.sparkContext.applicationId}"
+    return "/".join([shared_dir(spark), "millrace", spark.sparkContext.applicationId, *_SCOPES])
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -46,7 +49,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_scratch(spark: SparkSession) -> None:
-    """Delete all that this application has staged. For the end of a job: results that were not written by then can't be read any more."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(_own(spark))
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """What is staged within is deleted at the end: results must have been written elsewhere by then."""
+    _SCOPES.append(f"scope-{uuid.uuid4().hex}")
+    path = _own(spark)
+    try:
+        yield
+    finally:
+        _SCOPES.pop()
+        delete(spark, path)
