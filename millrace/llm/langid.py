@@ -29,6 +29,8 @@ from millrace.llm._common import map_arrow
 
 ORDER = 5
 PER_LANGUAGE = 400
+#: Labelled texts of fewer words are never taken for wrongly labelled.
+FEW_WORDS = 20
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 _LONGEST = 40  # longer words (scripts without spaces) are scored in pieces
@@ -153,8 +155,45 @@ def _join_columns(parts: list[tuple[np.ndarray, np.ndarray]], empty: float) -> t
     return keys, table
 
 
+def _tables(texts: dict[str, list[list[str]]]) -> Model:
+    """A model of texts (lists of words) by language, without calibration."""
+    languages = sorted(texts)
+    fitted = [_kneser_ney(Counter(w for words in texts[lang] for w in words)) for lang in languages]
+    grams = [_join_columns([f[0][n] for f in fitted], np.nan) for n in range(ORDER)]
+    contexts = [_join_columns([f[1][n] for f in fitted], 0.0) for n in range(ORDER)]
+    return Model(languages, [k for k, _ in grams], [v for _, v in grams], [k for k, _ in contexts], [v for _, v in contexts], np.array([f[2] for f in fitted]))
+
+
+def _entropies(model: Model, texts: list[list[str]]) -> np.ndarray:
+    """(texts, languages): entropy per character under each language's model."""
+    out = []
+    for words in texts:
+        every = Counter(words)
+        score = (model.word_scores(list(every)) * np.fromiter(every.values(), np.float64, len(every))[:, None]).sum(axis=0)
+        out.append(-score / (sum(map(len, words)) + len(words)))
+    return np.array(out).reshape(-1, len(model.languages))
+
+
+def _sound(texts: dict[str, list[list[str]]]) -> dict[str, list[list[str]]]:
+    """Without the labelled texts that aren't of their language: each half is judged by a model of the other, at nine tenths of the way to the nearest other language. Texts of few words stay."""
+    halves = [{lang: own[h::2] or own for lang, own in texts.items()} for h in (0, 1)]
+    judged = {lang: np.empty((len(own), len(texts))) for lang, own in texts.items()}
+    for h in (0, 1):
+        model = _tables(halves[h])
+        for lang, own in texts.items():
+            judged[lang][1 - h :: 2] = _entropies(model, own[1 - h :: 2])
+    languages = sorted(texts)
+    middle = np.array([np.median(judged[lang], axis=0) for lang in languages])  # of a's texts under each model
+    out = {}
+    for a, lang in enumerate(languages):
+        nearest = min((middle[b, a] for b in range(len(languages)) if b != a), default=2 * middle[a, a])
+        limit = middle[a, a] + 0.9 * max(nearest - middle[a, a], 0.2)
+        out[lang] = [t for t, e in zip(texts[lang], judged[lang][:, a], strict=True) if e <= limit or len(t) < FEW_WORDS] or texts[lang]
+    return out
+
+
 def fit(rows: list[tuple[str, str]]) -> Model:
-    """A model from (language, text) rows; every fourth row of a language calibrates the rejection."""
+    """A model from (language, text) rows, without those whose label is plainly wrong; every fourth row of a language calibrates the rejection."""
     texts: dict[str, list[list[str]]] = {}
     for lang, text in rows:
         if words := words_of(text or ""):
@@ -162,11 +201,9 @@ def fit(rows: list[tuple[str, str]]) -> Model:
     languages = sorted(texts)
     if not languages:
         return Model([], [], [], [], [], np.empty(0))
+    texts = _sound(texts)
     held = {lang: own[3::4] or own for lang, own in texts.items()}
-    fitted = [_kneser_ney(Counter(w for k, words in enumerate(texts[lang]) if k % 4 != 3 for w in words)) for lang in languages]
-    grams = [_join_columns([f[0][n] for f in fitted], np.nan) for n in range(ORDER)]
-    contexts = [_join_columns([f[1][n] for f in fitted], 0.0) for n in range(ORDER)]
-    model = Model(languages, [k for k, _ in grams], [v for _, v in grams], [k for k, _ in contexts], [v for _, v in contexts], np.array([f[2] for f in fitted]))
+    model = _tables({lang: [t for k, t in enumerate(texts[lang]) if k % 4 != 3] for lang in languages})
     size = len(languages)
     mean, model.spread = np.zeros((size, size)), np.zeros(size)
     for a, lang in enumerate(languages):
@@ -185,12 +222,7 @@ def fit(rows: list[tuple[str, str]]) -> Model:
 
 def _sharpness(model: Model, held: dict[str, list[list[str]]]) -> float:
     """The value of a fixed grid under which the calibration texts' languages are likeliest (each text with one miss in 1000 allowed for)."""
-    gaps = []
-    for a, lang in enumerate(model.languages):
-        for words in held[lang]:
-            score = model.word_scores(words).sum(axis=0)
-            entropy = -score / (sum(map(len, words)) + len(words))
-            gaps.append(entropy - entropy[a])
+    gaps = [e - e[a] for a, lang in enumerate(model.languages) for e in _entropies(model, held[lang])]
     gaps = np.array(gaps)
     grid = [2.0**k for k in range(0, 9)]
     loss = [np.log(0.999 / np.maximum(np.exp(-t * np.maximum(gaps, -50 / t)).sum(axis=1), 1e-300) + 0.001 / len(model.languages)).mean() for t in grid]

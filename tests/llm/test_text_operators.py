@@ -456,6 +456,36 @@ def test_pairs_right_around_the_similarity(spark):
     assert [got[k] for k in range(len(texts))] == want
 
 
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01"), reason="needs the driver's tables")
+def test_groups_on_the_tables_equal_all_pairs(spark):
+    """Recall and precision 1 on the driver's documents: the groups are those of a Jaccard similarity of 0.8 or more between any two, counted from plain sets."""
+    path = "/root/testdata/sf0.01/documents.parquet"
+    rows = duckdb.sql(f"SELECT doc_id, text FROM '{path}'").fetchall()
+    sets = {}
+    for k, t in rows:
+        words = simhash.split_words(t or "")
+        sets[k] = {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))} if words else set()
+    by = {}
+    for k, s in sets.items():
+        for g in s:
+            by.setdefault(g, []).append(k)
+    both = Counter(p for ks in by.values() for p in itertools.combinations(sorted(ks), 2))
+    root = {k: k for k in sets}
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    empty = [k for k in sorted(sets) if not sets[k]]
+    near = [(a, b) for (a, b), n in both.items() if 5 * n >= 4 * (len(sets[a]) + len(sets[b]) - n)] + list(itertools.pairwise(empty))
+    for a, b in near:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    got = {r.doc_id: r.group_id for r in simhash.near_duplicate_groups(spark.read.parquet(path)).collect()}
+    assert len(near) > 50 and got == {k: find(k) for k in sets}
+
+
 def test_profiles_never_count_too_little():
     """The shared positional bytes of two texts are at least their shared shingles, also of unlike numbers of positions and where bytes are full."""
     rng = np.random.default_rng(3)
