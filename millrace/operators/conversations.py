@@ -26,7 +26,8 @@ def request_windows(turns: DataFrame, conv: str = "conv_id", pos: str = "turn",
     """Turns with window_id (from 0): windows start at user turns.
 
     A conversation of at most ``max_turns`` that starts with a user turn is one window. Else each user turn
-    opens a window up to the next one, cut at ``max_turns``; windows of fewer than ``min_turns`` go, as do turns before the first user turn.
+    opens a window up to the next one, cut at ``max_turns``; windows of fewer than ``min_turns`` go, as do turns before the first user turn. A conversation is ranked
+    in one task, so the largest conversation bounds a task (its rows are spilled, not held).
     """
     ordered = Window.partitionBy(conv).orderBy(pos)
     whole = Window.partitionBy(conv)

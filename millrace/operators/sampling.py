@@ -18,6 +18,10 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
 def holdout_groups(df: DataFrame, group: str, fraction: float, seed: int) -> DataFrame:
     """One row per group with held_out: at least one group, at most ``fraction`` of them."""
     groups = df.where(F.col(group).isNotNull()).select(group).distinct()
-    ranked = groups.withColumn("_k", F.row_number().over(Window.orderBy(shuffle_key(F.col(group), seed), group)))
-    n = F.count("*").over(Window.partitionBy())
-    return ranked.withColumn("held_out", F.col("_k") <= F.greatest(F.lit(1), F.floor(n * fraction))).drop("_k")
+    groups = groups.withColumn("_o", shuffle_key(F.col(group), seed)).withColumn("_b", F.substring("_o", 1, 3))
+    # Ranks from the counts of 4096 ranges of the order and the rank within a range, so no task sees all groups.
+    counts = groups.groupBy("_b").agg(F.count("*").alias("_n"))
+    base = counts.select("_b", (F.sum("_n").over(Window.orderBy("_b")) - F.col("_n")).alias("_base"), F.sum("_n").over(Window.partitionBy()).alias("_all"))
+    inside = F.row_number().over(Window.partitionBy("_b").orderBy("_o", group))
+    ranked = groups.withColumn("_k", inside).join(F.broadcast(base), "_b")
+    return ranked.select(group, (F.col("_base") + F.col("_k") <= F.greatest(F.lit(1), F.floor(F.col("_all") * fraction))).alias("held_out"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from millrace.functions.text import FATAL_SECRET, count_redactions, scrub
+from millrace.functions.text import FATAL_SECRET, redacted
 from millrace.operators.corpus import MIN_CHARS
 from millrace.shipping import ship
 
@@ -18,7 +18,8 @@ from millrace.shipping import ship
 def clean_stream(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     """Stateless corpus cleaning: short texts and private keys go, secrets are redacted."""
     kept = docs.where((F.length("text") >= min_chars) & ~F.col("text").rlike(FATAL_SECRET))
-    return kept.withColumn("n_redactions", count_redactions("text")).withColumn("text", scrub("text"))
+    done = kept.withColumn("_r", redacted("text"))
+    return done.withColumn("n_redactions", F.col("_r.n")).withColumn("text", F.col("_r.text")).drop("_r")
 
 
 def first_of_content_stream(docs: DataFrame, time: str, delay: str = "1 hour") -> DataFrame:
