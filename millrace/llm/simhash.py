@@ -342,8 +342,11 @@ def _chosen(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
 
 def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
     """The pairs a, b that are similar enough: those that reach the minimum on whole profiles are compared on the texts, read again."""
-    for x in "ab":
-        pairs = pairs.join(distinct.select(F.col("fp").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("profile").alias(f"p{x}")), x)
+    pairs = stage(pairs, "near-met")
+    side = lambda x: distinct.select(F.col("fp").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("profile").alias(f"p{x}"))
+    # One entry can be the head of very many; its profile has MOST_POSITIONS bytes at most.
+    heads = stage(side("a").join(pairs.groupBy("a").agg(F.count("*").alias("_n")), "a"), "near-heads")
+    pairs = skew_join(pairs, heads, ["a"], "_n", pairs.count()).join(side("b"), "b")
     pairs = stage(map_arrow(pairs.select("a", "b", "na", "nb", "pa", "pb"), _retained(similarity), "a long, b long"), "near-retained")
     wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(distinct.select("fp", "row_key"), "fp"), "near-wanted")
     texts = _chosen(docs, wanted.select("row_key").distinct(), "left_semi").select("text")
