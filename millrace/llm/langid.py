@@ -32,19 +32,19 @@ PER_LANGUAGE = 400
 #: Labelled texts of fewer words are never taken for wrongly labelled.
 FEW_WORDS = 20
 UNKNOWN = "und"
-_WORD = re.compile(r"[^\W\d_]+")
-_LONGEST = 40  # longer words (scripts without spaces) are scored in pieces
+_WORD = re.compile(r"[^\W\d_]{1,40}")  # longer words (scripts without spaces) are scored in pieces
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 RESULT = "doc_id long, lang_pred string, score double, entropy double, rejected boolean"
 
 
+def _letters(word: str) -> list[str]:
+    """The runs of letters in a word, which may also hold numerals that aren't digits, such as fractions."""
+    return [word] if word.isalpha() else "".join(c if c.isalpha() else " " for c in word).split()
+
+
 def words_of(text: str) -> list[str]:
     found = _WORD.findall(text.lower())
-    if found and not "".join(found).isalpha():  # numerals that aren't digits, such as fractions
-        found = [w for x in found for w in ("".join(c if c.isalpha() else " " for c in x).split())]
-    if any(len(w) > _LONGEST for w in found):
-        found = [w[k : k + _LONGEST] for w in found for k in range(0, len(w), _LONGEST)]
-    return found
+    return found if not found or "".join(found).isalpha() else [w for x in found for w in _letters(x)]
 
 
 def _grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -71,7 +71,7 @@ def _hashes(points: np.ndarray, n: int) -> np.ndarray:
 class Model:
     languages: list[str]
     keys: list[np.ndarray]  # per order: sorted hashes of n-grams
-    logp: list[np.ndarray]  # per order: (n-grams, languages), NaN where not seen
+    logp: list[np.ndarray]  # per order: (n-grams, languages), backed off for languages that haven't seen the n-gram
     contexts: list[np.ndarray]
     backoff: list[np.ndarray]  # per order: (contexts, languages), 0 where not seen
     floor: np.ndarray  # per language: log-probability of an unknown character
@@ -84,23 +84,20 @@ class Model:
         """(words, languages): log-probability of each word with its closing space."""
         points, place, word = _grams(words)
         total = np.zeros((len(points), len(self.languages)))
-        open_ = np.ones(total.shape, bool)
-        hashes = {n: _hashes(points, n) for n in range(1, ORDER + 1)}
+        todo = np.flatnonzero(place > 0)
+        after = _hashes(points, ORDER)
         for n in range(ORDER, 0, -1):
-            fits = np.flatnonzero((place >= n - 1) & (place > 0))
-            if not len(fits):
-                continue
-            at, hit = _find(self.keys[n - 1], hashes[n][fits])
-            p = np.where(hit[:, None], self.logp[n - 1][at], np.nan) if len(self.keys[n - 1]) else np.full((len(fits), len(self.languages)), np.nan)
-            todo = open_[fits]
-            seen = todo & ~np.isnan(p)
-            part = np.where(seen, p, 0.0)
-            if n > 1 and len(self.contexts[n - 1]):
-                at, hit = _find(self.contexts[n - 1], hashes[n - 1][fits - 1])
-                part += np.where(todo & ~seen & hit[:, None], self.backoff[n - 1][at], 0.0)
-            total[fits] += part
-            open_[fits] = todo & ~seen
-        total += np.where(open_ & (place > 0)[:, None], self.floor, 0.0)
+            hashes, after = after, _hashes(points, n - 1)
+            fits = place[todo] >= n - 1
+            at, hit = _find(self.keys[n - 1], hashes[todo[fits]])
+            seen = todo[fits][hit]
+            total[seen] += self.logp[n - 1][at[hit]]
+            unseen = todo[fits][~hit]
+            if n > 1 and len(unseen):
+                at, hit = _find(self.contexts[n - 1], after[unseen - 1])
+                total[unseen[hit]] += self.backoff[n - 1][at[hit]]
+            todo = np.concatenate([todo[~fits], unseen])
+        total[todo] += self.floor
         return np.add.reduceat(total, np.flatnonzero(place == 0), axis=0) if len(words) else np.empty((0, len(self.languages)))
 
 
@@ -109,8 +106,8 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, (keys[at] == wanted) if len(keys) else np.zeros(len(wanted), bool)
 
 
-def _kneser_ney(words: Counter) -> tuple[list[tuple[np.ndarray, np.ndarray]], list[tuple[np.ndarray, np.ndarray]], float]:
-    """Per order (n-gram hashes, log-probabilities) and (context hashes, log back-offs), and the floor, of one language."""
+def _kneser_ney(words: Counter) -> tuple[list[tuple[np.ndarray, ...]], list[tuple[np.ndarray, np.ndarray]], float]:
+    """Per order (n-gram hashes, log-probabilities, hashes of the contexts and of all but the first character) and (context hashes, log back-offs), and the floor, of one language."""
     points, place, word = _grams(list(words))
     weight = np.fromiter(words.values(), np.float64, len(words))[word]
     hashes = [_hashes(points, n) for n in range(ORDER + 1)]
@@ -142,7 +139,7 @@ def _kneser_ney(words: Counter) -> tuple[list[tuple[np.ndarray, np.ndarray]], li
             below = np.where(hit, lower[1][at], np.exp(floor))
         p = np.maximum(count - d, 0) / csum[cinv] + weight_back[cinv] * below
         lower = (key, p)
-        grams.append((key, np.log(p)))
+        grams.append((key, np.log(p), context, hashes[n - 1][where]))
         contexts.append((ckey, np.log(weight_back)))
     return grams, contexts, floor
 
@@ -159,9 +156,20 @@ def _tables(texts: dict[str, list[list[str]]]) -> Model:
     """A model of texts (lists of words) by language, without calibration."""
     languages = sorted(texts)
     fitted = [_kneser_ney(Counter(w for words in texts[lang] for w in words)) for lang in languages]
-    grams = [_join_columns([f[0][n] for f in fitted], np.nan) for n in range(ORDER)]
+    grams = [_join_columns([f[0][n][:2] for f in fitted], np.nan) for n in range(ORDER)]
     contexts = [_join_columns([f[1][n] for f in fitted], 0.0) for n in range(ORDER)]
-    return Model(languages, [k for k, _ in grams], [v for _, v in grams], [k for k, _ in contexts], [v for _, v in contexts], np.array([f[2] for f in fitted]))
+    floor = np.array([f[2] for f in fitted])
+    for n, (keys, table) in enumerate(grams):  # what a language hasn't seen is backed off here, once
+        below = np.broadcast_to(floor, table.shape)
+        if n:
+            context, rest = np.empty(len(keys), np.uint64), np.empty(len(keys), np.uint64)
+            for f in fitted:
+                own = np.searchsorted(keys, f[0][n][0])
+                context[own], rest[own] = f[0][n][2:]
+            at, hit = _find(contexts[n][0], context)
+            below = grams[n - 1][1][_find(grams[n - 1][0], rest)[0]] + np.where(hit[:, None], contexts[n][1][at], 0.0)
+        table[:] = np.where(np.isnan(table), below, table)
+    return Model(languages, [k for k, _ in grams], [v for _, v in grams], [k for k, _ in contexts], [v for _, v in contexts], floor)
 
 
 def _entropies(model: Model, texts: list[list[str]]) -> np.ndarray:
@@ -229,37 +237,63 @@ def _sharpness(model: Model, held: dict[str, list[list[str]]]) -> float:
     return grid[int(np.argmax(loss))]
 
 
+class _Words(dict):
+    """Word to number; an unknown word gets the next number and waits to be scored."""
+
+    def __init__(self):
+        super().__init__()
+        self.waiting: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        self.waiting.append(word)
+        return n
+
+
 class Judge:
-    """Scores texts with one model, keeping the scores of words."""
+    """Scores texts with one model, keeping the scores of words. A word with numerals in it scores as its runs of letters do."""
 
-    def __init__(self, model: Model, most_words: int = 100_000):
+    def __init__(self, model: Model, most_words: int = 200_000):
         self.model, self.most = model, most_words
         self._clear()
 
     def _clear(self) -> None:
-        self.index: dict[str, int] = {}
-        self.table = np.empty((0, len(self.model.languages) + 1))
+        self.index = _Words()
+        self.table = np.empty((0, len(self.model.languages) + 2))  # scores, characters with a closing space each, number of words
+
+    def _learn(self) -> None:
+        words, self.index.waiting = self.index.waiting, []
+        if not words:
+            return
+        parts = [_letters(w) for w in words]
+        flat = [p for x in parts for p in x]
+        rows = np.zeros((len(flat), self.table.shape[1]))
+        for k in range(0, len(flat), 5000):
+            rows[k : k + 5000, :-2] = self.model.word_scores(flat[k : k + 5000])
+        rows[:, -2], rows[:, -1] = [len(p) + 1 for p in flat], 1
+        table = np.zeros((len(words), rows.shape[1]))
+        np.add.at(table, np.repeat(np.arange(len(words)), [len(x) for x in parts]), rows)
+        self.table = np.concatenate([self.table, table])
 
     def __call__(self, texts: list[str | None]) -> list[tuple[str, float, float | None, bool]]:
-        per_text = [words_of(t) if t and self.model.languages else [] for t in texts]
         if len(self.index) > self.most:
             self._clear()
-        if new := list(dict.fromkeys(w for words in per_text for w in words if w not in self.index)):
-            self.index.update(zip(new, range(len(self.index), len(self.index) + len(new)), strict=True))
-            size = np.fromiter((len(w) + 1 for w in new), np.float64, len(new))
-            score = np.concatenate([self.model.word_scores(new[k : k + 5000]) for k in range(0, len(new), 5000)])
-            self.table = np.concatenate([self.table, np.column_stack([score, size])])
         get = self.index.__getitem__
+        places = [np.fromiter(map(get, w), np.int64, len(w)) if t and (w := _WORD.findall(t.lower())) else np.empty(0, np.int64) for t in (texts if self.model.languages else [None] * len(texts))]
+        self._learn()
+        sums = np.zeros((len(texts), self.table.shape[1]))
+        for k, at in enumerate(places):
+            if len(at):
+                sums[k] = self.table[at].sum(axis=0)
         out = []
-        for words in per_text:
-            if not words:
+        for total in sums:
+            if not total[-1]:
                 out.append((UNKNOWN, 0.0, None, True))
                 continue
-            total = self.table[np.fromiter(map(get, words), np.int64, len(words))].sum(axis=0)
-            entropy = -total[:-1] / total[-1]
+            entropy = -total[:-2] / total[-2]
             best = int(entropy.argmin())
             odds = np.exp(-self.model.sharpness * (entropy - entropy[best]))
-            error = 6.0 * np.sqrt(self.model.spread[best] * len(words)) / total[-1]
+            error = 6.0 * np.sqrt(self.model.spread[best] * total[-1]) / total[-2]
             limit = max(self.model.limit[best], self.model.own[best] + error)
             out.append((self.model.languages[best], float(1.0 / odds.sum()), float(entropy[best]), bool(entropy[best] > limit)))
         return out
