@@ -85,9 +85,12 @@ def _encode(tokenizer: str, cut: str, end_id: int, mean: int, least: int, most:
                 ids, sizes = enc.encode(texts, end_id)
                 ids = ids.astype("<u4")
                 rows, begin = [], 0
+                cuts = cut_points(ids, mean)  # those within WINDOW ids of a document's start are of two documents
+                low = np.searchsorted(cuts, np.cumsum(sizes) - sizes + WINDOW)
+                high = np.searchsorted(cuts, np.cumsum(sizes), "right")
                 for k, n in enumerate(sizes.tolist()):
                     own = ids[begin : begin + n]
-                    bounds = chunk_bounds(cut_points(own, mean), 0, n, least, most)
+                    bounds = chunk_bounds(cuts[low[k] : high[k]] - begin, 0, n, least, most)
                     digests = []
                     for s, e in zip(bounds, bounds[1:], strict=False):
                         data = own[s:e].tobytes()

@@ -2,7 +2,8 @@
 
 Both supported vocabularies never form a token across certain white space. So a batch of texts is cut
 there into units; each new unit is encoded by the tokenizers library, and a text's ids are the concatenation of its units' ids. Corpora repeat
-their words, so most units come from the cache. New units are encoded many at a time, as one text in which each can be found again by the
+their words, so most units come from the cache. A new unit of letters and marks is put together from the units of its parts: pieces also end where letters do, and at
+single line ends. What is left is encoded many at a time, as one text in which each unit can be found again by the
 number of bytes its tokens stand for; where these don't add up, units are encoded one by one.
 """
 
@@ -10,7 +11,8 @@ from __future__ import annotations
 
 import json
 import os
-from itertools import islice
+import re
+from itertools import chain, islice
 
 import numpy as np
 
@@ -21,6 +23,9 @@ LONG_UNIT, CACHE_CHARS = 64, 40_000_000
 #: White space to Python, but not to the tokenizers.
 _CONTROL = "\x1c\x1d\x1e\x1f"
 _JOINED = 2000
+#: White space that may be one piece; line ends apart from it are pieces of their own.
+_RUN = re.compile(r"\s{3}|\n\s*\Z|\n\n")
+_LETTERS = re.compile(r"[^\W\d_]+")
 _ENCODERS: dict[str, "UnitEncoder"] = {}
 
 
@@ -101,17 +106,18 @@ class UnitEncoder:
         self.starts, self.lengths = (np.concatenate([x, np.empty(1 << 16, np.int64)]) for x in (ends - lengths, lengths))
         self.index = _Index((u, k) for k, (u, _) in enumerate(kept))
 
-    def _numbers(self, text: str) -> list[int]:
+    def _numbers(self, text: str) -> np.ndarray:
         """The numbers of a text's units."""
         get = self.index.__getitem__
         if self.cut == "white":
             if any(c in text for c in _CONTROL):  # white space to Python, but not to the tokenizer
-                return [get((text,))]
-            return list(map(get, text.split()))
+                return np.array([get((text,))], np.int64)
+            pieces = text.split()
+            return np.fromiter(map(get, pieces), np.int64, len(pieces))
         pieces = text.split(" ")
         first = get((pieces[0],))
         try:
-            return [first, *map(get, pieces[1:])]
+            return np.fromiter(chain((first,), map(get, islice(pieces, 1, None))), np.int64, len(pieces))
         except _NotAUnit:
             merged = pieces[:1]
             for p in pieces[1:]:
@@ -119,16 +125,50 @@ class UnitEncoder:
                     merged[-1] += " " + p
                 else:
                     merged.append(p)
-            return [get((merged[0],)), *map(get, merged[1:])]
+            return np.array([get((merged[0],)), *map(get, merged[1:])], np.int64)
+
+    def _parts(self, unit: str | tuple[str]) -> list[str | tuple[str]] | None:
+        """The units that a unit is made of, if it can be told that no token goes over their bounds."""
+        first = unit.__class__ is str
+        text = unit if first else unit[0]
+        if "\n" in text and self.cut == "space" and not _RUN.search(text):
+            lines = text.split("\n")
+        else:
+            lines = (text,)
+        out: list[str | tuple[str]] = []
+        for k, line in enumerate(lines):
+            if k:
+                out.append(("\n",))
+            m = _LETTERS.match(line)
+            if m and (end := m.end()) < len(line) and line[end].isascii() and (head := m[0]).isalpha() and (head.isascii() or head.lower().isalpha() and "Σ" not in head):
+                # Marks compose with letters, some letters end with a mark in lower case, and a final sigma depends on what follows.
+                out.append(head if first and not k else (head,))
+                out.append((line[end:],))
+            elif line:
+                out.append(line if first and not k else (line,))
+            elif first and not k:
+                return None
+        return out if len(out) > 1 else None
 
     def _learn(self) -> None:
         units, self.index.waiting = self.index.waiting, []
         if not units:
             return
         at = len(self.index) - len(units)
-        plain, odd = [], []
+        made, parts, plain, odd = [], [], [], []
+        get = self.index.__getitem__
         for k, u in enumerate(units):
-            (odd if isinstance(u, tuple) else plain).append(k)
+            if u.__class__ is str and u.isalpha():
+                plain.append(k)
+            elif p := self._parts(u):
+                made.append(at + k)
+                parts.append(list(map(get, p)))
+            else:
+                (plain if u.__class__ is str else odd).append(k)
+        more, self.index.waiting = self.index.waiting, []  # parts that are new themselves; they are encoded whole
+        for k, u in enumerate(more, len(units)):
+            (plain if u.__class__ is str else odd).append(k)
+        units += more
         while at + len(units) > len(self.starts):
             self.starts, self.lengths = (np.concatenate([x, np.empty_like(x)]) for x in (self.starts, self.lengths))
         lead = " " if self.cut == "space" else ""
@@ -148,6 +188,17 @@ class UnitEncoder:
         if found:
             ids = np.fromiter((i for x in found for i in x), np.uint32)
             self._store(at + np.array(odd), ids, np.fromiter(map(len, found), np.int64, len(found)))
+        if made:
+            each = np.fromiter(chain.from_iterable(parts), np.int64)
+            counts = np.fromiter(map(len, parts), np.int64, len(parts))
+            ids, lengths = self._gather(each)
+            self._store(np.array(made), ids, np.add.reduceat(lengths, np.cumsum(counts) - counts))
+
+    def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of units, one after another, and how many each has."""
+        lengths = self.lengths[numbers]
+        ends = np.cumsum(lengths)
+        return self.pool[np.repeat(self.starts[numbers] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)], lengths
 
     def _store(self, places: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
         """Keep the ids of the units at ``places``, one after another in ``ids``."""
@@ -175,10 +226,9 @@ class UnitEncoder:
         per_text = [self._numbers(t) for t in texts]
         self._learn()
         counts = np.fromiter(map(len, per_text), np.int64, len(texts))
-        where = np.concatenate([np.array(x, np.int64) for x in per_text]) if texts else np.empty(0, np.int64)
-        lengths = self.lengths[where]
+        where = np.concatenate(per_text) if texts else np.empty(0, np.int64)
+        body, lengths = self._gather(where)
         ends = np.cumsum(lengths)
-        body = self.pool[np.repeat(self.starts[where] - (ends - lengths), lengths) + np.arange(int(ends[-1]) if len(ends) else 0)]
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
         sizes = np.diff(bounds)
         return np.insert(body, bounds[1:], np.uint32(end_id)).astype(np.uint32), sizes + 1

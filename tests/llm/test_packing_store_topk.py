@@ -21,8 +21,8 @@ def docs(spark, rows):
 def test_units_equal_whole_texts(name, cut):
     rng = random.Random(1)
     enc = tokenizing.UnitEncoder(tokenizing.public_path(name), cut)
-    bits = ["a", "b", " ", "  ", "\n", " \n", "\t", "é", "Σ", "ΑΣ", "'s", "'t", "1", "23", ".", "<|endoftext|>", "\u2003", "\u3000", "\x1c", "İ", "́", "中文", "😀", "\x85", "ß", "ﬁ", "\0"]
-    texts = ODD + ["".join(rng.choice(bits) for _ in range(rng.randint(0, 40))) for _ in range(3000)]
+    bits = ["a", "b", " ", "  ", "\n", " \n", "\t", "é", "Σ", "ΑΣ", "'s", "'t", "1", "23", ".", "<|endoftext|>", "\u2003", "\u3000", "\x1c", "İ", "́", "中文", "😀", "\x85", "ß", "ﬁ", "\0", "word", "Word,", "x.\nLa.", "\n\n", ".\n", "a\nb", "²", "½3", "_", "$$$", "e\u0301", "ΑΣ'Α", "-"]
+    texts = ODD + ["".join(rng.choice(bits) for _ in range(rng.randint(0, 40))) for _ in range(6000)]
     ids, sizes = enc.encode(texts, 7)
     at = 0
     for t, n in zip(texts, sizes.tolist(), strict=True):
