@@ -32,7 +32,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 def _pieces(tokenizer: str, cut: str, end_id: int, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer, cut, most_units=200_000)
+        enc = encoder(tokenizer, cut, most_units=500_000)
         for batch in batches:
             doc_ids, at = batch.column("doc_id"), 0
             for texts in text_slices(batch.column("text").to_pylist()):
