@@ -340,6 +340,14 @@ def _chosen(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     return docs.join(F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys, "row_key", how)
 
 
+def _texts_sets(fps: DataFrame, distinct: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """fp and hashes of these entries, from the texts, read again."""
+    wanted = stage(fps.join(distinct.select("fp", "row_key"), "fp"), "near-wanted")
+    texts = _chosen(docs, wanted.select("row_key").distinct(), "left_semi").select("text")
+    sets = map_arrow(texts, _hash_sets(width), "fp long, hashes binary").join(wanted.select("fp"), "fp", "left_semi").dropDuplicates(["fp"])
+    return stage(sets, "near-sets")
+
+
 def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
     """The pairs a, b that are similar enough: those that reach the minimum on whole profiles are compared on the texts, read again."""
     pairs = stage(pairs, "near-met")
@@ -348,10 +356,7 @@ def _verified(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, width: int
     heads = stage(side("a").join(pairs.groupBy("a").agg(F.count("*").alias("_n")), "a"), "near-heads")
     pairs = skew_join(pairs, heads, ["a"], "_n", pairs.count()).join(side("b"), "b")
     pairs = stage(map_arrow(pairs.select("a", "b", "na", "nb", "pa", "pb"), _retained(similarity), "a long, b long"), "near-retained")
-    wanted = stage(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct().join(distinct.select("fp", "row_key"), "fp"), "near-wanted")
-    texts = _chosen(docs, wanted.select("row_key").distinct(), "left_semi").select("text")
-    sets = map_arrow(texts, _hash_sets(width), "fp long, hashes binary").join(wanted.select("fp"), "fp", "left_semi").dropDuplicates(["fp"])
-    sets = stage(sets, "near-sets")
+    sets = _texts_sets(pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct(), distinct, docs, width)
     for x in "ab":
         pairs = pairs.join(sets.select(F.col("fp").alias(x), F.col("hashes").alias(f"h{x}")), x)
     return stage(map_arrow(pairs.select("a", "b", "ha", "hb"), _similar(similarity), "a long, b long", batch_rows=200), "near-links")
@@ -380,17 +385,20 @@ class _Entries:
         return self.keys[self.key_bounds[k] : self.key_bounds[k + 1]]
 
 
+#: Up to so many pairs an entry are verified as pairs (whose profiles spare most texts); beyond that a block's entries are compared inside a task.
+FEW_PAIRS = 8
 #: So many pairs are compared at a time.
 PAIRS_AT_ONCE = 100_000
 
 
-def _across(similarity: float):
+def _across(similarity: float, members: bool = False):
     """Of each row's two blocks (or its one) of a posting's entries: the pairs a < b of different roots whose sizes and shared positional bytes reach the minimum.
 
-    Where the lists of least keys show that a pair also meets under a smaller key, it is told there only.
+    Where the lists of least keys show that a pair also meets under a smaller key, it is told there only. With ``members``: one row for each that has such
+    pairs, with its key and blocks; and with the pairs (lists a and b), or, if they are more than FEW_PAIRS an entry, with the entries in them (fps).
     """
 
-    def compared(x: _Entries, y: _Entries, key: np.ndarray, i: np.ndarray, j: np.ndarray) -> Iterator[tuple[int, int]]:
+    def compared(x: _Entries, y: _Entries, key: np.ndarray, i: np.ndarray, j: np.ndarray, row: np.ndarray) -> Iterator[tuple[int, int]]:
         on = np.flatnonzero((x.root[i] != y.root[j]) & _alike(x.n[i], y.n[j], similarity))
         sx, sy = x.sizes(i[on]), y.sizes(j[on])
         for s, t in {*zip(sx.tolist(), sy.tolist(), strict=True)}:
@@ -401,7 +409,8 @@ def _across(similarity: float):
             for k in some[_can_share(x.n[i[some]], y.n[j[some]], most, similarity)].tolist():
                 common = np.intersect1d(x.least(i[k]), y.least(j[k]), assume_unique=True)
                 if not len(common) or common[0] >= key[k]:
-                    yield min(x.fp[i[k]], y.fp[j[k]]), max(x.fp[i[k]], y.fp[j[k]])
+                    pair = min(x.fp[i[k]], y.fp[j[k]]), max(x.fp[i[k]], y.fp[j[k]])
+                    yield (row[k], *pair) if members else pair
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -415,43 +424,154 @@ def _across(similarity: float):
                 if k < batch.num_rows:
                     m, n = x.bounds[k + 1] - x.bounds[k], y.bounds[k + 1] - y.bounds[k]
                     i, j = np.triu_indices(m, 1) if y is x else (np.repeat(np.arange(m), n), np.tile(np.arange(n), m))
-                    waiting.append((np.full(len(i), keys[k]), i + x.bounds[k], j + y.bounds[k]))
+                    waiting.append((np.full(len(i), keys[k]), i + x.bounds[k], j + y.bounds[k], np.full(len(i), k)))
+            if members:
+                pairs = np.array(sorted(found), np.int64).reshape(-1, 3)
+                rows, starts = np.unique(pairs[:, 0], return_index=True)
+                lists = {"a": [], "b": [], "fps": []}
+                for part in np.split(pairs[:, 1:], starts[1:]) if len(rows) else []:
+                    fps = np.unique(part)
+                    few = len(part) <= FEW_PAIRS * len(fps)
+                    for name, values in (("a", part[:, 0] if few else fps[:0]), ("b", part[:, 1] if few else fps[:0]), ("fps", fps[:0] if few else fps)):
+                        lists[name].append(values)
+                columns = [batch.column(c).take(pa.array(rows)) for c in ("key", "xat", "yat")]
+                yield pa.record_batch([*columns, *(pa.array(x, pa.list_(pa.int64())) for x in lists.values())], names=["key", "xat", "yat", *lists])
+                continue
             a, b = zip(*sorted(found), strict=True) if found else ([], [])
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
 
-def _open_pairs(left: DataFrame, entries: DataFrame, similarity: float, block: int) -> DataFrame:
-    """Every pair a < b of one posting's entries (key, fp, root) that are of different roots and reach the minimum on their coarse profiles (fp, n, coarse).
+def _least_keys(left: DataFrame) -> DataFrame:
+    """fp and the least of its open keys."""
+    return left.groupBy("fp").agg(F.slice(F.array_sort(F.collect_set("key")), 1, LEAST_KEYS).alias("least"))
+
+
+def _blocks(left: DataFrame, entries: DataFrame, block: int, turn: int = 0, pure: bool = True) -> DataFrame:
+    """The postings' entries (key, fp, root, with n, coarse and least of ``entries``) in blocks: key, single, at, xs.
 
-    A posting of more than ``block`` entries is cut into blocks of about as many, and blocks meet in pairs, so no row and no task holds a long posting. A
-    component with more entries than that in a posting has blocks of its own, which don't meet one another.
+    A posting of more than ``block`` entries is cut into blocks of about as many, others at each ``turn``, so no row and no task holds a long posting. A
+    component with more entries than that in a posting has blocks of its own with ``pure``, which needn't meet one another.
     """
     long = stage(left.groupBy("key").agg(F.count("*").alias("_m")).where(F.col("_m") > block), "near-long")
-    big = left.join(long.select("key"), "key").groupBy("key", "root").agg(F.count("*").alias("_n")).where(F.col("_n") > block)
+    big = left.join(long.select("key"), "key").groupBy("key", "root").agg(F.count("*").alias("_n")).where((F.col("_n") > block) & F.lit(pure))
     big = stage(big, "near-big")
     rest = long.join(big.groupBy("key").agg(F.sum("_n").alias("_out")), "key", "left").select("key", (F.col("_m") - F.coalesce("_out", F.lit(0))).alias("_m"))
-    least = left.groupBy("fp").agg(F.slice(F.array_sort(F.collect_set("key")), 1, LEAST_KEYS).alias("least"))
-    payload = entries.join(least, "fp").select("fp", "n", "coarse", "least")
-    placed = left.join(rest, "key", "left").join(big, ["key", "root"], "left").join(payload, "fp")
+    placed = left.join(rest, "key", "left").join(big, ["key", "root"], "left").join(entries, "fp")
     parts = F.greatest(F.ceil(F.coalesce("_n", "_m", F.lit(1)) / block), F.lit(1))
-    at = F.struct(F.col("_n").isNotNull().alias("pure"), F.when(F.col("_n").isNotNull(), F.col("root")).otherwise(0).alias("tag"), F.pmod(F.xxhash64("fp"), parts).alias("part"))
+    at = F.struct(F.col("_n").isNotNull().alias("pure"), F.when(F.col("_n").isNotNull(), F.col("root")).otherwise(0).alias("tag"), F.pmod(F.xxhash64("fp", "key", F.lit(turn)), parts).alias("part"))
     blocks = placed.select("key", F.col("_m").isNull().alias("single"), at.alias("at"), F.struct("fp", "root", "n", "coarse", "least").alias("e"))
-    blocks = stage(blocks.groupBy("key", "single", "at").agg(F.collect_list("e").alias("xs")), "near-blocks")
-    alone = map_arrow(blocks.where("single").select("key", "xs"), _across(similarity), "a long, b long", batch_rows=500)
+    return stage(blocks.groupBy("key", "single", "at").agg(F.collect_list("e").alias("xs")), "near-blocks")
+
+
+def _met(blocks: DataFrame) -> DataFrame:
+    """The pairs of different blocks of one posting, and each mixed block with itself: key, xat, yat, xs, ys."""
     x, y = (blocks.where("not single").select("key", F.col("at").alias(f"{c}at"), F.col("xs").alias(f"{c}s")) for c in "xy")
     apart = (F.col("xat") <= F.col("yat")) & ~(F.col("xat.pure") & F.col("yat.pure") & (F.col("xat.tag") == F.col("yat.tag")))
-    met = map_arrow(x.join(y, "key").where(apart).select("key", "xs", "ys"), _across(similarity), "a long, b long", batch_rows=50)
+    return x.join(y, "key").where(apart)
+
+
+def _open_pairs(left: DataFrame, entries: DataFrame, similarity: float, block: int) -> DataFrame:
+    """Every pair a < b of one posting's entries (key, fp, root) that are of different roots and reach the minimum on their coarse profiles (fp, n, coarse).
+
+    Their number grows with the square of a group, so :func:`link_similar` doesn't make them; it sees the same pairs inside tasks (:func:`_links_within`).
+    """
+    blocks = _blocks(left, entries.join(_least_keys(left), "fp"), block)
+    alone = map_arrow(blocks.where("single").select("key", "xs"), _across(similarity), "a long, b long", batch_rows=500)
+    met = map_arrow(_met(blocks).select("key", "xs", "ys"), _across(similarity), "a long, b long", batch_rows=50)
     return alone.unionAll(met)
 
 
+def shared_counts(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """How many members each two of these sets (of distinct members) share."""
+    everything = np.concatenate([np.empty(0, np.uint64), *sets])
+    values, place, times = np.unique(everything, return_inverse=True, return_counts=True)
+    # Members of one set only are shared by none; the others are numbered anew.
+    number = np.where(times > 1, np.cumsum(times > 1) - 1, -1)[place]
+    row = np.repeat(np.arange(len(sets)), [len(h) for h in sets])
+    row, number = row[number >= 0], number[number >= 0]
+    order = np.argsort(number, kind="stable")
+    row, number = row[order], number[order]
+    both = np.zeros((len(sets), len(sets)), np.float64)
+    for at in range(0, int((times > 1).sum()), columns):
+        lo, hi = np.searchsorted(number, [at, at + columns])
+        table = np.zeros((len(sets), columns), np.float32)
+        table[row[lo:hi], number[lo:hi] - at] = 1
+        both += table @ table.T
+    both = np.rint(both).astype(np.int64)
+    np.fill_diagonal(both, [len(h) for h in sets])
+    return both
+
+
+def _forest(similarity: float):
+    """Of each row's entries (fp, root, hashes): pairs that are similar enough and connect all whom such pairs of them connect, none in vain."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for row in range(batch.num_rows):
+                entries = batch.column("es")[row].values
+                fp, root = entries.field("fp").to_numpy(), entries.field("root").to_numpy()
+                both = shared_counts([np.frombuffer(h.as_buffer(), np.uint64) for h in entries.field("hashes")])
+                n = both.diagonal()
+                like = both >= np.ceil(similarity * (n[:, None] + n[None, :] - both) - 1e-9)
+                place, left = np.unique(root, return_inverse=True)[1], len(np.unique(root))
+                up = list(range(left))
+                a, b = np.nonzero(np.triu(like & (place[:, None] != place[None, :])))
+                for i, j in zip(a.tolist(), b.tolist(), strict=True):
+                    x, y = place[i], place[j]
+                    while up[x] != x:
+                        up[x] = x = up[up[x]]
+                    while up[y] != y:
+                        up[y] = y = up[up[y]]
+                    if x != y:
+                        up[max(x, y)] = min(x, y)
+                        found.append((min(fp[i], fp[j]), max(fp[i], fp[j])))
+                        left -= 1
+                        if left == 1:
+                            break
+            a, b = zip(*found, strict=True) if found else ([], [])
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return run
+
+
+def _links_within(rows: DataFrame, left: DataFrame, distinct: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
+    """Edges that connect the entries of each row (key, xat, yat, xs and ys, or xs alone) which similar pairs of them connect.
+
+    The profiles say which entries have a possible partner there. Where such pairs are at most FEW_PAIRS an entry, they are verified as pairs. Else the
+    entries are read again, and all pairs of them are compared inside a task, which tells a spanning forest. So the rows made grow with the entries, whatever the number of pairs.
+    """
+    kind = dict(rows.dtypes)
+    schema = f"key long, xat {kind['xat']}, yat {kind['yat']}, a array<long>, b array<long>, fps array<long>"
+    met = stage(map_arrow(rows, _across(similarity, members=True), schema, batch_rows=50 if "ys" in kind else 500), "near-met-blocks")
+    few = met.select(F.explode(F.arrays_zip("a", "b")).alias("p")).select("p.a", "p.b").distinct()
+    edges = _verified(few, distinct, docs, width, similarity)
+    asked = met.select("key", "xat", "yat", F.explode("fps").alias("fp"))
+    if asked.isEmpty():
+        return edges
+    sets = _texts_sets(asked.select("fp").distinct(), distinct, docs, width)
+    entries = asked.join(sets, "fp").join(left.select("fp", "root").distinct(), "fp")
+    entries = entries.groupBy("key", "xat", "yat").agg(F.collect_list(F.struct("fp", "root", "hashes")).alias("es"))
+    return edges.unionByName(stage(map_arrow(entries.select("es"), _forest(similarity), "a long, b long", batch_rows=20).distinct(), "near-forest"))
+
+
+def _still_open(shared: DataFrame, edges: DataFrame) -> DataFrame:
+    """The postings (key, fp) with entries of different components, each entry with its root."""
+    roots = stage(components(edges), "near-first-roots").withColumnRenamed("node", "fp")
+    named = shared.select("key", "fp").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    split = named.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi").select("key")
+    return stage(named.join(split, "key"), "near-open")
+
+
 def link_similar(distinct: DataFrame, docs: DataFrame, width: int, similarity: float, block: int = 128) -> DataFrame:
     """Edges a, b between entries (fp, row_key, n_shingles, prefix, profile, coarse) of ``docs`` that connect all those whose shingle similarity is high enough.
 
     First every entry is compared with two heads: of the smallest entries of its postings, the one with which it shares most postings, and the smallest.
     That gathers a group of near copies with few comparisons, whatever its size. Then all entries of one
-    posting that are not connected yet are compared, block by block (:func:`_open_pairs`), whatever the posting's length.
+    posting that are not connected yet are compared, whatever the posting's length: short postings whole; long ones block by block, twice within blocks (dealt
+    anew the second time, which connects large groups), then those that are open still between all blocks. Tasks tell the edges of spanning forests only.
     """
     keys = map_arrow(distinct.select("fp", "prefix"), _prefix_keys, "fp long, key long")
     shared = keys.repartition("key").sortWithinPartitions("key", "fp")
@@ -461,12 +581,25 @@ def link_similar(distinct: DataFrame, docs: DataFrame, width: int, similarity: f
     heads = tally.groupBy("fp").agg(F.max_by("head", F.struct("n", "head")).alias("near"), F.min("head").alias("low"))
     pairs = heads.select(F.explode(F.array_distinct(F.array("near", "low"))).alias("a"), F.col("fp").alias("b"))
     edges = _verified(pairs, distinct, docs, width, similarity)
-    roots = stage(components(edges), "near-first-roots").withColumnRenamed("node", "fp")
-    named = shared.select("key", "fp").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    split = named.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi").select("key")
-    left = stage(named.join(split, "key"), "near-open")
-    rest = stage(_open_pairs(left, distinct.select("fp", F.col("n_shingles").alias("n"), "coarse"), similarity, block).distinct(), "near-pairs")
-    return edges.unionByName(_verified(rest, distinct, docs, width, similarity))
+    left = _still_open(shared, edges)
+    # A pair is told under the least key that both have, of those open at first: short postings are done in the first turn, long ones stay until all their blocks have met.
+    entries = distinct.select("fp", F.col("n_shingles").alias("n"), "coarse").join(_least_keys(left), "fp")
+    entries = stage(entries, "near-entries")
+    within = lambda blocks: blocks.select("key", F.col("at").alias("xat"), F.col("at").alias("yat"), "xs")
+    long = None
+    for turn in range(3):
+        # Within blocks dealt anew, pairs are told under any key: the more of a large group's entries meet.
+        blocks = _blocks(left, entries.withColumn("least", F.array().cast("array<long>")) if turn == 1 else entries, block, turn, pure=turn == 2)
+        rows = within(blocks) if turn < 2 else _met(blocks)
+        edges = edges.unionByName(_links_within(rows, left, distinct, docs, width, similarity))
+        if turn == 0:
+            long = stage(blocks.where("not single").select("key").distinct(), "near-long-keys")
+        if turn == 2 or long.isEmpty():
+            break
+        left = _still_open(shared.join(long, "key"), edges)
+        if left.isEmpty():
+            break
+    return edges
 
 
 def _groups(docs: DataFrame, width: int, similarity: float) -> tuple[DataFrame, DataFrame]:

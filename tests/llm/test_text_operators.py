@@ -440,6 +440,32 @@ def test_ties_to_one_member_of_a_large_group(spark):
     assert [got[k] for k in range(len(texts))] == want
 
 
+def test_pairs_of_a_dense_group_stay_within_tasks(spark, monkeypatch):
+    """Texts with two words changed each, most of them just below the similarity and many above it, none near to all: the groups are right, and no table of pairs grows with the square."""
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(150)]
+    texts = []
+    for k in range(900):
+        w = list(words)
+        for j in rng.sample(range(5, 145), 2):
+            w[j] = f"x{k}y{j}"
+        texts.append(" ".join(w))
+    want, similarity = brute_groups(texts)
+    assert (similarity >= 0.7).sum() > 500_000 and (similarity >= 0.8).sum() > 50_000
+    rows, write = {}, simhash.stage
+
+    def stage(df, name):
+        out = write(df, name)
+        rows[name] = max(rows.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(simhash, "stage", stage)
+    got = {r.doc_id: r.group_id for r in simhash.near_duplicate_groups(docs(spark, list(enumerate(texts)))).collect()}
+    assert [got[k] for k in range(len(texts))] == want
+    most = max(n for name, n in rows.items() if name not in ("near-postings", "near-open"))
+    assert most < 10 * len(texts), most
+
+
 def test_pairs_right_around_the_similarity(spark):
     """Isolated pairs with similarities from 0.76 to 0.85: as brute force has it, none missed and none linked in vain."""
     rng = random.Random(8)
