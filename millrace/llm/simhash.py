@@ -175,6 +175,8 @@ BROADCAST_ROWS = 2_000_000
 MOST_POSITIONS, COARSE = 8192, 128
 #: So many of an entry's open keys go with it, so that a pair is told in one posting.
 LEAST_KEYS = 8
+#: Up to so many edges (16 bytes each) are connected in one task; more of them in distributed steps, each of which is several jobs.
+EDGES_IN_A_TASK = 1_000_000
 
 
 def _needed(n: int, similarity: float) -> int:
@@ -557,9 +559,35 @@ def _links_within(rows: DataFrame, left: DataFrame, distinct: DataFrame, docs: D
     return edges.unionByName(stage(map_arrow(entries.select("es"), _forest(similarity), "a long, b long", batch_rows=20).distinct(), "near-forest"))
 
 
+def _connected(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each node of all these edges a, b, with the smallest node of its component as root."""
+    parts = [(b.column("a").to_numpy(), b.column("b").to_numpy()) for b in batches]
+    a, b = (np.concatenate([np.empty(0, np.int64), *c]) for c in (zip(*parts, strict=True) if parts else ((), ())))
+    nodes, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = place[: len(a)], place[len(a) :]
+    root = np.arange(len(nodes))  # never above the node itself
+    while len(x):
+        low = np.minimum(root[x], root[y])
+        for side in (x, y):
+            np.minimum.at(root, root[side], low)
+        while (root[root] != root).any():
+            root = root[root]
+        apart = root[x] != root[y]
+        x, y = x[apart], y[apart]
+    yield pa.record_batch([pa.array(nodes, pa.int64()), pa.array(nodes[root], pa.int64())], names=["node", "root"])
+
+
+def _roots(edges: DataFrame) -> DataFrame:
+    """:func:`components` of these edges, in one task where they are few: the steps of the other way are some dozens of jobs, whose plans the driver keeps."""
+    edges = stage(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "near-edges")
+    if edges.count() > EDGES_IN_A_TASK:
+        return components(edges)
+    return map_arrow(edges.coalesce(1), _connected, "node long, root long")
+
+
 def _still_open(shared: DataFrame, edges: DataFrame) -> DataFrame:
     """The postings (key, fp) with entries of different components, each entry with its root."""
-    roots = stage(components(edges), "near-first-roots").withColumnRenamed("node", "fp")
+    roots = stage(_roots(edges), "near-first-roots").withColumnRenamed("node", "fp")
     named = shared.select("key", "fp").join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     split = named.groupBy("key").agg(F.min("root").alias("_lo"), F.max("root").alias("_hi")).where("_lo <> _hi").select("key")
     return stage(named.join(split, "key"), "near-open")
@@ -612,7 +640,7 @@ def _groups(docs: DataFrame, width: int, similarity: float) -> tuple[DataFrame,
     chosen = by_fp.select("fp", F.col("first.row_key").alias("row_key"))
     once = rows.join(chosen, ["fp", "row_key"]).dropDuplicates(["fp", "row_key"])
     distinct = stage(once.select("fp", "row_key", "n_shingles", "prefix", "profile", "coarse"), "near-one")
-    roots = stage(components(link_similar(distinct, docs, width, similarity)), "near-roots")
+    roots = stage(_roots(link_similar(distinct, docs, width, similarity)), "near-roots")
     named = by_fp.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     return rows.select("doc_id", "row_key", "fp"), stage(named, "near-named")
 

@@ -399,6 +399,33 @@ def test_a_large_group_of_near_copies(spark):
     assert {r.group_id for r in groups} == {0}
 
 
+@pytest.mark.parametrize("most", [1_000_000, 0])
+def test_few_edges_take_few_jobs(spark, monkeypatch, most):
+    """The same components in one task and in distributed steps; in one task, in two jobs and those of the result."""
+    monkeypatch.setattr(simhash, "EDGES_IN_A_TASK", most)
+    rng = random.Random(7)
+    edges = [(rng.randrange(-150, 150), rng.randrange(-150, 150)) for _ in range(200)]
+    edges += [(1000 + k, 1000) for k in range(1, 400)] + [(2000 + k, 2001 + k) for k in range(300)] + [(5000, k) for k in range(4000, 4300)] + [(9, 9), (7000, 7000)]
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        parent[max(find(a), find(b))] = min(find(a), find(b))
+    frame = spark.createDataFrame(edges, "a long, b long")
+    spark.sparkContext.setJobGroup(f"edges-{most}", "")
+    got = simhash._roots(frame).collect()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"edges-{most}"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(got) == len({x for a, b in edges if a != b for x in (a, b)})
+    assert {r.node: r.root for r in got} == {x: find(x) for a, b in edges if a != b for x in (a, b)}
+    assert jobs <= 6 if most else jobs > 20
+    assert simhash._roots(frame.limit(0)).collect() == []
+
+
 def test_all_open_pairs_of_a_long_posting_meet(spark):
     """A posting of a large component, a middle one and single entries: every pair of different roots, once or more, and no other."""
     root = {k: 0 if k < 300 else 300 if k < 400 else k for k in range(420)}
