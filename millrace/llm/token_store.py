@@ -45,10 +45,11 @@ def cut_points(ids: np.ndarray, mean: int) -> np.ndarray:
     bits = mean.bit_length() - 1
     x = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(_MIX)
     x ^= x >> np.uint64(29)
-    h = np.zeros(max(len(ids) - WINDOW + 1, 0), np.uint64)
-    for k in range(WINDOW):
-        h = h * np.uint64(0x100000001B3) + x[k : k + len(h)]
-    h *= np.uint64(_MIX)
+    h, base, width = x, 0x100000001B3, 1
+    while width < WINDOW:  # WINDOW is a power of two: of two hashes that follow one another, that of both
+        h = h[: max(len(h) - width, 0)] * np.uint64(base) + h[width:]
+        base, width = base * base % (1 << 64), 2 * width
+    h = h * np.uint64(_MIX)
     return np.flatnonzero(h >> np.uint64(64 - bits) == 0) + WINDOW
 
 

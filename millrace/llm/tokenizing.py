@@ -2,7 +2,8 @@
 
 Both supported vocabularies never form a token across certain white space. So a batch of texts is cut
 there into units; each new unit is encoded by the tokenizers library, and a text's ids are the concatenation of its units' ids. Corpora repeat
-their words, so most units come from the cache. A new unit of letters and marks is put together from the units of its parts: pieces also end where letters do, and at
+their words, so most units come from the cache. Full stops and commas after a letter or digit are units of their own, and so are line ends after
+a full stop: else each word is a new unit with each of them. A new unit of letters and marks is put together from the units of its parts: pieces also end where letters do, and at
 single line ends. What is left is encoded many at a time, as one text in which each unit can be found again by the
 number of bytes its tokens stand for; where these don't add up, units are encoded one by one.
 """
@@ -12,9 +13,11 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import chain, islice
+from itertools import chain, islice, repeat
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Units at which the cache is cut back (about 200 bytes each). It then keeps the earliest three fifths, which are the more frequent.
 CACHE_UNITS = 500_000
@@ -23,6 +26,10 @@ LONG_UNIT, CACHE_CHARS = 64, 40_000_000
 #: White space to Python, but not to the tokenizers.
 _CONTROL = "\x1c\x1d\x1e\x1f"
 _JOINED = 2000
+#: Starts a unit that follows the one before it without a space. Texts that hold it are encoded whole.
+_MARK = "\0"
+#: Only after a letter or digit are these pieces of their own; a line end is one between a full stop and what is not white space.
+_STOP, _COMMA, _LINE = f"{_MARK}.", f"{_MARK},", f"{_MARK}\n"
 #: White space that may be one piece; line ends apart from it are pieces of their own.
 _RUN = re.compile(r"\s{3}|\n\s*\Z|\n\n")
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -49,26 +56,38 @@ def release() -> None:
     _ENCODERS.clear()
 
 
-class _NotAUnit(Exception):
-    """A piece that belongs to what comes before it."""
-
-
 class _Index(dict):
     """Unit to number; an unknown unit gets the next number and waits to be encoded. A 1-tuple is a text's first unit, or a whole text."""
 
-    def __init__(self, *args):
+    def __init__(self, marks: bool, *args):
         super().__init__(*args)
+        self.marks = marks
         self.waiting: list[str | tuple[str]] = []
         self.chars = sum(len(u) for u in self)
+        #: Whether a unit ends with a letter or digit.
+        self.closed = bytearray((u if u.__class__ is str else u[0])[-1:].isalnum() for u in self)
 
     def __missing__(self, unit: str | tuple[str]) -> int:
-        if isinstance(unit, str) and (not unit or unit[0].isspace()):
-            raise _NotAUnit
+        text = unit if unit.__class__ is str else unit[0]
         n = self[unit] = len(self)
         self.waiting.append(unit)
-        self.chars += len(unit[0]) if isinstance(unit, tuple) else len(unit)
+        self.chars += len(text)
+        self.closed.append(text[-1:].isalnum())
         return n
 
+    def numbers(self, pieces: list[str]) -> np.ndarray:
+        """The numbers of different pieces; -1 for what is no unit, as it belongs to what comes before it."""
+        known = np.array(list(map(self.get, pieces, repeat(-1))), np.int64)
+        where = np.flatnonzero(known < 0).tolist()
+        where = [k for k in where if (p := pieces[k]) and not (p[1:2] if p[0] == _MARK and p != _LINE else p[0]).isspace() and p != _MARK]
+        new = [pieces[k] for k in where]
+        known[where] = np.arange(len(self), len(self) + len(new))
+        self.update(zip(new, range(len(self), len(self) + len(new)), strict=True))
+        self.waiting += new
+        self.chars += sum(map(len, new))
+        self.closed += bytes([p[-1].isalnum() for p in new])
+        return known
+
 
 class UnitEncoder:
     """``cut='space'`` suits byte-level BPE whose pieces start with their space: a piece starts at any space before a character that is not
@@ -87,7 +106,7 @@ class UnitEncoder:
         sizes |= {t["id"]: len(t["content"].encode()) for t in spec["added_tokens"]}
         self.token_bytes = np.zeros(max(sizes) + 1, np.int64)
         self.token_bytes[list(sizes)] = list(sizes.values())
-        self.index = _Index()
+        self.index = _Index(cut == "space")
         self.pool = np.empty(1 << 20, np.uint32)
         self.used = 0
         self.starts = np.empty(1 << 16, np.int64)
@@ -104,7 +123,7 @@ class UnitEncoder:
         ids = self.pool[np.repeat(starts - (ends - lengths), lengths) + np.arange(self.used)]
         self.pool = np.concatenate([ids, np.empty(1 << 20, np.uint32)])
         self.starts, self.lengths = (np.concatenate([x, np.empty(1 << 16, np.int64)]) for x in (ends - lengths, lengths))
-        self.index = _Index((u, k) for k, (u, _) in enumerate(kept))
+        self.index = _Index(self.index.marks, ((u, k) for k, (u, _) in enumerate(kept)))
 
     def _numbers(self, text: str) -> np.ndarray:
         """The numbers of a text's units."""
@@ -114,18 +133,39 @@ class UnitEncoder:
                 return np.array([get((text,))], np.int64)
             pieces = text.split()
             return np.fromiter(map(get, pieces), np.int64, len(pieces))
+        if _MARK in text:
+            return np.array([get((text,))], np.int64)
         pieces = text.split(" ")
-        first = get((pieces[0],))
-        try:
-            return np.fromiter(chain((first,), map(get, islice(pieces, 1, None))), np.int64, len(pieces))
-        except _NotAUnit:
-            merged = pieces[:1]
-            for p in pieces[1:]:
-                if not p or p[0].isspace():
-                    merged[-1] += " " + p
-                else:
-                    merged.append(p)
-            return np.array([get((merged[0],)), *map(get, merged[1:])], np.int64)
+        merged = pieces[:1]
+        for p in pieces[1:]:
+            if not p or p[0].isspace():
+                merged[-1] += " " + p
+            else:
+                merged.append(p)
+        return np.array([get((merged[0],)), *map(get, merged[1:])], np.int64)
+
+    def _numbers_at_marks(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the units of all texts, cut at spaces and around full stops, commas and line ends, and how many each text has. Each different unit is looked up once.
+
+        Texts in which a piece is no unit, or a full stop, comma or line end follows what may be one piece with it, are cut at spaces only.
+        """
+        marked = ["" if _MARK in t else _MARK + t.replace(". ", f" {_STOP} ").replace(", ", f" {_COMMA} ").replace(".\n", f" {_STOP} {_LINE} {_MARK}") for t in texts]
+        pieces = pc.split_pattern(pa.array(marked, pa.large_string()), " ")
+        counts = np.diff(pieces.offsets.to_numpy())
+        coded = pieces.values.dictionary_encode()
+        units = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist() takes eight times as long
+        numbers = self.index.numbers(units)[coded.indices.to_numpy()]
+        stop, comma, line = (self.index.get(m, -1) for m in (_STOP, _COMMA, _LINE))
+        at, lines = np.flatnonzero((numbers == stop) | (numbers == comma)), np.flatnonzero(numbers == line)
+        closed = np.array(self.index.closed)
+        bad = np.concatenate([np.flatnonzero(numbers < 0), at[closed[numbers[at - 1]] == 0], lines[numbers[lines - 1] != stop]])
+        ends = np.cumsum(counts)
+        if len(rows := np.unique(np.searchsorted(ends, bad, "right"))):
+            per_text = np.split(numbers, ends[:-1])
+            for k in rows.tolist():
+                per_text[k] = self._numbers(texts[k])
+            numbers, counts = np.concatenate(per_text), np.fromiter(map(len, per_text), np.int64, len(texts))
+        return numbers, counts
 
     def _parts(self, unit: str | tuple[str]) -> list[str | tuple[str]] | None:
         """The units that a unit is made of, if it can be told that no token goes over their bounds."""
@@ -155,6 +195,8 @@ class UnitEncoder:
         if not units:
             return
         at = len(self.index) - len(units)
+        if self.index.marks:
+            units = [(u[1:],) if u.__class__ is str and u[0] == _MARK else u for u in units]
         made, parts, plain, odd = [], [], [], []
         get = self.index.__getitem__
         for k, u in enumerate(units):
@@ -183,6 +225,8 @@ class UnitEncoder:
                 self._store(at + np.array(g), ids, np.diff(stops, prepend=-1))
             else:
                 odd += g
+        if self.cut == "space" and self.tokenizer.normalizer is None:
+            odd = self._learn_lines(at, units, odd)
         alone = [units[k][0] if isinstance(units[k], tuple) else lead + units[k] for k in odd]
         found = [e.ids for e in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)]
         if found:
@@ -194,6 +238,23 @@ class UnitEncoder:
             ids, lengths = self._gather(each)
             self._store(np.array(made), ids, np.add.reduceat(lengths, np.cumsum(counts) - counts))
 
+    def _learn_lines(self, at: int, units: list[str | tuple[str]], odd: list[int]) -> list[int]:
+        """Encode those of the ``odd`` units that are letters without a space as lines of joined texts: no token goes over a line end there. Returns the others."""
+        lines = [k for k in odd if units[k].__class__ is tuple and units[k][0].isalpha()]
+        groups = [lines[k : k + _JOINED] for k in range(0, len(lines), _JOINED)]
+        texts = ["\n".join([units[k][0] for k in g]) for g in groups]
+        done: set[int] = set()
+        for g, text, e in zip(groups, texts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+            ids, data = np.array(e.ids, np.uint32), np.frombuffer(text.encode(), np.uint8)
+            ends = np.cumsum(self.token_bytes[ids])
+            wanted = np.append(np.flatnonzero(data == 10), len(data))
+            stops = np.searchsorted(ends, wanted)
+            breaks = stops[:-1] + 1
+            if stops[-1] == len(ids) - 1 and (ends[stops] == wanted).all() and (ends[breaks] == wanted[:-1] + 1).all():
+                self._store(at + np.array(g), np.delete(ids, breaks), np.diff(stops, prepend=-1) - np.append(0, np.ones(len(breaks), np.int64)))
+                done.update(g)
+        return [k for k in odd if k not in done]
+
     def _gather(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of units, one after another, and how many each has."""
         lengths = self.lengths[numbers]
@@ -223,10 +284,13 @@ class UnitEncoder:
         """All ids of the texts, each text's followed by ``end_id``, and the number of ids of each."""
         if len(self.index) > self.most_units or self.index.chars > CACHE_CHARS:
             self._cut_back()
-        per_text = [self._numbers(t) for t in texts]
+        if self.index.marks and texts:
+            where, counts = self._numbers_at_marks(texts)
+        else:
+            per_text = [self._numbers(t) for t in texts]
+            counts = np.fromiter(map(len, per_text), np.int64, len(texts))
+            where = np.concatenate(per_text) if texts else np.empty(0, np.int64)
         self._learn()
-        counts = np.fromiter(map(len, per_text), np.int64, len(texts))
-        where = np.concatenate(per_text) if texts else np.empty(0, np.int64)
         body, lengths = self._gather(where)
         ends = np.cumsum(lengths)
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]

@@ -30,6 +30,22 @@ def test_units_equal_whole_texts(name, cut):
         at += n
 
 
+def test_stops_commas_and_line_ends_make_no_new_units():
+    """A word is one unit whatever follows it; where a full stop or comma may be one piece with what is before it, ids are those of the whole text."""
+    enc = tokenizing.UnitEncoder(tokenizing.public_path("byte_bpe_50k.json"), "space")
+    rng = random.Random(6)
+    words = sorted({"".join(rng.choice("abcdeé") for _ in range(8)) for _ in range(500)})
+    text = "".join(f"{w} {w}. {w}, {w}.\nThe " for w in words) + "end"
+    bits = [". ", ", ", ".\n", "\n", " ", "a", "½", "_", ")", "'s", ".", ",", "\0", "\u00b2", "中", "\u0301", "  ", "\x1c", "...", "Word"]
+    texts = [text, ". a", ", a", ".\na", ".", "\n", ".\n", ".\n\na", "a.\n b", "a).\nb. c_, d"] + ["".join(rng.choice(bits) for _ in range(rng.randint(0, 30))) for _ in range(4000)]
+    for some in ([text], texts, texts):
+        ids, sizes = enc.encode(some, 7)
+        assert len(some) > 1 or len(enc.index) < len(words) + 20
+        ends = np.cumsum(sizes)
+        for t, end, n in zip(some, ends.tolist(), sizes.tolist(), strict=True):
+            assert ids[end - n : end].tolist() == [*enc.tokenizer.encode(t, add_special_tokens=False).ids, 7], t
+
+
 def test_cache_cut_back():
     enc = tokenizing.UnitEncoder(tokenizing.public_path("byte_bpe_50k.json"), "space", most_units=20)
     for k in range(20):
