@@ -1,11 +1,11 @@
 """Operator 8: a content-addressed store of token ids.
 
 Each text's ids (its end id appended) are cut where a rolling hash of the last WINDOW ids says so, so equal passages give equal chunks
-wherever they stand. A chunk is addressed by the SHA-256 of its ids and stored once. A document's recipe lists its
+wherever they stand. A chunk is addressed by the SHA-256 of its 32-bit ids and stored once. A document's recipe lists its
 chunks; the root of a Merkle tree over them is in the recipe, and manifests hold Merkle roots over the recipes of each recipe part and over all
 parts. Recipes are in ascending doc_id order.
 
-The folder: ``store`` (Parquet: digest, n, payload = zstd of little-endian 32-bit ids), ``recipes`` (Parquet: doc_id, _part, _pos, n_tokens,
+The folder: ``store`` (Parquet: digest, n, payload = zstd of the n ids, little-endian, of 16 bits or, if one doesn't fit, 32), ``recipes`` (Parquet: doc_id, _part, _pos, n_tokens,
 digests, ends, root) and ``manifest`` (Parquet: _part, n_docs, n_tokens, root; part -1 holds the root over the others).
 
 Reading checks every chunk against its address and every root against the manifests. A document's checksum follows from its chunks'
@@ -30,8 +30,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm._common import map_arrow, running_start, scratch, skew_join, stage
-from millrace.llm.tokenizing import encoder, text_slices
+from millrace.llm._common import map_arrow, running_start, scratch, skew_join, stage, trim
+from millrace.llm.tokenizing import encoder, release, text_slices
 
 WINDOW = 8
 _MIX = 0x9E3779B97F4A7C15
@@ -82,9 +82,9 @@ def _encode(tokenizer: str, cut: str, end_id: int, mean: int, least: int, most:
         seen: set[bytes] = set()  # of this task, to send few copies of a common chunk
         for batch in batches:
             doc_ids, at = batch.column("doc_id").to_pylist(), 0
-            for texts in text_slices(batch.column("text").to_pylist()):
-                ids, sizes = enc.encode(texts, end_id)
+            for ids, sizes in enc.encode_slices(text_slices(batch.column("text").to_pylist()), end_id):
                 ids = ids.astype("<u4")
+                short = ids.astype("<u2") if len(ids) and ids.max() < 1 << 16 else ids
                 rows, begin = [], 0
                 cuts = cut_points(ids, mean)  # those within WINDOW ids of a document's start are of two documents
                 low = np.searchsorted(cuts, np.cumsum(sizes) - sizes + WINDOW)
@@ -100,26 +100,29 @@ def _encode(tokenizer: str, cut: str, end_id: int, mean: int, least: int, most:
                             if len(seen) > 2_000_000:
                                 seen.clear()
                             seen.add(d)
-                            rows.append(("chunk", None, e - s, None, None, None, d, squeeze.compress(data)))
+                            rows.append(("chunk", None, e - s, None, None, None, d, squeeze.compress(short[begin + s : begin + e].tobytes())))
                     rows.append(("recipe", doc_ids[at + k], n, b"".join(digests), bounds[1:], merkle_root(digests), None, None))
                     begin += n
-                at += len(texts)
+                at += len(sizes)
                 cols = list(zip(*rows, strict=True)) if rows else [[]] * len(_RAW_ARROW)
                 yield pa.record_batch([pa.array(c, f.type) for c, f in zip(cols, _RAW_ARROW, strict=True)], schema=_RAW_ARROW)
 
     return run
 
 
-def _first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """All recipes, and of equal chunks the first."""
+@F.pandas_udf(T.BooleanType())
+def _is_first(digests: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    """True for all recipes (null), and of a task's equal chunks for the first. The token caches are done with."""
+    if release():
+        trim()
     seen: set[bytes] = set()
-    for batch in batches:
+    for batch in digests:
         keep = []
-        for d in batch.column("digest").to_pylist():
+        for d in batch:
             keep.append(d is None or d not in seen)
             if d is not None:
                 seen.add(d)
-        yield batch.filter(pa.array(keep))
+        yield pd.Series(keep, dtype=bool)
 
 
 @F.pandas_udf(T.BinaryType())
@@ -138,7 +141,8 @@ def write_store(docs: DataFrame, path: str, tokenizer: str = "byte_bpe_50k.json"
     raw = map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), _encode(tokenizer, cut, end_id, mean, least, most), _RAW, encodes=True, batch_rows=10000, give_back=False)
     # One shuffle brings equal chunks together; recipes, which need no meeting, are spread by their content.
     key = F.coalesce("digest", F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "digests")).cast("binary"))
-    once = map_arrow(raw.repartition(F.xxhash64(key)), _first_of_each, _RAW, encodes=True, batch_rows=10000)
+    # What is first is not the same below that shuffle, so the filter must stay above it; Python gets the digests alone.
+    once = raw.repartition(F.xxhash64(key)).where(_is_first.asNondeterministic()("digest"))
     once.write.option("compression", "uncompressed").parquet(f"{path}/store")
     recipes = spark.read.schema(_RAW).parquet(f"{path}/store").where("kind = 'recipe'")
     recipes = recipes.select("doc_id", F.col("n").alias("n_tokens"), "digests", "ends", "root")
@@ -158,17 +162,22 @@ def _manifest(recipes: DataFrame) -> DataFrame:
     return parts.unionByName(top.select("_part", "n_docs", "n_tokens", _merkle_list("_r").alias("root")))
 
 
+def _chunk_ids(expand: zstandard.ZstdDecompressor, payload: bytes, n: int) -> np.ndarray:
+    """The ``n`` ids of a stored chunk."""
+    data = expand.decompress(payload)
+    return np.frombuffer(data, "<u2" if len(data) == 2 * n else "<u4").astype("<u4", copy=False)
+
+
 def _check_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     expand = zstandard.ZstdDecompressor()
     for batch in batches:
-        digests, ns, sums = batch.column("digest"), [], []
-        for d, payload in zip(digests.to_pylist(), batch.column("payload").to_pylist(), strict=True):
-            data = expand.decompress(payload)
-            if hashlib.sha256(data).digest() != d:
+        digests, ns, sums = batch.column("digest"), batch.column("n"), []
+        for d, n, payload in zip(digests.to_pylist(), ns.to_pylist(), batch.column("payload").to_pylist(), strict=True):
+            ids = _chunk_ids(expand, payload, n)
+            if len(ids) != n or hashlib.sha256(ids).digest() != d:
                 raise ValueError(f"the chunk stored as {d.hex()} has other ids")
-            ns.append(len(data) // 4)
-            sums.append(zlib.crc32(data))
-        yield pa.record_batch([digests, pa.array(ns, pa.int64()), pa.array(sums, pa.int64())], names=["digest", "n", "crc"])
+            sums.append(zlib.crc32(ids))
+        yield pa.record_batch([digests, ns, pa.array(sums, pa.int64())], names=["digest", "n", "crc"])
 
 
 def _zero_operators() -> list[np.ndarray]:
@@ -215,7 +224,7 @@ def read_recipes(spark: SparkSession, path: str) -> DataFrame:
 def verify_documents(spark: SparkSession, path: str) -> DataFrame:
     """Per document of the folder: doc_id, start, n_tokens, ids_crc32, from the stored chunks."""
     recipes = running_start(read_recipes(spark, path), "n_tokens", "start")
-    chunks = spark.read.schema(_RAW).parquet(f"{path}/store").where("kind = 'chunk'").select("digest", "payload")
+    chunks = spark.read.schema(_RAW).parquet(f"{path}/store").where("kind = 'chunk'").select("digest", "n", "payload")
     chunks = stage(map_arrow(chunks, _check_chunks, "digest binary, n long, crc long"), "chunk-sums")
     before = lambda i: F.when(i > 0, F.get("ends", i - 1)).otherwise(0)
     parts = F.transform(
@@ -239,15 +248,15 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     recipes = read_recipes(spark, path)
     parts = F.transform("ends", lambda e, i: F.substring(F.col("digests"), i * DIGEST + 1, F.lit(DIGEST)))
     wanted = recipes.select("_pos", "doc_id", F.posexplode(parts).alias("i", "digest"))
-    chunks = spark.read.schema(_RAW).parquet(f"{path}/store").where("kind = 'chunk'").select("digest", "payload")
+    chunks = spark.read.schema(_RAW).parquet(f"{path}/store").where("kind = 'chunk'").select("digest", F.struct("n", "payload").alias("stored"))
     uses = wanted.groupBy("digest").agg(F.count("*").alias("uses"))
     table = stage(chunks.join(uses, "digest"), "chunk-payloads")
-    joined = skew_join(wanted, table, ["digest"], "uses", table.agg(F.sum("uses")).first()[0] or 0).groupBy("_pos", "doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "payload"))), lambda x: x["payload"]).alias("p"))
+    joined = skew_join(wanted, table, ["digest"], "uses", table.agg(F.sum("uses")).first()[0] or 0).groupBy("_pos", "doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "stored"))), lambda x: x["stored"]).alias("p"))
 
     @F.pandas_udf("array<long>")
-    def unpack(payloads: pd.Series) -> pd.Series:
+    def unpack(chunks: pd.Series) -> pd.Series:
         expand = zstandard.ZstdDecompressor()
-        return payloads.map(lambda ps: np.frombuffer(b"".join(expand.decompress(bytes(p)) for p in ps), "<u4").astype(np.int64))
+        return chunks.map(lambda cs: np.concatenate([_chunk_ids(expand, bytes(c["payload"]), c["n"]) for c in cs]).astype(np.int64))
 
     return joined.select("doc_id", unpack("p").alias("ids"))
 

@@ -2,7 +2,7 @@
 
 Both supported vocabularies never form a token across certain white space. So a batch of texts is cut
 there into units; each new unit is encoded by the tokenizers library, and a text's ids are the concatenation of its units' ids. Corpora repeat
-their words, so most units come from the cache. Full stops and commas after a letter or digit are units of their own, and so are line ends after
+their words, so most units come from the cache, where slices of texts look up theirs together. Full stops and commas after a letter or digit are units of their own, and so are line ends after
 a full stop: else each word is a new unit with each of them. A new unit of letters and marks is put together from the units of its parts: pieces also end where letters do, and at
 single line ends. What is left is encoded many at a time, as one text in which each unit can be found again by the
 number of bytes its tokens stand for; where these don't add up, units are encoded one by one.
@@ -13,7 +13,8 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import chain, islice, repeat
+from collections.abc import Iterable, Iterator
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,10 @@ import pyarrow.compute as pc
 CACHE_UNITS = 500_000
 #: Units of more characters (texts without blanks, whole lines of Chinese) are forgotten when the cache is cut back, which also happens once units of all lengths together have so many characters.
 LONG_UNIT, CACHE_CHARS = 64, 40_000_000
+#: Slices of texts of about so many characters together are looked up at once: a unit of several of them is looked up once.
+TOGETHER = 12_000_000
+#: Characters that are given to the tokenizers library at once, as its results take some 100 bytes a token.
+_GIVEN = 200_000
 #: White space to Python, but not to the tokenizers.
 _CONTROL = "\x1c\x1d\x1e\x1f"
 _JOINED = 2000
@@ -51,9 +56,11 @@ def encoder(name: str, cut: str, most_units: int = CACHE_UNITS) -> "UnitEncoder"
     return _ENCODERS[key]
 
 
-def release() -> None:
-    """Free this process's encoders: a worker calls it when it turns to other work."""
+def release() -> bool:
+    """Free this process's encoders: a worker calls it when it turns to other work. Tells whether there were any."""
+    had = bool(_ENCODERS)
     _ENCODERS.clear()
+    return had
 
 
 class _Index(dict):
@@ -63,7 +70,7 @@ class _Index(dict):
         super().__init__(*args)
         self.marks = marks
         self.waiting: list[str | tuple[str]] = []
-        self.chars = sum(len(u) for u in self)
+        self.chars = sum(len(u if u.__class__ is str else u[0]) for u in self)
         #: Whether a unit ends with a letter or digit.
         self.closed = bytearray((u if u.__class__ is str else u[0])[-1:].isalnum() for u in self)
 
@@ -75,6 +82,16 @@ class _Index(dict):
         self.closed.append(text[-1:].isalnum())
         return n
 
+    def keep(self, most: int) -> None:
+        """Forget all units but the earliest ``most``, whose numbers stay."""
+        while len(self) > most:
+            unit, _ = self.popitem()
+            self.chars -= len(unit if unit.__class__ is str else unit[0])
+        del self.closed[most:]
+        kept = dict(self)  # a table from which was popped doubles although there is room
+        self.clear()
+        self.update(kept)
+
     def numbers(self, pieces: list[str]) -> np.ndarray:
         """The numbers of different pieces; -1 for what is no unit, as it belongs to what comes before it."""
         known = np.array(list(map(self.get, pieces, repeat(-1))), np.int64)
@@ -113,9 +130,14 @@ class UnitEncoder:
         self.lengths = np.empty(1 << 16, np.int64)
 
     def _cut_back(self) -> None:
-        """Keep the earliest units that aren't long, under new numbers, and their ids only."""
+        """Keep the earliest units and their ids only; if they have many characters, those that aren't long, under new numbers."""
+        self.index.keep(self.most_units * 3 // 5)
+        n = len(self.index)
+        self.used = int((self.starts[:n] + self.lengths[:n]).max()) if n else 0
+        if self.index.chars <= CACHE_CHARS // 4:
+            return
         size = lambda u: len(u[0]) if isinstance(u, tuple) else len(u)
-        kept = [(u, n) for u, n in islice(self.index.items(), self.most_units * 3 // 5) if size(u) <= LONG_UNIT]
+        kept = [(u, n) for u, n in self.index.items() if size(u) <= LONG_UNIT]
         old = np.array([n for _, n in kept], np.int64)
         starts, lengths = self.starts[old], self.lengths[old]
         ends = np.cumsum(lengths)
@@ -144,28 +166,36 @@ class UnitEncoder:
                 merged.append(p)
         return np.array([get((merged[0],)), *map(get, merged[1:])], np.int64)
 
-    def _numbers_at_marks(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The numbers of the units of all texts, cut at spaces and around full stops, commas and line ends, and how many each text has. Each different unit is looked up once.
+    def _numbers_at_marks(self, slices: list[list[str]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each slice the numbers of the units of all its texts, cut at spaces and around full stops, commas and line ends, and how many each text has. Each different unit of all slices is looked up once.
 
         Texts in which a piece is no unit, or a full stop, comma or line end follows what may be one piece with it, are cut at spaces only.
         """
-        marked = ["" if _MARK in t else _MARK + t.replace(". ", f" {_STOP} ").replace(", ", f" {_COMMA} ").replace(".\n", f" {_STOP} {_LINE} {_MARK}") for t in texts]
-        pieces = pc.split_pattern(pa.array(marked, pa.large_string()), " ")
-        counts = np.diff(pieces.offsets.to_numpy())
-        coded = pieces.values.dictionary_encode()
-        units = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist() takes eight times as long
-        numbers = self.index.numbers(units)[coded.indices.to_numpy()]
+        counts, coded = [], []
+        for texts in slices:
+            marked = pa.array(["" if _MARK in t else t for t in texts], pa.large_string())
+            for what, cut in ((". ", f" {_STOP} "), (", ", f" {_COMMA} "), (".\n", f" {_STOP} {_LINE} {_MARK}")):
+                marked = pc.replace_substring(marked, what, cut)
+            marked = pc.binary_join_element_wise(pa.scalar(_MARK, pa.large_string()), marked, pa.scalar("", pa.large_string()))
+            pieces = pc.split_pattern(marked, " ")
+            counts.append(np.diff(pieces.offsets.to_numpy()))
+            coded.append(pieces.values.dictionary_encode())
+        every = pa.concat_arrays([c.dictionary for c in coded]).dictionary_encode()
+        units = every.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist() takes eight times as long
+        known = np.split(self.index.numbers(units)[every.indices.to_numpy()], np.cumsum([len(c.dictionary) for c in coded])[:-1])
         stop, comma, line = (self.index.get(m, -1) for m in (_STOP, _COMMA, _LINE))
-        at, lines = np.flatnonzero((numbers == stop) | (numbers == comma)), np.flatnonzero(numbers == line)
-        closed = np.array(self.index.closed)
-        bad = np.concatenate([np.flatnonzero(numbers < 0), at[closed[numbers[at - 1]] == 0], lines[numbers[lines - 1] != stop]])
-        ends = np.cumsum(counts)
-        if len(rows := np.unique(np.searchsorted(ends, bad, "right"))):
-            per_text = np.split(numbers, ends[:-1])
-            for k in rows.tolist():
-                per_text[k] = self._numbers(texts[k])
-            numbers, counts = np.concatenate(per_text), np.fromiter(map(len, per_text), np.int64, len(texts))
-        return numbers, counts
+        for texts, count, code, own in zip(slices, counts, coded, known, strict=True):
+            numbers = own[code.indices.to_numpy()]
+            at, lines = np.flatnonzero((numbers == stop) | (numbers == comma)), np.flatnonzero(numbers == line)
+            closed = np.array(self.index.closed)
+            bad = np.concatenate([np.flatnonzero(numbers < 0), at[closed[numbers[at - 1]] == 0], lines[numbers[lines - 1] != stop]])
+            ends = np.cumsum(count)
+            if len(rows := np.unique(np.searchsorted(ends, bad, "right"))):
+                per_text = np.split(numbers, ends[:-1])
+                for k in rows.tolist():
+                    per_text[k] = self._numbers(texts[k])
+                numbers, count = np.concatenate(per_text), np.fromiter(map(len, per_text), np.int64, len(texts))
+            yield numbers, count
 
     def _parts(self, unit: str | tuple[str]) -> list[str | tuple[str]] | None:
         """The units that a unit is made of, if it can be told that no token goes over their bounds."""
@@ -197,12 +227,13 @@ class UnitEncoder:
         at = len(self.index) - len(units)
         if self.index.marks:
             units = [(u[1:],) if u.__class__ is str and u[0] == _MARK else u for u in units]
-        made, parts, plain, odd = [], [], [], []
+        made, parts, odd = [], [], []
         get = self.index.__getitem__
-        for k, u in enumerate(units):
-            if u.__class__ is str and u.isalpha():
-                plain.append(k)
-            elif p := self._parts(u):
+        letters = [u.__class__ is str and u.isalpha() for u in units]
+        plain = list(compress(range(len(units)), letters))
+        for k in [k for k, x in enumerate(letters) if not x]:
+            u = units[k]
+            if p := self._parts(u):
                 made.append(at + k)
                 parts.append(list(map(get, p)))
             else:
@@ -216,7 +247,7 @@ class UnitEncoder:
         lead = " " if self.cut == "space" else ""
         groups = [plain[k : k + _JOINED] for k in range(0, len(plain), _JOINED)]
         texts = [lead + " ".join([units[k] for k in g]) for g in groups]
-        for g, text, e in zip(groups, texts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+        for g, text, e in zip(groups, texts, self._encoded(texts), strict=True):
             ids = np.array(e.ids, np.uint32)
             ends = np.cumsum(self.token_bytes[ids])
             wanted = self._unit_ends(text)
@@ -228,23 +259,28 @@ class UnitEncoder:
         if self.cut == "space" and self.tokenizer.normalizer is None:
             odd = self._learn_lines(at, units, odd)
         alone = [units[k][0] if isinstance(units[k], tuple) else lead + units[k] for k in odd]
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)]
+        found = [np.array(e.ids, np.uint32) for e in self._encoded(alone)]
         if found:
-            ids = np.fromiter((i for x in found for i in x), np.uint32)
-            self._store(at + np.array(odd), ids, np.fromiter(map(len, found), np.int64, len(found)))
+            self._store(at + np.array(odd), np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found)))
         if made:
             each = np.fromiter(chain.from_iterable(parts), np.int64)
             counts = np.fromiter(map(len, parts), np.int64, len(parts))
             ids, lengths = self._gather(each)
             self._store(np.array(made), ids, np.add.reduceat(lengths, np.cumsum(counts) - counts))
 
+    def _encoded(self, texts: list[str]) -> Iterator:
+        """What the tokenizers library makes of each text, some texts at a time."""
+        for some in text_slices(texts, _GIVEN):
+            if some:
+                yield from self.tokenizer.encode_batch_fast(some, add_special_tokens=False)
+
     def _learn_lines(self, at: int, units: list[str | tuple[str]], odd: list[int]) -> list[int]:
         """Encode those of the ``odd`` units that are letters without a space as lines of joined texts: no token goes over a line end there. Returns the others."""
         lines = [k for k in odd if units[k].__class__ is tuple and units[k][0].isalpha()]
         groups = [lines[k : k + _JOINED] for k in range(0, len(lines), _JOINED)]
         texts = ["\n".join([units[k][0] for k in g]) for g in groups]
         done: set[int] = set()
-        for g, text, e in zip(groups, texts, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+        for g, text, e in zip(groups, texts, self._encoded(texts), strict=True):
             ids, data = np.array(e.ids, np.uint32), np.frombuffer(text.encode(), np.uint8)
             ends = np.cumsum(self.token_bytes[ids])
             wanted = np.append(np.flatnonzero(data == 10), len(data))
@@ -282,20 +318,40 @@ class UnitEncoder:
 
     def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, each text's followed by ``end_id``, and the number of ids of each."""
+        return next(self.encode_slices([texts], end_id))
+
+    def encode_slices(self, slices: Iterable[list[str]], end_id: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """What ``encode`` gives for each list of texts; the units of several are looked up at once."""
+        group: list[list[str]] = []
+        size = 0
+        for texts in slices:
+            n = sum(map(len, texts))
+            if group and size + n > TOGETHER:
+                yield from self._encode_group(group, end_id)
+                group, size = [], 0
+            group.append(texts)
+            size += n
+        if group:
+            yield from self._encode_group(group, end_id)
+
+    def _encode_group(self, slices: list[list[str]], end_id: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if len(self.index) > self.most_units or self.index.chars > CACHE_CHARS:
             self._cut_back()
-        if self.index.marks and texts:
-            where, counts = self._numbers_at_marks(texts)
+        if self.index.marks:
+            found = list(self._numbers_at_marks(slices))
         else:
-            per_text = [self._numbers(t) for t in texts]
-            counts = np.fromiter(map(len, per_text), np.int64, len(texts))
-            where = np.concatenate(per_text) if texts else np.empty(0, np.int64)
+            found = []
+            for texts in slices:
+                per_text = [self._numbers(t) for t in texts]
+                counts = np.fromiter(map(len, per_text), np.int64, len(texts))
+                found.append((np.concatenate(per_text) if texts else np.empty(0, np.int64), counts))
         self._learn()
-        body, lengths = self._gather(where)
-        ends = np.cumsum(lengths)
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-        sizes = np.diff(bounds)
-        return np.insert(body, bounds[1:], np.uint32(end_id)).astype(np.uint32), sizes + 1
+        for where, counts in found:
+            body, lengths = self._gather(where)
+            ends = np.cumsum(lengths)
+            bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+            sizes = np.diff(bounds)
+            yield np.insert(body, bounds[1:], np.uint32(end_id)).astype(np.uint32), sizes + 1
 
 
 def text_slices(texts: list[str | None], most: int = 2_000_000) -> list[list[str]]:

@@ -1,10 +1,13 @@
 """Operators 2, 6 and 8: against plain loops and exact round trips."""
 
+import hashlib
 import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from millrace.llm import packing, token_store, tokenizing, topk
@@ -65,6 +68,32 @@ def test_long_units_are_forgotten(monkeypatch):
     assert "the" in enc.index and len(enc.pool) < 4 << 20
 
 
+def test_a_unit_of_several_slices_is_looked_up_once(monkeypatch):
+    """Slices encoded together give what each gives alone, in few lookups, through cut-backs too; kept units keep their numbers."""
+    rng = random.Random(8)
+    words = sorted({"".join(rng.choice("abcdeé") for _ in range(6)) for _ in range(300)})
+    slices = [[" ".join(rng.choice(words) + rng.choice(["", ".", ",", ".\nThe"]) for _ in range(400)), *rng.sample(ODD, 5), ""] for _ in range(30)] + [[], [""]]
+    looked_up = []
+    plain = tokenizing._Index.numbers
+    monkeypatch.setattr(tokenizing._Index, "numbers", lambda self, pieces: looked_up.append(len(pieces)) or plain(self, pieces))
+    path = tokenizing.public_path("byte_bpe_50k.json")
+    for most, together in ((10_000, 1 << 30), (100, 9000), (100, 1)):
+        monkeypatch.setattr(tokenizing, "TOGETHER", together)
+        enc = tokenizing.UnitEncoder(path, "space", most_units=most)
+        looked_up.clear()
+        out = list(enc.encode_slices(slices, 7))
+        assert together < 1 << 30 or (len(looked_up) == 1 and looked_up[0] < 2 * len(words))
+        for texts, (ids, sizes) in zip(slices, out, strict=True):
+            assert ids.tolist() == [i for t in texts for i in [*enc.tokenizer.encode(t, add_special_tokens=False).ids, 7]]
+            assert len(sizes) == len(texts) and sizes.sum() == len(ids)
+    enc = tokenizing.UnitEncoder(path, "space", most_units=100)
+    enc.encode([" ".join(words)], 7)
+    before = list(enc.index.items())
+    enc._cut_back()
+    assert list(enc.index.items()) == before[:60] and len(enc.index.closed) == 60
+    assert enc.index.chars == sum(len(u) for u, _ in before[:60]) and enc.used < len(words) * 7
+
+
 # --- operator 2
 
 
@@ -166,6 +195,29 @@ def test_store_edges_and_damage(spark):
         token_store.verify_documents(spark, bad).collect()
 
 
+def test_ids_are_stored_in_16_bits_where_they_fit(spark):
+    path = scratch(spark, "test-store")
+    token_store.write_store(docs(spark, [(k, f"some text {k % 3}" * 50) for k in range(9)]), path)
+    rows = spark.read.parquet(f"{path}/store").where("kind = 'chunk'").collect()
+    assert len(rows) == 3
+    expand = zstandard.ZstdDecompressor()
+    assert all(len(expand.decompress(r.payload)) == 2 * r.n for r in rows)
+    wide, squeeze = np.array([5, 70_000, 65_536, 1], "<u4"), zstandard.ZstdCompressor()
+    narrow = wide % 1000
+
+    def check(ids, kind, n):
+        batch = pa.record_batch([[hashlib.sha256(ids).digest()], pa.array([n], pa.int64()), [squeeze.compress(ids.astype(kind).tobytes())]], names=["digest", "n", "payload"])
+        return [tuple(r.values())[1:] for b in token_store._check_chunks([batch]) for r in b.to_pylist()]
+
+    for ids, kind in ((wide, "<u4"), (narrow, "<u4"), (narrow, "<u2")):
+        assert check(ids, kind, 4) == [(4, zlib.crc32(ids.tobytes()))]
+        for n in (2, 8):
+            with pytest.raises(ValueError):
+                check(ids, kind, n)
+    with pytest.raises(ValueError):
+        check(wide, "<u2", 4)
+
+
 def test_chunks_follow_content():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 50000, 60000).astype("<u4")
