@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.graph import components
-from millrace.staging import stage
+from millrace.graph import components, dealt_join
+from millrace.staging import pieces, stage
 
 # Fixed values.
 DECAY_DAYS = 180.0
@@ -177,8 +177,10 @@ def clusters_document(members: DataFrame, named: DataFrame) -> DataFrame:
 
 def coherent(commits: DataFrame, clusters: DataFrame) -> DataFrame:
     """Commits (repo, sha, file) whose clustered files all lie in one cluster: repo, sha, cluster_id. Files without a cluster are tolerated."""
-    known = commits.join(clusters.select("repo", "file", "cluster_id"), ["repo", "file"], "left")
-    out = known.groupBy("repo", "sha").agg(F.min("cluster_id").alias("cluster_id"), F.max("cluster_id").alias("_high"))
+    n = pieces(commits, clusters)
+    known = dealt_join(commits.select("repo", "sha", "file"), clusters.select("repo", "file", "cluster_id"), ["repo", "file"], n).select("repo", "sha", "cluster_id")
+    # Dealt by commit before it is grouped: no task sorts what it read for all commits.
+    out = known.repartition(n, "sha").groupBy("repo", "sha").agg(F.min("cluster_id").alias("cluster_id"), F.max("cluster_id").alias("_high"))
     return out.where("cluster_id = _high").drop("_high")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import REDACTION_RULES
 from millrace.shipping import ship
+from millrace.staging import pieces
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,9 +84,10 @@ def subject() -> Column:
 
 def touches(t: Tables) -> DataFrame:
     """repo, sha, ts (seconds), file: one repository."""
-    lines = t.lineitem.select(F.col("l_orderkey").alias("sha"), F.col("l_partkey").alias("file"))
-    orders = t.orders.select(F.col("o_orderkey").alias("sha"), F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("ts"))
-    return lines.join(orders, "sha").select(F.lit("main").alias("repo"), "sha", "ts", "file").distinct()
+    n = pieces(t.lineitem, t.orders)
+    lines = t.lineitem.select(F.col("l_orderkey").alias("sha"), F.col("l_partkey").alias("file")).repartition(n, "sha").distinct()
+    orders = t.orders.select(F.col("o_orderkey").alias("sha"), F.unix_timestamp(F.col("o_orderdate").cast("timestamp")).alias("ts")).repartition(n, "sha").distinct()
+    return lines.join(orders, "sha").select(F.lit("main").alias("repo"), "sha", "ts", "file")  # distinct, as both sides are
 
 
 TOUCHES_SQL = "SELECT DISTINCT 'main' AS repo, l_orderkey AS sha, CAST(epoch(o_orderdate) AS BIGINT) AS ts, l_partkey AS file FROM lineitem JOIN orders ON l_orderkey = o_orderkey"

@@ -49,6 +49,23 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: A task's share of the files that its rows come from, in bytes.
+PIECE = 8 << 20
+
+
+def pieces(*tables: DataFrame) -> int:
+    """In how many parts to deal rows of these tables, so that a task's share stays the same however large they are.
+
+    Adaptive execution only puts parts together, up to 64 MB of compressed rows; a number given to ``repartition`` stays. Tables without files count as small.
+    """
+    size = 0
+    for t in tables:
+        leaves = t._jdf.queryExecution().analyzed().collectLeaves()
+        sizes = [int(leaves.apply(k).stats().sizeInBytes()) for k in range(leaves.size())]
+        size += sum(x for x in sizes if x < 1 << 60)
+    return max(tables[0].sparkSession.sparkContext.defaultParallelism, -(-size // PIECE))
+
+
 def delete(spark: SparkSession, path: str) -> None:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from millrace import staging
 from millrace.operators import cochange, commits, conversations, corpus, fim, metrics, nextedit, packing, sampling
 
 
@@ -176,6 +177,21 @@ def test_coherence_and_siblings(spark):
     assert [r.siblings for r in cochange.siblings(own, clusters).collect()] == [["b"]]
 
 
+def test_commits_are_dealt_by_size(spark, tmp_path, monkeypatch):
+    touches = spark.range(5000).selectExpr("'r' AS repo", "id % 700 AS sha", "id AS file")
+    touches.write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    clusters = spark.range(5000).selectExpr("'r' AS repo", "id AS file", "'k' || least(id % 700, 3) AS cluster_id")
+    few = staging.pieces(table)
+    monkeypatch.setattr(staging, "PIECE", 1 << 10)
+    assert staging.pieces(table) > few
+    out = cochange.coherent(table, clusters)
+    n = staging.pieces(table, clusters)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count(f", {n}), REPARTITION_BY_NUM") >= 3 or plan.count(f", {n})") >= 3
+    assert {(r.sha, r.cluster_id) for r in out.collect()} == {(k, f"k{min(k, 3)}") for k in range(700)}
+
+
 def test_holdout_is_disjoint(spark):
     df = spark.createDataFrame([(f"c{k % 30}",) for k in range(100)], "cluster_id string")
     rows = sampling.holdout_groups(df, "cluster_id", 0.1, 42).collect()
