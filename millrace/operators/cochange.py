@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.graph import components, dealt_join
+from millrace.graph import components, dealt_join, skew_join
 from millrace.staging import pieces, stage
 
 # Fixed values.
@@ -184,8 +184,29 @@ def coherent(commits: DataFrame, clusters: DataFrame) -> DataFrame:
     return out.where("cluster_id = _high").drop("_high")
 
 
+def ranked_members(clusters: DataFrame) -> DataFrame:
+    """cluster_id, file and its place ``_k`` (from 1) among the cluster's files. Ranks are those of ranges of the order, so no task sees a whole cluster."""
+    files = clusters.select("cluster_id", "file").where("cluster_id is not null and file is not null").distinct()
+    parts = stage(files.repartitionByRange(pieces(clusters), "cluster_id", "file").withColumn("_p", F.spark_partition_id()), "members")
+    counts = parts.groupBy("cluster_id", "_p").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("cluster_id").orderBy("_p")) - F.col("_n")
+    inside = F.row_number().over(Window.partitionBy("cluster_id", "_p").orderBy("file"))
+    return parts.withColumn("_in", inside).join(counts.select("cluster_id", "_p", before.alias("_before")), ["cluster_id", "_p"]).select("cluster_id", "file", (F.col("_before") + F.col("_in")).alias("_k"))
+
+
 def siblings(touched: DataFrame, clusters: DataFrame, most: int = 6) -> DataFrame:
-    """For each (sha, cluster_id) the first ``most`` cluster members, in order, that it doesn't touch."""
-    files = clusters.groupBy("cluster_id").agg(F.array_sort(F.collect_set("file")).alias("all"))
-    own = touched.groupBy("sha", "cluster_id").agg(F.collect_set("file").alias("own"))
-    return own.join(files, "cluster_id").select("sha", "cluster_id", F.slice(F.array_except("all", "own"), 1, most).alias("siblings"))
+    """For each (sha, cluster_id) the first ``most`` cluster members, in order, that it doesn't touch.
+
+    These are the first ``most`` places that the touched ones leave free, all within the first ``most`` + touched: no commit meets its whole cluster.
+    """
+    n = pieces(touched, clusters)
+    ranks = stage(ranked_members(clusters), "member-ranks")
+    own = dealt_join(touched.select("sha", "cluster_id", "file"), ranks, ["cluster_id", "file"], n, "left")
+    own = own.select("sha", "cluster_id", "_k").repartition(n, "sha", "cluster_id").groupBy("sha", "cluster_id").agg(F.collect_set("_k").alias("_own"))
+    free = F.slice(F.array_except(F.sequence(F.lit(1).cast("long"), F.size("_own") + F.lit(most).cast("long")), "_own"), 1, most)
+    free = stage(own.select("sha", "cluster_id", (F.size("_own") > 0).alias("_any"), F.explode(free).alias("_k")), "free-places")
+    # Every commit of a cluster asks for the same few places, so these are hot keys.
+    asked = free.groupBy("cluster_id", "_k").agg(F.count("*").alias("_n"))
+    found = skew_join(free, ranks.join(asked, ["cluster_id", "_k"]), ["cluster_id", "_k"], "_n", free.count())
+    found = found.repartition(n, "sha", "cluster_id").groupBy("sha", "cluster_id").agg(F.first("_any").alias("_any"), F.array_sort(F.collect_list(F.when(F.col("file").isNotNull(), F.struct("_k", "file")))).alias("_l"))
+    return found.where(F.col("_any") | (F.size("_l") > 0)).select("sha", "cluster_id", F.transform("_l", lambda x: x["file"]).alias("siblings"))

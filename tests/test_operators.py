@@ -177,6 +177,24 @@ def test_coherence_and_siblings(spark):
     assert [r.siblings for r in cochange.siblings(own, clusters).collect()] == [["b"]]
 
 
+def test_siblings_match_a_loop(spark):
+    rng = random.Random(3)
+    members = [("r", f"f{k:03}", f"k{k % 3}") for k in range(120)] + [("r", "only", "k9")]
+    places = {f: c for _, f, c in members}
+    touched = [(f"s{j}", f"k{j % 3}", f"f{3 * k + j % 3:03}") for j in range(60) for k in rng.sample(range(40), rng.choice([1, 2, 39, 40]))]
+    touched += [("t", "k9", "only"), ("u", "k1", "elsewhere"), ("v", "none", "f001")]
+    clusters = spark.createDataFrame(members, "repo string, file string, cluster_id string")
+    ranks = {(r.cluster_id, r.file): r._k for r in cochange.ranked_members(clusters).collect()}
+    assert ranks == {(c, f): 1 + sorted(x for x in places if places[x] == c).index(f) for f, c in places.items()}
+    got = {(r.sha, r.cluster_id): r.siblings for r in cochange.siblings(spark.createDataFrame(touched * 2, "sha string, cluster_id string, file string"), clusters).collect()}
+    want = {}
+    for sha, c, _ in touched:
+        own = {f for s, _, f in touched if s == sha}
+        if c in places.values():
+            want[sha, c] = sorted(f for f, x in places.items() if x == c and f not in own)[:6]
+    assert got == want
+
+
 def test_commits_are_dealt_by_size(spark, tmp_path, monkeypatch):
     touches = spark.range(5000).selectExpr("'r' AS repo", "id % 700 AS sha", "id AS file")
     touches.write.parquet(f"{tmp_path}/t")
