@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions.text import TERMINATOR, lines_of
+from millrace.graph import dealt_join
+from millrace.staging import pieces
 
 # Fixed values.
 HUNK_HEADER = r"^@@ -(\d+)(?:,(\d+))? \+(\d+)(?:,(\d+))? @@"
@@ -98,9 +100,11 @@ def next_edit_examples(hunks: DataFrame, siblings: DataFrame, max_chars: int = M
 
 def leak_guard(rows: DataFrame, coherent: DataFrame, held_out: DataFrame, touches: DataFrame) -> DataFrame:
     """``rows`` (repo, sha, cluster_id, file) with split: eval for held-out clusters; train rows whose file an eval commit touches are dropped."""
-    groups = held_out.where("held_out").select("cluster_id")
+    n = pieces(rows, touches)
+    groups = held_out.where("held_out").select("cluster_id").distinct()
     shas = coherent.join(groups, "cluster_id", "left_semi").select("repo", "sha")
-    files = touches.join(shas, ["repo", "sha"], "left_semi").select("repo", "file").distinct()
+    # Dealt before they are made distinct: no task holds the files of all that it read.
+    files = touches.join(shas, ["repo", "sha"], "left_semi").select("repo", "file").repartition(n, "file").distinct()
     out = rows.join(groups.withColumn("_e", F.lit(True)), "cluster_id", "left").withColumn("split", F.when(F.col("_e"), "eval").otherwise("train")).drop("_e")
-    train = out.where("split = 'train'").join(files, ["repo", "file"], "left_anti").select(*out.columns)
-    return out.where("split = 'eval'").unionByName(train)
+    marked = dealt_join(out, files.withColumn("_leak", F.lit(True)), ["repo", "file"], n, "left")
+    return marked.where("split = 'eval' or _leak is null").select(*out.columns)

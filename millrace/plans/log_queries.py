@@ -10,6 +10,7 @@ from millrace.functions import codecs
 from millrace.operators import cochange, commits, conversations, conversion, metrics, nextedit, sampling
 from millrace.plans.base import CLUSTERS_SQL, SUBJECT_SQL, TOUCHES_SQL, Tables, big, brand_clusters, query, quote, subject, touches
 from millrace.plans.text_queries import strip_sql
+from millrace.staging import stage
 
 # --- conversations -------------------------------------------------------------------------------------------------
 
@@ -438,7 +439,7 @@ e AS (SELECT DISTINCT file FROM r WHERE held_out)
 SELECT sha, cluster_id, file, CASE WHEN held_out THEN 'eval' ELSE 'train' END AS split FROM r WHERE held_out OR file NOT IN (SELECT file FROM e)""",
 )
 def leak_guard(t: Tables) -> DataFrame:
-    coherent = cochange.coherent(touches(t), brand_clusters(t))
+    coherent = stage(cochange.coherent(touches(t), brand_clusters(t)), "coherent")
     held = sampling.holdout_groups(brand_clusters(t), "cluster_id", 0.1, 42)
     rows = touches(t).join(coherent, ["repo", "sha"]).select("repo", "sha", "cluster_id", "file")
     return nextedit.leak_guard(rows, coherent, held, touches(t)).select("sha", "cluster_id", "file", "split")

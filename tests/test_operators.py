@@ -210,6 +210,14 @@ def test_commits_are_dealt_by_size(spark, tmp_path, monkeypatch):
     assert {(r.sha, r.cluster_id) for r in out.collect()} == {(k, f"k{min(k, 3)}") for k in range(700)}
 
 
+def test_leak_guard_reads_its_rows_once(spark):
+    rows = spark.createDataFrame([("r", "s1", "k1", "a"), ("r", "s2", "k2", "a"), ("r", "s2", "k2", None), ("r", "s3", "k2", "b"), ("r", "s3", None, "c")], "repo string, sha string, cluster_id string, file string")
+    held = spark.createDataFrame([("k1", True), ("k1", True), ("k2", False)], "cluster_id string, held_out boolean")
+    out = nextedit.leak_guard(rows, rows.select("repo", "sha", "cluster_id"), held, rows.select("repo", "sha", "file"))
+    assert "Union" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, out.select("sha", "file", "split").collect()), key=repr) == sorted([("s1", "a", "eval"), ("s2", None, "train"), ("s3", "b", "train"), ("s3", "c", "train")], key=repr)
+
+
 def test_holdout_is_disjoint(spark):
     df = spark.createDataFrame([(f"c{k % 30}",) for k in range(100)], "cluster_id string")
     rows = sampling.holdout_groups(df, "cluster_id", 0.1, 42).collect()
