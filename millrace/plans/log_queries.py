@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions import codecs
+from millrace.graph import dealt_join
 from millrace.operators import cochange, commits, conversations, conversion, metrics, nextedit, sampling
 from millrace.plans.base import CLUSTERS_SQL, SUBJECT_SQL, TOUCHES_SQL, Tables, big, brand_clusters, query, quote, subject, touches
 from millrace.plans.text_queries import strip_sql
-from millrace.staging import stage
+from millrace.staging import pieces, stage
 
 # --- conversations -------------------------------------------------------------------------------------------------
 
@@ -383,8 +384,10 @@ def cochange_clusters(t: Tables) -> DataFrame:
 
 
 def _scopes(t: Tables) -> DataFrame:
-    orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderkey").alias("sha"), F.lower("c_mktsegment").alias("scope"))
-    rows = touches(t).join(orders, "sha").join(brand_clusters(t), ["repo", "file"])
+    n = pieces(t.lineitem, t.orders)
+    orders = dealt_join(t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey")), t.customer.select("c_custkey", "c_mktsegment"), ["c_custkey"], n)
+    orders = orders.select(F.col("o_orderkey").alias("sha"), F.lower("c_mktsegment").alias("scope")).repartition(n, "sha")
+    rows = dealt_join(touches(t).join(orders, "sha").select("repo", "file", "scope"), brand_clusters(t), ["repo", "file"], n)
     return rows.groupBy("repo", "cluster_id", "scope").agg(F.count("*").alias("n"))
 
 
