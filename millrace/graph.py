@@ -37,7 +37,7 @@ def skew_join(left: DataFrame, right: DataFrame, keys: list[str], weight: str, t
 
 
 def dealt_join(left: DataFrame, right: DataFrame, keys: list[str], n: int, how: str = "inner") -> DataFrame:
-    """Inner or left outer join with both sides in ``n`` parts by the keys, so that a task's share is what ``staging.pieces`` makes it. Null keys never match.
+    """Inner, left semi or left outer join with both sides in ``n`` parts by the keys, so that a task's share is what ``staging.pieces`` makes it. Null keys never match.
 
     The keys go as one struct: a key that is the same for all rows would be left out of the join, and the rows be dealt once more.
     """
@@ -45,7 +45,7 @@ def dealt_join(left: DataFrame, right: DataFrame, keys: list[str], n: int, how:
     for k in keys:
         known = known & F.col(k).isNotNull()
     dealt = lambda df: df.select(F.struct(*keys).alias("_key"), *[c for c in df.columns if c not in keys]).repartition(n, "_key")
-    out = dealt(left.where(known) if how == "inner" else left).join(dealt(right.where(known)), "_key", how)
+    out = dealt(left if how == "left" else left.where(known)).join(dealt(right.where(known)), "_key", how)
     return out.select("_key.*", *[c for c in out.columns if c != "_key"])
 
 

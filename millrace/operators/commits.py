@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from millrace.graph import dealt_join
+from millrace.staging import pieces, stage
+
 # Fixed values.
 CONVENTIONAL = r"^([a-z]+)(?:\(([^)]*)\))?!?:"
 SKIP_TYPES = ["chore", "ci", "build", "style", "docs", "release", "revert", "test"]
@@ -43,17 +46,23 @@ def parse_log(lines: DataFrame, tracked: DataFrame | None = None) -> DataFrame:
 
     A line that starts with the header mark opens a commit; lines of three tab-separated fields after it are its files, binary ones left out.
     """
-    w = Window.partitionBy("repo").orderBy("line_no")
-    rows = lines.withColumn("_head", F.startswith("line", F.lit(HEADER))).withColumn("_c", F.sum(F.col("_head").cast("int")).over(w)).where("_c > 0")
+    n = 4 * pieces(lines)  # small parts, as a task may get a few of these ranges
+    # A commit's number is that of the headers up to it: those of the ranges of the log before, and those in its own range. So no task sees a whole log.
+    parts = stage(lines.select("repo", "line_no", "line", F.startswith("line", F.lit(HEADER)).alias("_head")).repartitionByRange(n, "repo", "line_no").withColumn("_p", F.spark_partition_id()), "log")
+    counts = parts.groupBy("repo", "_p").agg(F.sum(F.col("_head").cast("long")).alias("_n"))
+    before = counts.select("repo", "_p", (F.sum("_n").over(Window.partitionBy("repo").orderBy("_p")) - F.col("_n")).alias("_before"))
+    inside = F.sum(F.col("_head").cast("long")).over(Window.partitionBy("repo", "_p").orderBy("line_no"))
+    rows = parts.repartition(n, "repo", "_p").withColumn("_in", inside).join(before, ["repo", "_p"]).withColumn("_c", F.col("_before") + F.col("_in")).where("_c > 0")
     head = F.split(F.substr("line", F.lit(len(HEADER) + 1)), SEPARATOR)
     field = F.split("line", "\t")
     rows = rows.withColumn("path", F.when(~F.col("_head") & (F.size(field) == 3) & ~((field[0] == "-") & (field[1] == "-")), field[2]))
-    rows = rows.withColumn("path", F.when(keep_path(F.col("path")), F.col("path")))
+    rows = stage(rows.select("repo", "_c", "_head", F.when(F.col("_head"), head).alias("_h"), F.when(keep_path(F.col("path")), F.col("path")).alias("path")).where("_head or path is not null"), "numbered")
+    files = rows.where("path is not null").select("repo", "_c", "path")
     if tracked is not None:
-        known = tracked.select("repo", "path", F.lit(True).alias("_t"))
-        rows = rows.join(known, ["repo", "path"], "left").withColumn("path", F.when(F.col("_t"), F.col("path")))
-    heads = F.first(F.when(F.col("_head"), head), True)
-    out = rows.groupBy("repo", "_c").agg(heads.alias("_h"), F.array_sort(F.collect_list("path")).alias("files"))
+        files = dealt_join(files, tracked.select("repo", "path"), ["repo", "path"], n, "left_semi")
+    heads = rows.where("_head").select("repo", "_c", F.lit(None).cast("string").alias("path"), "_h")
+    rows = heads.unionByName(files.withColumn("_h", F.lit(None).cast("array<string>"))).repartition(n, "repo", "_c")
+    out = rows.groupBy("repo", "_c").agg(F.first("_h", True).alias("_h"), F.array_sort(F.collect_list("path")).alias("files"))
     part = lambda k: F.coalesce(F.get("_h", F.lit(k)), F.lit(""))
     return out.select("repo", part(0).alias("sha"), part(1).try_cast("long").alias("ts"), part(2).alias("subject"), "files")
 

@@ -74,6 +74,26 @@ def test_log_parsing_and_filters(spark):
 DIFF = "diff --git a b\n@@ -3,2 +3,3 @@ def f\n keep\n-old\n--- x\n+new\n\\ No newline at end of file\n@@ -40 +41 @@\n same\n@@ -90,0 +91,1 @@\n+added\n"
 
 
+def test_log_in_ranges(spark):
+    rng = random.Random(9)
+    rows, want = [], {}
+    for repo in ("a", "b"):
+        sha = None
+        for k in range(3000):
+            if k and rng.random() < 0.1:
+                sha = f"{repo}{k}"
+                want[repo, sha] = []
+                rows.append((repo, k, f"__C__{sha}\x1f{k}\x1fs"))
+            else:
+                rows.append((repo, k, f"1\t1\tp{k}.py"))
+                if sha and k % 7:
+                    want[repo, sha].append(f"p{k}.py")
+    tracked = spark.createDataFrame([(r, f"p{k}.py") for r in ("a", "b") for k in range(3000) if k % 7] * 2, "repo string, path string")
+    out = commits.parse_log(spark.createDataFrame(rows, "repo string, line_no long, line string").repartition(5, "line"), tracked)
+    assert {(r.repo, r.sha): r.files for r in out.collect()} == {k: sorted(v) for k, v in want.items()}
+    assert "line_no#" not in "".join(x for x in out._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window" in x and "_p#" not in x)
+
+
 def test_hunks(spark):
     got = sorted(nextedit.parse_hunks(spark.createDataFrame([("s", DIFF)], "sha string, diff string"), ["sha"]).collect(), key=lambda r: r.start)
     assert [(r.start, r.pre, r.post) for r in got] == [(3, ["keep", "old", "-- x"], ["keep", "new"]), (90, [], ["added"])]
