@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.staging import stage
+from millrace.graph import dealt_join
+from millrace.staging import pieces, stage
 
 
 def read_lines(spark: SparkSession, path: str | list[str], glob: str | None = None, recursive: bool = False) -> DataFrame:
@@ -27,8 +28,32 @@ def read_lines(spark: SparkSession, path: str | list[str], glob: str | None = No
 
 def read_json_lines(spark: SparkSession, path: str | list[str], glob: str | None = None, recursive: bool = False) -> DataFrame:
     """file, line_no, line and data (variant) of :func:`read_lines`: blank lines and lines that aren't JSON are left out."""
-    out = read_lines(spark, path, glob, recursive).where(F.trim("line") != "").withColumn("data", F.try_parse_json("line"))
-    return out.where("data is not null")
+    return json_of(read_lines(spark, path, glob, recursive))
+
+
+def json_of(lines: DataFrame) -> DataFrame:
+    """Lines with data (variant): blank lines and lines that aren't JSON are left out."""
+    return lines.where(F.trim("line") != "").withColumn("data", F.try_parse_json("line")).where("data is not null")
+
+
+#: Ends a member's name in a line of a bundle. Names hold neither it nor line ends.
+MEMBER = "\x1f"
+
+
+def write_bundles(rows: DataFrame, path: str, name: str, order: str, line: str = "line") -> None:
+    """Many small files as few large ones: each line with its file's name before it. A file's lines lie together in one bundle, in order."""
+    dealt = rows.repartition(pieces(rows), name).sortWithinPartitions(name, order)
+    dealt.select(F.concat(F.col(name).cast("string"), F.lit(MEMBER), F.coalesce(line, F.lit(""))).alias("value")).write.text(path)
+
+
+def read_bundles(spark: SparkSession, path: str) -> DataFrame:
+    """file (the name of a bundle's member), line_no (from 0 in the member, blank lines count) and line."""
+    rows = read_lines(spark, path)
+    name = F.substring_index("line", MEMBER, 1)
+    rows = stage(rows.select(name.alias("member"), "line_no", F.substr("line", F.length(name) + len(MEMBER) + 1).alias("line")), "members")
+    # A member lies in one bundle, so its lines' numbers follow one another from its first.
+    first = rows.groupBy("member").agg(F.min("line_no").alias("_first"))
+    return dealt_join(rows, first, ["member"], pieces(rows)).select(F.col("member").alias("file"), (F.col("line_no") - F.col("_first")).alias("line_no"), "line")
 
 
 def write_json_lines(df: DataFrame, path: str) -> None:

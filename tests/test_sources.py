@@ -162,6 +162,15 @@ def test_faulty_files_drop_whole(spark, tmp_path):
     assert [r.line for r in got] == ['{"v": 2}']
 
 
+def test_bundles_hold_many_files(spark, tmp_path):
+    lines = [(f"d/{k % 300}.jsonl", k // 300, x) for k, x in enumerate(['{"k": 1}', "", " a\x1fb", None, "{broken"] * 240)]
+    jsonl.write_bundles(spark.createDataFrame(lines, "name string, at long, line string"), str(tmp_path / "b"), "name", "at")
+    assert len(list((tmp_path / "b").glob("part-*"))) < 20  # not one for each of 300 files
+    out = jsonl.read_bundles(spark, str(tmp_path / "b"))
+    assert sorted(map(tuple, out.select("file", "line_no", "line").collect())) == sorted((f, n, x or "") for f, n, x in lines)
+    assert {r.line for r in jsonl.json_of(out).collect()} == {'{"k": 1}'}
+
+
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([("a", "train", None), ("b", "eval", "x")], "text string, split string, note string")
     jsonl.write_json_lines(df, str(tmp_path / "all"))
